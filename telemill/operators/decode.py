@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from telemill.functions import strict_json
 from telemill.functions.variants import RECORD_TYPE
 
+# Reasons that concern the payload as a whole; it then has neither rows nor messages.
+STRUCTURE_REASONS = ("bad_json", "bad_payload_type", "structure", "empty_batch")
+
 
 def decode(raw: DataFrame) -> DataFrame:
     """Adds ``root`` (object, list, other; NULL if the payload is not valid UTF-8 JSON),
@@ -58,3 +61,10 @@ def _violations(records: Column) -> Column:
         return F.when(no_fields, 1).otherwise(not_objects)
 
     return F.aggregate(records, F.lit(0), lambda total, record: total + of_record(record))
+
+
+def elements(judged: DataFrame) -> DataFrame:
+    """One row per record of the sound payloads: ``seq, topic, pos, record``."""
+    kept = F.when(F.col("reason").isNull(), F.col("records"))
+    exploded = judged.select("seq", "topic", F.posexplode_outer(kept).alias("pos", "record"))
+    return exploded.where(F.col("pos").isNotNull())

@@ -38,10 +38,13 @@ class Options:
     batch_column: str = "ingest_batch"
     date_column: str = "ts_date"
 
-    # Quarantine table, and a prefix put before every database name.
     quarantine_schema: str = "quarantine"
     quarantine_table: str = "rejects"
+
+    # Prefix of every database name, and the folder databases are created in; by default
+    # the session's warehouse.
     database_prefix: str = ""
+    warehouse: str | None = None
 
     # Appends to different tables that may run at the same time.
     parallel_routes: int = 4

@@ -14,7 +14,9 @@ JSON_COMMENT = "json"
 
 
 def ensure_schema(spark: SparkSession, schema: str, options: Options) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(options.database(schema))}")
+    database = options.database(schema)
+    place = f" LOCATION '{options.warehouse}/{database}'" if options.warehouse else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{place}")
 
 
 def table_name(schema: str, table: str, options: Options) -> str:
