@@ -32,20 +32,22 @@ def device(record: Column, options: Options) -> Column:
     return variants.text_or(record["deviceid"], options.default_device)
 
 
-def fixed_columns_fault(record: Column, options: Options) -> Column:
-    """Reason to refuse the timestamp or device id of a record, or NULL."""
+def fixed_columns_fault(record: Column, ts: Column, id_: Column, options: Options) -> Column:
+    """Reason to refuse the timestamp or device id read from a record, or NULL."""
+    no_timestamp = variants.text_or(record["timestamp"], options.default_timestamp).isNull()
     return (
-        F.when(variants.text_or(record["timestamp"], options.default_timestamp).isNull(), "null_timestamp")
-        .when(timestamp(record, options).isNull(), "bad_timestamp")
-        .when(device(record, options).isNull(), "null_deviceid")
-        .when(variants.is_nested(record["deviceid"]), "bad_deviceid")
+        F.when(ts.isNull(), F.when(no_timestamp, "null_timestamp").otherwise("bad_timestamp"))
+        .when(id_.isNull(), "null_deviceid")
+        # The type is looked at only where the text could be a list or an object.
+        .when(id_.rlike(r"^[\[{]") & variants.is_nested(record["deviceid"]), "bad_deviceid")
     )
 
 
 def route_name(value: Column, default: str) -> Column:
-    """Database or table name a record asks for; NULL if it cannot be one."""
+    """Database or table name a record asks for; NULL if it cannot be one. Numbers and
+    nested values are no identifiers as text, and the two truth values are no names."""
     name = F.lower(variants.text(value))
-    usable = (variants.kind(value) == "STRING") & names.is_identifier(name)
+    usable = names.is_identifier(name) & ~name.isin("true", "false")
     return F.when(value.isNull(), F.lit(default)).when(usable, name)
 
 
@@ -84,25 +86,30 @@ def _data_fault(options: Options) -> Column:
     records = F.col("records")
     first = F.get(records, F.lit(0))
     columns = folded_names(first)
-    reserved = F.array(*[F.lit(name) for name in options.reserved_columns])
     fault = (
         F.when(F.col("route_schema").isNull() | F.col("route_table").isNull(), "bad_route")
         .when(~field_sets_equal(records), "field_set_mismatch")
         .when(F.exists(columns, lambda name: ~names.is_identifier(name)), "bad_column")
         .when(
             (F.size(F.array_distinct(columns)) < F.size(columns))
-            | F.arrays_overlap(columns, reserved),
+            | F.exists(columns, lambda name: name.isin(options.reserved_columns)),
             "duplicate_column",
         )
     )
     if options.header == "record":
-        faults = F.transform(records, lambda record: fixed_columns_fault(record, options))
+        faults = F.transform(records, lambda record: _own_fault(record, options))
         fixed = F.get(F.array_compact(faults), F.lit(0))
     else:
-        fixed = fixed_columns_fault(first, options)
+        fixed = fixed_columns_fault(first, F.col("header_ts"), F.col("header_id"), options)
     return F.coalesce(fault, fixed)
 
 
+def _own_fault(record: Column, options: Options) -> Column:
+    return fixed_columns_fault(
+        record, timestamp(record, options), device(record, options), options
+    )
+
+
 def _data_rows(options: Options) -> Column:
     def row(record: Column, pos: Column) -> Column:
         own = options.header == "record"
@@ -134,7 +141,7 @@ def _message_outcomes(options: Options) -> Column:
         return _outcome(
             target=F.lit(MESSAGE),
             pos=pos,
-            reason=fixed_columns_fault(record, options),
+            reason=_own_fault(record, options),
             route_schema=F.lit(options.message_schema),
             route_table=F.lit(options.message_table),
             rows=F.array(row),

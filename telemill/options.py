@@ -46,8 +46,12 @@ class Options:
     database_prefix: str = ""
     warehouse: str | None = None
 
+    # Tasks to spread raw messages over before they are parsed, for input in a few files
+    # that cannot be split; by default they are parsed where they are read.
+    parse_tasks: int | None = None
+
     # Appends to different tables that may run at the same time.
-    parallel_routes: int = 4
+    parallel_routes: int = 8
 
     @property
     def reserved_columns(self) -> list[str]:

@@ -56,7 +56,8 @@ def load(
     spark = configure(raw.sparkSession)
     report = LoadReport(batch)
     quarantine.ensure(spark, options)
-    parsed = parse(raw, options, parser).withColumn("row_count", F.coalesce(F.size("rows"), F.lit(0)))
+    source = raw.repartition(options.parse_tasks) if options.parse_tasks else raw
+    parsed = parse(source, options, parser).withColumn("row_count", F.coalesce(F.size("rows"), F.lit(0)))
     with _staged(parsed, staging) as staged:
         expected = _count(staged, report)
         if report.refused:
@@ -67,7 +68,10 @@ def load(
             mine = flatten.accepted(staged).where(
                 (F.col("route_schema") == route[0]) & (F.col("route_table") == route[1])
             )
-            report.stored[route] = append_route(mine, route, columns, batch, options)
+            # Staged files lie by table and day already.
+            report.stored[route] = append_route(
+                mine, route, columns, batch, options, gather=staging is None
+            )
             if report.stored[route] < expected.get(route, 0):
                 refused = refused_outcomes(mine, columns)
                 for row in refused.groupBy("reason").count().collect():
@@ -129,7 +133,12 @@ def _ensure_tables(
 
 
 def append_route(
-    mine: DataFrame, route: tuple[str, str], columns: dict[str, str], batch: str, options: Options
+    mine: DataFrame,
+    route: tuple[str, str],
+    columns: dict[str, str],
+    batch: str,
+    options: Options,
+    gather: bool = True,
 ) -> int:
     """Appends the rows of all outcomes that fit the table; returns how many those are."""
     fitting = mine.select(
@@ -137,7 +146,7 @@ def append_route(
         F.explode_outer(F.when(row_fault(F.col("rows"), columns).isNull(), F.col("rows"))).alias("row"),
     ).where(F.col("row").isNotNull())
     rows = fitting.select("row.ts", "row.id", "row.cells")
-    tables.append(flatten.wide(rows, columns, options), *route, batch, options)
+    tables.append(flatten.wide(rows, columns, options), *route, batch, options, gather)
     written = mine.sparkSession.table(tables.table_name(*route, options))
     return written.where(F.col(options.batch_column) == batch).count()
 

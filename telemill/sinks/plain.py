@@ -15,20 +15,23 @@ ROWS_PER_PARTITION = 2**33
 def number_rows(rows: DataFrame, order: list[str], first: int = 1) -> DataFrame:
     """Adds ``id``: first, first + 1, ... in the given order, without moving all rows to
     one task. Rows are sorted in ranges and numbered within each; only the ranges' counts
-    meet. They are written in between, so that both uses see the same ranges."""
+    meet. They are written in between, so that both uses see the same ranges. Rows equal in
+    ``order`` keep their input order, and a large group of them is split over ranges."""
     spark = rows.sparkSession
     folder = scratch_dir(spark, "numbered")
     position = F.monotonically_increasing_id()
     (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        rows.withColumn("_input", position)
+        .repartitionByRange(*order, "_input")
+        .sortWithinPartitions(*order, "_input")
         .withColumn("_range", F.shiftright(position, 33))
         .withColumn("_offset", position % ROWS_PER_PARTITION)
+        .drop("_input")
         .write.parquet(folder)
     )
     placed = spark.read.parquet(folder)
     counts = placed.groupBy("_range").agg(F.count("*").alias("_rows"))
-    # One row per range: at most as many as the sort had partitions.
+    # One row per range, that is per task of the sort.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     return placed.join(F.broadcast(starts), "_range").select(

@@ -105,17 +105,20 @@ def ensure_table(
     return {**(present or {}), **added}
 
 
-def append(df: DataFrame, schema: str, table: str, batch: str, options: Options) -> None:
+def append(
+    df: DataFrame, schema: str, table: str, batch: str, options: Options, gather: bool = True
+) -> None:
     """Writes one load into its own partitions, replacing what an earlier attempt of the
     same load left there; columns ``df`` lacks are NULL.
 
-    Rows are gathered by day so that a task does not open a file per day; the rebalance
-    splits days that are too large for one task.
+    ``gather`` brings rows together by day so that a task does not open a file per day; the
+    rebalance splits days that are too large for one task. Leave it out where the rows
+    already lie by day.
     """
     dated = df.withColumn(options.date_column, F.col(options.ts_column).cast("date"))
-    placed = dated.hint("rebalance", options.date_column).withColumn(
-        options.batch_column, F.lit(batch)
-    )
+    if gather:
+        dated = dated.hint("rebalance", options.date_column)
+    placed = dated.withColumn(options.batch_column, F.lit(batch))
     overwrite_partitions(placed, table_name(schema, table, options))
 
 
