@@ -1,7 +1,8 @@
 """Field tags, and what a cell becomes in a column of a given storage type.
 
-A cell is ``struct<column, tag, kind, text>``: the lower-cased field name, the field's
-logical type, the JSON type of its value and the value as text (NULL = SQL NULL).
+A cell is ``struct<column, tag, value>``: the lower-cased field name, the field's logical
+type, and its value as a variant, a missing or null one standing for SQL NULL. Under the
+json tag the value is the JSON text.
 """
 
 from __future__ import annotations
@@ -31,36 +32,32 @@ def storage(tag: Column) -> Column:
     )
 
 
-def plain_text(value: Column) -> Column:
-    """Text of a value whose tag is not json."""
-    as_text = variants.text(value)
-    whole = variants.kind(value).like("DECIMAL(%,0)") & (F.length(as_text) <= INTEGER_DIGITS)
-    return F.when(whole, F.concat(as_text, F.lit(".0"))).otherwise(as_text)
-
-
-def json_text(value: Column) -> Column:
-    """JSON text of a value; the text ``null`` for a missing one."""
-    return F.coalesce(F.to_json(value), F.lit("null"))
-
-
 def digest(entry: Column, missing: str | None = None) -> Column:
     """Cell of one entry of a field map. ``missing`` is the text of a field without a
     value; by default that is NULL, or the JSON text null under the json tag."""
     field = entry["value"]
     value = field["value"]
     tag = F.coalesce(field["type"], F.lit(DEFAULT_TAG))
-    as_text = F.when(tag == JSON_TAG, json_text(value)).otherwise(plain_text(value))
+    json_text = F.coalesce(F.to_json(value), F.lit("null"))
+    stored = F.when(tag == JSON_TAG, json_text.cast("variant")).otherwise(value)
     if missing is not None:
-        as_text = F.when(value.isNull(), F.lit(missing)).otherwise(as_text)
+        stored = F.when(value.isNull(), F.lit(missing).cast("variant")).otherwise(stored)
     return F.struct(
-        F.lower(entry["key"]).alias("column"),
-        tag.alias("tag"),
-        variants.kind(value).alias("kind"),
-        as_text.alias("text"),
+        F.lower(entry["key"]).alias("column"), tag.alias("tag"), stored.alias("value")
     )
 
 
-def number(text: Column) -> Column:
+def text(value: Column) -> Column:
+    """A cell's value as text. A number keeps the fraction it was written with."""
+    as_text = variants.text(value)
+    schema = F.schema_of_variant(value)
+    whole = schema.startswith("DECIMAL") & schema.endswith(",0)")
+    return F.when(
+        whole & (F.length(as_text) <= INTEGER_DIGITS), F.concat(as_text, F.lit(".0"))
+    ).otherwise(as_text)
+
+
+def number_of_text(text: Column) -> Column:
     """Text as a double; NULL unless it is a number within range. Narrower than a plain
     cast, which also takes literals such as ``65.7d``."""
     value = F.trim(text).try_cast("double")
@@ -68,20 +65,39 @@ def number(text: Column) -> Column:
     return F.when(finite | text.rlike(NOT_FINITE), value)
 
 
+def number(value: Column) -> Column:
+    """A cell's value as a double; NULL for anything but numbers and numbers as text."""
+    kind = variants.kind(value)
+    return F.when(kind.isin("DECIMAL", "DOUBLE", "BIGINT"), as_double(value)).when(
+        kind == "STRING", number_of_text(variants.text(value))
+    )
+
+
+def as_double(value: Column) -> Column:
+    """The same for a value that is known to fit a DOUBLE column."""
+    return F.try_variant_get(value, "$", "double")
+
+
 def fits_double(cell: Column) -> Column:
-    return cell["text"].isNull() | number(cell["text"]).isNotNull()
+    value = cell["value"]
+    kind = variants.kind(value)
+    as_text = number_of_text(variants.text(value))
+    return (
+        F.when(kind.isin("DECIMAL", "DOUBLE", "BIGINT"), True)
+        .when(kind == "STRING", as_text.isNotNull())
+        .otherwise(~variants.has_value(value))
+    )
 
 
 def fits_string(cell: Column) -> Column:
-    return F.coalesce(
-        (cell["tag"] == JSON_TAG) | ~cell["kind"].isin("OBJECT", "ARRAY"), F.lit(True)
-    )
+    return ~variants.has_value(cell["value"]) | ~variants.is_nested(cell["value"])
 
 
 def fits_json(cell: Column) -> Column:
-    json_string = (cell["kind"] == "STRING") & strict_json.is_strict_text(cell["text"])
-    written_as_json = (cell["tag"] == JSON_TAG) & (cell["text"] != "")
-    return F.coalesce(cell["text"].isNull() | written_as_json | json_string, F.lit(False))
+    value = variants.text(cell["value"])
+    written_as_json = (cell["tag"] == JSON_TAG) & (value != "")
+    json_string = (variants.kind(cell["value"]) == "STRING") & strict_json.is_strict_text(value)
+    return ~variants.has_value(cell["value"]) | written_as_json | json_string
 
 
 def fits(cell: Column, storage_type: Column) -> Column:

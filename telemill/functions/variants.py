@@ -15,15 +15,19 @@ RECORD_TYPE = (
 
 
 def kind(value: Column) -> Column:
-    """Type name of a variant without its element types: BIGINT, DECIMAL(3,1), STRING,
-    OBJECT, ..."""
-    return F.substring_index(F.schema_of_variant(value), "<", 1)
+    """Type name of a variant without parameters: BIGINT, DECIMAL, STRING, OBJECT, ..."""
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
 
 
 def is_nested(value: Column) -> Column:
     return kind(value).isin("OBJECT", "ARRAY")
 
 
+def has_value(value: Column) -> Column:
+    """Neither missing nor null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
 def text(value: Column) -> Column:
     """A value as text; NULL for a missing key and for a null."""
     return F.try_variant_get(value, "$", "string")

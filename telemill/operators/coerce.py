@@ -18,7 +18,7 @@ def coerced_cells(outcomes: DataFrame, dictionary: DataFrame) -> DataFrame:
     """
     long = flatten.cells(flatten.rows(flatten.accepted(outcomes)))
     types = dictionary.select(*ROUTE, "column", "storage")
-    cell = {name: F.col(name) for name in ("column", "tag", "kind", "text")}
+    cell = {name: F.col(name) for name in ("column", "tag", "value")}
     is_double = F.col("storage") == cell_rules.DOUBLE
     return long.join(types, [*ROUTE, "column"]).select(
         *flatten.ROW_KEYS,
@@ -30,7 +30,7 @@ def coerced_cells(outcomes: DataFrame, dictionary: DataFrame) -> DataFrame:
         "text",
         "storage",
         cell_rules.fits(cell, F.col("storage")).alias("fits"),
-        F.when(is_double, cell_rules.number(F.col("text"))).alias("number"),
+        F.when(is_double, cell_rules.number(F.col("value"))).alias("number"),
         F.when(~is_double, F.col("text")).alias("text_value"),
     )
 
@@ -45,15 +45,13 @@ def misfits(coerced: DataFrame) -> DataFrame:
     )
 
 
-def row_fault(rows: Column, columns: dict[str, str]) -> Column:
+def row_fault(rows: Column, columns: dict[str, str], complete: bool = False) -> Column:
     """Reason to refuse an outcome's rows for a table with these columns, or NULL. The
-    table's types are literals here, so this needs no join and no shuffle."""
+    table's types are literals here, so this needs no join and no shuffle. ``complete``
+    says that the rows have no other columns than these."""
     doubles = [name for name, storage in columns.items() if storage == cell_rules.DOUBLE]
     jsons = [name for name, storage in columns.items() if storage == cell_rules.JSON]
 
-    def unknown(cell: Column) -> Column:
-        return ~cell["column"].isin(*columns)
-
     def misfit(cell: Column) -> Column:
         return ~(
             F.when(cell["column"].isin(*doubles), cell_rules.fits_double(cell))
@@ -64,4 +62,8 @@ def row_fault(rows: Column, columns: dict[str, str]) -> Column:
     def any_cell(test) -> Column:
         return F.exists(rows, lambda row: F.exists(row["cells"], test))
 
-    return F.when(any_cell(unknown), "too_many_columns").when(any_cell(misfit), "cast_failed")
+    cast_failed = F.when(any_cell(misfit), "cast_failed")
+    if complete:
+        return cast_failed
+    unknown = any_cell(lambda cell: ~cell["column"].isin(*columns))
+    return F.when(unknown, "too_many_columns").otherwise(cast_failed)

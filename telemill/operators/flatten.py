@@ -31,32 +31,43 @@ def rows(accepted: DataFrame) -> DataFrame:
 
 
 def cells(rows: DataFrame) -> DataFrame:
-    """One row per cell: ``column, tag, kind, text``."""
+    """One row per cell: ``column, tag, value`` and the value as ``text``."""
     keys = [name for name in rows.columns if name != "cells"]
-    return rows.select(*keys, F.explode_outer("cells").alias("cell")).select(*keys, "cell.*")
+    exploded = rows.select(*keys, F.explode_outer("cells").alias("cell")).select(*keys, "cell.*")
+    return exploded.withColumn("text", cell_rules.text(F.col("value")))
 
 
 def by_column(cells: Column) -> Column:
-    """Cell texts as a variant object: its members are found by binary search, so that a
+    """Cells as a variant object: its members are found by binary search, so that a
     projection of many columns does not scan the cells once per column."""
-    return F.to_variant_object(F.map_from_arrays(cells["column"], cells["text"]))
+    return F.to_variant_object(F.map_from_arrays(cells["column"], cells["value"]))
 
 
-def stored_value(texts: Column, column: str, storage: str) -> Column:
-    text = F.try_variant_get(texts, f'$["{column}"]', "string")
-    return cell_rules.number(text) if storage == cell_rules.DOUBLE else text
+def stored_value(cells: Column, column: str, storage: str, checked: bool) -> Column:
+    path = f'$["{column}"]'
+    if storage == cell_rules.DOUBLE and checked:
+        return F.try_variant_get(cells, path, "double")
+    value = F.try_variant_get(cells, path, "variant")
+    return cell_rules.number(value) if storage == cell_rules.DOUBLE else cell_rules.text(value)
 
 
-def wide(rows: DataFrame, columns: dict[str, str], options: Options, *keys: str) -> DataFrame:
+def wide(
+    rows: DataFrame,
+    columns: dict[str, str],
+    options: Options,
+    *keys: str,
+    checked: bool = False,
+) -> DataFrame:
     """Fixed columns, then one column per entry of ``columns`` (name to storage type).
-    ``keys`` are further columns of ``rows`` to keep in front."""
-    texts = rows.select(*keys, "ts", "id", by_column(F.col("cells")).alias("_texts"))
-    return texts.select(
+    ``keys`` are further columns of ``rows`` to keep in front. ``checked`` rows are known
+    to fit and convert faster; in others a misfit cell becomes NULL."""
+    found = rows.select(*keys, "ts", "id", by_column(F.col("cells")).alias("_cells"))
+    return found.select(
         *keys,
         F.col("ts").alias(options.ts_column),
         F.col("id").alias(options.id_column),
         *[
-            stored_value(F.col("_texts"), name, storage).alias(name)
+            stored_value(F.col("_cells"), name, storage, checked).alias(name)
             for name, storage in columns.items()
         ],
     )

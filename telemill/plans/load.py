@@ -64,16 +64,17 @@ def load(
             quarantine.write(flatten.rejected(staged), batch, quarantine.PAYLOADS, options)
         ready = _ensure_tables(spark, staged, options)
 
-        def append(route: tuple[str, str], columns: dict[str, str]) -> None:
+        def append(route: tuple[str, str], columns: dict[str, str], complete: bool) -> None:
             mine = flatten.accepted(staged).where(
                 (F.col("route_schema") == route[0]) & (F.col("route_table") == route[1])
             )
+            fault = row_fault(F.col("rows"), columns, complete)
+            rows = flatten.wide(fitting_rows(mine, fault), columns, options, checked=True)
             # Staged files lie by table and day already.
-            report.stored[route] = append_route(
-                mine, route, columns, batch, options, gather=staging is None
-            )
+            tables.append(rows, *route, batch, options, gather=staging is None)
+            report.stored[route] = tables.count_batch(spark, *route, batch, options)
             if report.stored[route] < expected.get(route, 0):
-                refused = refused_outcomes(mine, columns)
+                refused = refused_outcomes(mine, fault)
                 for row in refused.groupBy("reason").count().collect():
                     report.refuse(row["reason"], row["count"])
                 found = quarantine.with_payload(refused, raw)
@@ -120,44 +121,34 @@ def _count(staged: DataFrame, report: LoadReport) -> dict[tuple[str, str], int]:
 
 def _ensure_tables(
     spark: SparkSession, staged: DataFrame, options: Options
-) -> list[tuple[tuple[str, str], dict[str, str]]]:
+) -> list[tuple[tuple[str, str], dict[str, str], bool]]:
     """Creates and widens the tables of a load. Per table: its columns that the load can
-    have. Definitions run one after another on the driver, the only writer of them."""
+    have, and whether those are all the load has. Definitions run one after another on the
+    driver, the only writer of them."""
     ready = []
     for row in route_columns(column_dictionary(staged, options)).toLocalIterator():
         wanted = {entry.column: entry.storage for entry in row.columns}
         route = (row.route_schema, row.route_table)
         present = tables.ensure_table(spark, *route, wanted, options)
-        ready.append((route, {name: present[name] for name in wanted if name in present}))
+        columns = {name: present[name] for name in wanted if name in present}
+        # At the limit, columns may have been cut off before they came here.
+        complete = len(columns) == len(wanted) < options.max_columns
+        ready.append((route, columns, complete))
     return ready
 
 
-def append_route(
-    mine: DataFrame,
-    route: tuple[str, str],
-    columns: dict[str, str],
-    batch: str,
-    options: Options,
-    gather: bool = True,
-) -> int:
-    """Appends the rows of all outcomes that fit the table; returns how many those are."""
-    fitting = mine.select(
-        *flatten.ROW_KEYS,
-        F.explode_outer(F.when(row_fault(F.col("rows"), columns).isNull(), F.col("rows"))).alias("row"),
-    ).where(F.col("row").isNotNull())
-    rows = fitting.select("row.ts", "row.id", "row.cells")
-    tables.append(flatten.wide(rows, columns, options), *route, batch, options, gather)
-    written = mine.sparkSession.table(tables.table_name(*route, options))
-    return written.where(F.col(options.batch_column) == batch).count()
-
-
-def refused_outcomes(mine: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Outcomes that do not fit the table, with the reason."""
-    # Exploded so that the filter does not evaluate the check a second time.
-    fault = F.explode_outer(F.array(row_fault(F.col("rows"), columns)))
-    return mine.select("seq", "target", "pos", "violations", fault.alias("reason")).where(
-        F.col("reason").isNotNull()
-    )
+def fitting_rows(mine: DataFrame, fault: Column) -> DataFrame:
+    """Rows of the outcomes without a fault."""
+    kept = F.when(fault.isNull(), F.col("rows"))
+    # Exploded in the outer form so that the check is evaluated once.
+    exploded = mine.select(F.explode_outer(kept).alias("row")).where(F.col("row").isNotNull())
+    return exploded.select("row.ts", "row.id", "row.cells")
+
+
+def refused_outcomes(mine: DataFrame, fault: Column) -> DataFrame:
+    """Outcomes with a fault, and the reason."""
+    reason = F.explode_outer(F.array(fault)).alias("reason")
+    return mine.select("seq", "target", "pos", "violations", reason).where(F.col("reason").isNotNull())
 
 
 def _in_threads(spark: SparkSession, task: Callable, arguments: list[tuple], width: int) -> None:

@@ -122,6 +122,12 @@ def append(
     overwrite_partitions(placed, table_name(schema, table, options))
 
 
+def count_batch(spark: SparkSession, schema: str, table: str, batch: str, options: Options) -> int:
+    """Rows a load has in a table; read off the file footers of its partitions."""
+    rows = spark.table(table_name(schema, table, options))
+    return rows.where(F.col(options.batch_column) == batch).count()
+
+
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replaces the partitions ``df`` has rows for. In this mode each writer stages its
     files in a folder of its own, so several may write to a table at a time."""
