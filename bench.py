@@ -7,7 +7,7 @@ import os
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from telemill import Options, configure, latest, load, parse, start_ingest
 from telemill.checks import feeds
@@ -19,7 +19,6 @@ from telemill.sources.raw import read_raw, stream_raw
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-WIDE_FIELDS = 576
 
 
 def session() -> SparkSession:
@@ -44,29 +43,6 @@ def land(spark: SparkSession, raw: DataFrame, purpose: str) -> str:
     return path
 
 
-def wide_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """One record of 576 numeric fields per customer."""
-    number = F.col("c_custkey")
-    field = F.transform(
-        F.sequence(F.lit(1), F.lit(WIDE_FIELDS)),
-        lambda i: F.concat(
-            F.lit('"c'), i, F.lit('":{"name":"c'), i, F.lit('","value":'),
-            F.round((number + i) / 7, 2).cast("decimal(18,2)").cast("string"),
-            F.lit(',"type":"float","unit":"kg"}'),
-        ),
-    )
-    payload = F.concat(
-        F.lit('{"timestamp":"2024-01-01 00:00:00","schema":"universe","table":"earth","deviceid":"d'),
-        number, F.lit('","fields":{'), F.array_join(field, ","), F.lit("}}"),
-    )
-    return spark.read.parquet(f"{folder}/customer.parquet").select(
-        number.cast("bigint").alias("seq"),
-        F.lit("plant/wide/0").alias("topic"),
-        payload.alias("payload"),
-        F.current_timestamp().cast("timestamp_ntz").alias("recv_ts"),
-    )
-
-
 def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -75,7 +51,7 @@ def main() -> None:
     spark = session()
     objects = land(spark, feeds.raw_obj(spark, FOLDER), "objects")
     lists = land(spark, feeds.raw_list(spark, FOLDER), "lists")
-    wide = land(spark, wide_messages(spark, FOLDER), "wide")
+    wide = land(spark, feeds.raw_wide(spark, FOLDER), "wide")
     loaded = fresh(spark, "loaded")
     load(read_raw(spark, objects), "first", loaded)
 

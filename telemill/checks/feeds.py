@@ -18,6 +18,9 @@ FAULTS = (
     (149, "empty_list"),
 )
 
+# Fields of the widest record.
+WIDE_FIELDS = 576
+
 TOPIC_FILTERS = ("plant/#", "plant/error/+", "plant/+/0", "other/#")
 
 
@@ -183,3 +186,26 @@ def raw_evolving(spark: SparkSession, folder: str) -> list[DataFrame]:
         part.alias("part"),
     )
     return [feed.where(F.col("part") == number).drop("part") for number in range(3)]
+
+
+def raw_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """One record of 576 numeric fields per customer; field i is (customer key + i) / 4."""
+    key = F.col("c_custkey")
+    fields = F.transform(
+        F.sequence(F.lit(1), F.lit(WIDE_FIELDS)),
+        lambda i: _joined(
+            '"c', i, '":{"name":"c', i, '","value":', (key + i) / 4, ',"type":"float","unit":"kg"}'
+        ),
+    )
+    whole = _record(
+        F.lit('"timestamp":"2024-01-01 00:00:00"'),
+        F.lit('"schema":"telemetry","table":"wide"'),
+        _joined('"deviceid":"d', key, '"'),
+        fields=_joined("{", F.array_join(fields, ","), "}"),
+    )
+    return spark.read.parquet(f"{folder}/customer.parquet").select(
+        key.cast("bigint").alias("seq"),
+        F.lit("plant/wide/0").alias("topic"),
+        whole.alias("payload"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("recv_ts"),
+    )

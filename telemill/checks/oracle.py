@@ -3,7 +3,7 @@ JSON made of them."""
 
 from __future__ import annotations
 
-from telemill.checks.feeds import FAULTS
+from telemill.checks.feeds import FAULTS, WIDE_FIELDS
 
 _RULES = " ".join(f"WHEN event_id % {number} = 0 THEN '{kind}'" for number, kind in FAULTS)
 
@@ -146,6 +146,11 @@ SELECT event_id AS seq, route_table, stamp AS "timestamp", device AS deviceid,
   CAST(CASE event_type WHEN 'error' THEN event_id % 5 END AS DOUBLE) AS level,
   CASE event_type WHEN 'error' THEN 'TCP' END AS source
 FROM feed WHERE parsed
+""",
+    "wide_record": f"""
+SELECT c_custkey AS seq, 'd' || c_custkey AS deviceid,
+  CAST((c_custkey * {WIDE_FIELDS} + {WIDE_FIELDS * (WIDE_FIELDS + 1) // 2}) / 4 AS DOUBLE) AS total
+FROM customer
 """,
     "batch_alignment": LISTS + "SELECT DISTINCT batch AS seq, aligned FROM lists",
     "type_mapping": CELLS + """

@@ -20,7 +20,7 @@ from telemill.operators.dictionary import ROUTE, column_dictionary
 from telemill.options import Options
 from telemill.plans.load import LoadReport, load
 from telemill.plans.parse import parse, parse_telemetry, register_parser
-from telemill.session import configure, scratch_dir
+from telemill.session import scratch_dir
 from telemill.sinks import plain, tables
 from telemill.sinks.publish import publish
 from telemill.sources.raw import read_raw, stream_raw
@@ -68,17 +68,14 @@ def loaded_feed(spark: SparkSession, folder: str) -> tuple[Options, LoadReport]:
 
 
 def judged_obj(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
     return judge(decode(feeds.raw_obj(spark, folder)))
 
 
 def parsed_obj(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
     return parse(feeds.raw_obj(spark, folder))
 
 
 def parsed_list(spark: SparkSession, folder: str, options: Options | None = None) -> DataFrame:
-    configure(spark)
     return parse(feeds.raw_list(spark, folder), options)
 
 
@@ -134,7 +131,6 @@ def series_insert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decode_json(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
     decoded = decode(feeds.raw_obj(spark, folder))
     return decoded.select("seq", F.col("root").isNotNull().alias("valid"))
 
@@ -167,7 +163,6 @@ def rejected_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_explode(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
     return elements(judge(decode(feeds.raw_list(spark, folder)))).select(
         "seq", "pos", F.try_variant_get("record.deviceid", "$", "string").alias("deviceid")
     )
@@ -201,6 +196,14 @@ def flatten_wide(spark: SparkSession, folder: str) -> DataFrame:
     return flatten.wide(rows, columns, Options(), "seq", "route_table")
 
 
+def wide_record(spark: SparkSession, folder: str) -> DataFrame:
+    rows = flatten.rows(flatten.accepted(parse(feeds.raw_wide(spark, folder)), "data"))
+    names = [f"c{number}" for number in range(1, feeds.WIDE_FIELDS + 1)]
+    wide = flatten.wide(rows, dict.fromkeys(names, cell_rules.DOUBLE), Options(), "seq", checked=True)
+    total = F.aggregate(F.array(*names), F.lit(0.0), lambda left, right: left + right)
+    return wide.select("seq", "deviceid", total.alias("total"))
+
+
 def batch_alignment(spark: SparkSession, folder: str) -> DataFrame:
     data = parsed_list(spark, folder).where(F.col("target") == "data")
     return data.select("seq", F.col("reason").isNull().alias("aligned"))
@@ -394,7 +397,6 @@ def stream_admission(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
     options = fresh(spark, "streamed")
     landing = land(spark, feeds.raw_obj(spark, folder), "landing")
     raw = stream_raw(spark, landing, max_files_per_trigger=LANDING_FILES // 2)
@@ -424,7 +426,6 @@ def ingest_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parser_registry(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
 
     def errors_only(raw: DataFrame, options: Options) -> DataFrame:
         return parse_telemetry(subscribe(raw, ["plant/error/#"]), options)
@@ -451,6 +452,7 @@ QUERIES = {
     "route": route,
     "flatten_long": flatten_long,
     "flatten_wide": flatten_wide,
+    "wide_record": wide_record,
     "batch_alignment": batch_alignment,
     "type_mapping": type_mapping,
     "json_cell": json_cell,

@@ -21,7 +21,6 @@ from telemill.operators.coerce import row_fault
 from telemill.operators.dictionary import ROUTE, column_dictionary, route_columns
 from telemill.options import Options
 from telemill.plans.parse import DEFAULT_PARSER, parse
-from telemill.session import configure
 from telemill.sinks import quarantine, tables
 
 
@@ -53,7 +52,7 @@ def load(
     costs no second parse. The folder may be dropped after the load.
     """
     options = options or Options()
-    spark = configure(raw.sparkSession)
+    spark = raw.sparkSession
     report = LoadReport(batch)
     quarantine.ensure(spark, options)
     source = raw.repartition(options.parse_tasks) if options.parse_tasks else raw
@@ -64,7 +63,7 @@ def load(
             quarantine.write(flatten.rejected(staged), batch, quarantine.PAYLOADS, options)
         ready = _ensure_tables(spark, staged, options)
 
-        def append(route: tuple[str, str], columns: dict[str, str], complete: bool) -> None:
+        def append(route: tuple[str, str], columns: dict[str, str], complete: bool) -> tuple:
             mine = flatten.accepted(staged).where(
                 (F.col("route_schema") == route[0]) & (F.col("route_table") == route[1])
             )
@@ -72,15 +71,18 @@ def load(
             rows = flatten.wide(fitting_rows(mine, fault), columns, options, checked=True)
             # Staged files lie by table and day already.
             tables.append(rows, *route, batch, options, gather=staging is None)
-            report.stored[route] = tables.count_batch(spark, *route, batch, options)
-            if report.stored[route] < expected.get(route, 0):
-                refused = refused_outcomes(mine, fault)
-                for row in refused.groupBy("reason").count().collect():
-                    report.refuse(row["reason"], row["count"])
-                found = quarantine.with_payload(refused, raw)
-                quarantine.write(found, batch, ".".join(route), options)
-
-        _in_threads(spark, append, ready, options.parallel_routes)
+            stored = tables.count_batch(spark, *route, batch, options)
+            if stored == expected[route]:
+                return route, stored, []
+            refused = refused_outcomes(mine, fault)
+            found = quarantine.with_payload(refused, raw)
+            quarantine.write(found, batch, ".".join(route), options)
+            return route, stored, refused.groupBy("reason").count().collect()
+
+        for route, stored, refused in _in_threads(spark, append, ready, options.parallel_routes):
+            report.stored[route] = stored
+            for reason, count in refused:
+                report.refuse(reason, count)
     return report
 
 
@@ -151,13 +153,8 @@ def refused_outcomes(mine: DataFrame, fault: Column) -> DataFrame:
     return mine.select("seq", "target", "pos", "violations", reason).where(F.col("reason").isNotNull())
 
 
-def _in_threads(spark: SparkSession, task: Callable, arguments: list[tuple], width: int) -> None:
-    """Small tables do not fill a cluster one at a time."""
-    if len(arguments) < 2 or width < 2:
-        for item in arguments:
-            task(*item)
-        return
-    with ThreadPoolExecutor(max_workers=width) as pool:
+def _in_threads(spark: SparkSession, task: Callable, arguments: list[tuple], width: int) -> list:
+    """Results of all calls; small tables do not fill a cluster one at a time."""
+    with ThreadPoolExecutor(max_workers=max(width, 1)) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(task), *item) for item in arguments]
-        for one in running:
-            one.result()
+        return [one.result() for one in running]

@@ -118,6 +118,17 @@ def test_column_limit_quarantines_what_does_not_fit(spark, options):
     assert values(quarantine.read(spark, few), "seq") == [(2,), (3,)]
 
 
+def test_an_empty_load(spark, options):
+    report = load(raw_of(spark, [record(a=1.0)]).where("seq < 0"), "none", options)
+    assert (report.stored, report.refused) == ({}, {})
+
+
+def test_a_message_without_listed_columns(spark, options):
+    bare = Options(database_prefix=options.database_prefix, warehouse=options.warehouse, message_columns=("level",))
+    report = load(raw_of(spark, [record(message={"value": "m"})]), "one", bare)
+    assert report.stored == {("s", "t"): 1, ("public", "message"): 1}
+
+
 def test_a_hot_table_and_a_hot_day(spark, options, tmp_path):
     payloads = [record(1 if n % 3 else 2, table="hot" if n % 3 else "cold", a=n) for n in range(3000)]
     load(raw_of(spark, payloads).repartition(8), "one", options, staging=str(tmp_path / "staging"))
