@@ -14,6 +14,7 @@ from telemill.checks import feeds
 from telemill.checks.queries import fresh
 from telemill.operators import coerce, flatten
 from telemill.operators.dictionary import column_dictionary
+from telemill.plans.load import stage
 from telemill.session import scratch_dir
 from telemill.sources.raw import read_raw, stream_raw
 
@@ -64,7 +65,7 @@ def main() -> None:
         start_ingest(raw, "bench", scratch_dir(spark, "progress"), fresh(spark, "bench")).awaitTermination()
 
     def coerced() -> None:
-        outcomes = parse(read_raw(spark, objects))
+        outcomes = stage(parse(read_raw(spark, objects)), scratch_dir(spark, "outcomes"))
         run(coerce.coerced_cells(outcomes, column_dictionary(outcomes, Options())))
 
     work: dict[str, Callable[[], None]] = {

@@ -46,7 +46,8 @@ def _joined(*parts: str | Column) -> Column:
 
 
 def _second(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    # By its text, which no session time zone can shift.
+    return F.substring(ts.cast("string"), 1, 19)
 
 
 def _member(name: str, value: Column, tag: str) -> Column:

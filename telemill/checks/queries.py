@@ -18,7 +18,7 @@ from telemill.operators import coerce, flatten, reads
 from telemill.operators.decode import STRUCTURE_REASONS, decode, elements, judge
 from telemill.operators.dictionary import ROUTE, column_dictionary
 from telemill.options import Options
-from telemill.plans.load import LoadReport, load
+from telemill.plans.load import LoadReport, load, stage
 from telemill.plans.parse import parse, parse_telemetry, register_parser
 from telemill.session import scratch_dir
 from telemill.sinks import plain, tables
@@ -150,7 +150,8 @@ def accepted_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rejected_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    outcomes = parsed_obj(spark, folder)
+    # Read twice: for the types of the columns, then for the cells.
+    outcomes = stage(parsed_obj(spark, folder), scratch_dir(spark, "outcomes"))
     early = flatten.rejected(outcomes.where(F.col("target") == "data"))
     coerced = coerce.coerced_cells(outcomes, column_dictionary(outcomes, Options()))
     late = coerce.misfits(coerced.where(F.col("target") == "data"))
@@ -220,7 +221,8 @@ def json_cell(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cell_coercion(spark: SparkSession, folder: str) -> DataFrame:
-    outcomes = flatten.accepted(parsed_obj(spark, folder), "data")
+    staged = stage(parsed_obj(spark, folder), scratch_dir(spark, "outcomes"))
+    outcomes = flatten.accepted(staged, "data")
     coerced = coerce.coerced_cells(outcomes, column_dictionary(outcomes, Options()))
     return coerced.select("seq", "column", "storage", "fits", "number", "text_value")
 

@@ -86,25 +86,34 @@ def load(
     return report
 
 
-@contextmanager
-def _staged(parsed: DataFrame, staging: str | None) -> Iterator[DataFrame]:
-    if staging is None:
-        kept = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            yield kept
-        finally:
-            kept.unpersist()
-        return
-    # Gathered by table and day, so that neither these files nor the tables' own become
-    # many and small. The rebalance splits a table or day that is too large for one task.
+def stage(outcomes: DataFrame, folder: str) -> DataFrame:
+    """Writes outcomes to a new folder and reads them back, for work that needs them more
+    than once.
+
+    They are gathered by table and day, so that neither these files nor the tables' own
+    become many and small. The rebalance splits a table or day that is too large for one
+    task.
+    """
     first_day = F.get("rows", F.lit(0))["ts"].cast("date")
     (
-        parsed.withColumn("first_day", first_day)
+        outcomes.withColumn("first_day", first_day)
         .hint("rebalance", *ROUTE, "first_day")
         .write.partitionBy(*ROUTE)
-        .parquet(staging)
+        .parquet(folder)
     )
-    yield parsed.sparkSession.read.schema(parsed.schema).parquet(staging)
+    return outcomes.sparkSession.read.schema(outcomes.schema).parquet(folder)
+
+
+@contextmanager
+def _staged(parsed: DataFrame, staging: str | None) -> Iterator[DataFrame]:
+    if staging is not None:
+        yield stage(parsed, staging)
+        return
+    kept = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
 
 
 def _count(staged: DataFrame, report: LoadReport) -> dict[tuple[str, str], int]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -20,9 +21,10 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder the cluster names in
     ``spark.checkpoint.dir``; a local one is used only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="telemill-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/telemill/{purpose}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="telemill-")
