@@ -75,9 +75,9 @@ def load(
             if stored == expected[route]:
                 return route, stored, []
             refused = refused_outcomes(mine, fault)
-            found = quarantine.with_payload(refused, raw)
-            quarantine.write(found, batch, ".".join(route), options)
-            return route, stored, refused.groupBy("reason").count().collect()
+            scope = ".".join(route)
+            quarantine.write(quarantine.with_payload(refused, raw), batch, scope, options)
+            return route, stored, quarantine.reasons(spark, batch, scope, options)
 
         for route, stored, refused in _in_threads(spark, append, ready, options.parallel_routes):
             report.stored[route] = stored

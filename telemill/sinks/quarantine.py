@@ -51,3 +51,11 @@ def write(rejects: DataFrame, batch: str, scope: str, options: Options) -> None:
 
 def read(spark: SparkSession, options: Options) -> DataFrame:
     return spark.table(_name(options))
+
+
+def reasons(spark: SparkSession, batch: str, scope: str, options: Options) -> list[tuple[str, int]]:
+    """Refusals of a load in one scope, counted by reason."""
+    kept = read(spark, options).where(
+        (F.col(options.batch_column) == batch) & (F.col("scope") == scope)
+    )
+    return [tuple(row) for row in kept.groupBy("reason").count().collect()]
