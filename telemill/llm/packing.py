@@ -126,7 +126,7 @@ class WordIds(dict):
     def learn(self, words: set[str]) -> None:
         if len(self) > REMEMBERED:
             self.clear()
-        unknown = list(words.difference(self))
+        unknown = [word for word in words if word not in self]
         found = self._tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
         self.update((word, array("I", x.ids).tobytes()) for word, x in zip(unknown, found))
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from telemill.llm.bytebpe import decode, encode
 from telemill.llm.exact import exact_duplicates
 from telemill.llm.lines import dedup_lines
 from telemill.llm.packing import packed_documents
 from telemill.llm.shards import shards
 from telemill.llm.shared import documents
+from telemill.llm.sketches import edited_versions
 
 WINDOW = 2048
 END_ID = 1
@@ -20,6 +22,17 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(documents(spark, folder), path, END_ID, WINDOW)
 
 
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = decode(encode(documents(spark, folder), path, public_tokenizers.PATTERN), path)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = dedup_lines(documents(spark, folder))
     return found.select("doc_id", "n_lines", "n_removed", "text")
@@ -29,13 +42,28 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(documents(spark, folder))
 
 
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = edited_versions(documents(spark, folder))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards(documents(spark, folder))
 
 
 QUERIES = {
     "op1_packing": packing,
+    "op3_byte_bpe": byte_bpe,
     "op7_line_dedup": line_dedup,
     "op8_exact_dedup": exact_dedup,
+    "op9_fingerprints": fingerprints,
     "op10_sharding": sharding,
 }
