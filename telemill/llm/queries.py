@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from telemill.llm.bytebpe import decode, encode
+from telemill.llm.counts import token_counts
 from telemill.llm.exact import exact_duplicates
+from telemill.llm.lattice import scored
 from telemill.llm.lines import dedup_lines
 from telemill.llm.packing import packed_documents
 from telemill.llm.shards import shards
@@ -22,6 +24,15 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(documents(spark, folder), path, END_ID, WINDOW)
 
 
+def counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def held_out(modulus: int) -> Column:
+    """Whether the remainder of the key's check sum is 1; a null key counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == 1
+
+
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     found = decode(encode(documents(spark, folder), path, public_tokenizers.PATTERN), path)
@@ -33,6 +44,12 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text", (~held_out(5)).alias("learn"))
+    found = scored(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumn("held_out", ~F.col("learn")).drop("learn")
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = dedup_lines(documents(spark, folder))
     return found.select("doc_id", "n_lines", "n_removed", "text")
@@ -61,7 +78,9 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": packing,
+    "op2_token_counts": counts,
     "op3_byte_bpe": byte_bpe,
+    "op4_lattice": language_model,
     "op7_line_dedup": line_dedup,
     "op8_exact_dedup": exact_dedup,
     "op9_fingerprints": fingerprints,
