@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from telemill.llm.bytebpe import decode, encode
 from telemill.llm.counts import token_counts
 from telemill.llm.exact import exact_duplicates
+from telemill.llm.language import identify, learn
 from telemill.llm.lattice import scored
 from telemill.llm.lines import dedup_lines
 from telemill.llm.packing import packed_documents
@@ -50,6 +51,12 @@ def language_model(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", ~F.col("learn")).drop("learn")
 
 
+def language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    found = identify(docs, learn(docs, ~held_out(3)))
+    return found.select("doc_id", held_out(3).alias("held_out"), "lang_pred", "score", "spans")
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = dedup_lines(documents(spark, folder))
     return found.select("doc_id", "n_lines", "n_removed", "text")
@@ -81,6 +88,7 @@ QUERIES = {
     "op2_token_counts": counts,
     "op3_byte_bpe": byte_bpe,
     "op4_lattice": language_model,
+    "op6_language": language,
     "op7_line_dedup": line_dedup,
     "op8_exact_dedup": exact_dedup,
     "op9_fingerprints": fingerprints,
