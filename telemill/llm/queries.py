@@ -11,6 +11,7 @@ from telemill.llm.exact import exact_duplicates
 from telemill.llm.language import identify, learn
 from telemill.llm.lattice import scored
 from telemill.llm.lines import dedup_lines
+from telemill.llm.near import near_duplicates
 from telemill.llm.packing import packed_documents
 from telemill.llm.shards import shards
 from telemill.llm.shared import documents
@@ -51,6 +52,10 @@ def language_model(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", ~F.col("learn")).drop("learn")
 
 
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder))
+
+
 def language(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     found = identify(docs, learn(docs, ~held_out(3)))
@@ -88,6 +93,7 @@ QUERIES = {
     "op2_token_counts": counts,
     "op3_byte_bpe": byte_bpe,
     "op4_lattice": language_model,
+    "op5_near_dedup": near_dedup,
     "op6_language": language,
     "op7_line_dedup": line_dedup,
     "op8_exact_dedup": exact_dedup,
