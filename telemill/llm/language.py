@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemill.llm.shared import mapped, pick, whole
+from telemill.llm.shared import mapped, pick, staged, temporary, whole
 
 #: Features of a model; parts of words share them by hash, which bounds the model.
 FEATURES = 1 << 15
@@ -214,6 +214,18 @@ def _labelled(model: Model, keys: pa.Array, texts: list[np.ndarray], words: list
     return pa.record_batch([keys, pa.array(predicted, pa.string()), pa.array(score), lists], schema=PREDICTED)
 
 
+def in_a_language(
+    docs: DataFrame, model: Model, least: float = 0.5, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` without those of no determined language: no letters, or less than ``least`` of
+    them in the language predicted. Rows that repeat a key are judged by the best of them."""
+    found = identify(docs, model, key, text).where(F.col("lang_pred") != UNDETERMINED)
+    found = staged(found.where(F.col("score") >= least).select("doc_id").distinct(), "accepted")
+    name = temporary()
+    found = found.withColumnRenamed("doc_id", name)
+    return docs.join(found, docs[key].eqNullSafe(found[name]), "left_semi")
+
+
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The language of every text: ``doc_id, lang_pred, score, spans``.
 

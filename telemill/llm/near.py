@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from telemill.llm.components import components
-from telemill.llm.shared import mapped, pick, staged, whole
+from telemill.llm.shared import mapped, pick, staged, temporary, whole
 
 WORDS, SIMILARITY = 5, 0.8
 #: Signature components in bands; a pair of similarity 0.8 shares a band with probability 0.997.
@@ -257,6 +257,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the documents that are not the kept one of their class. Rows that repeat
+    a key are one document, which stays if one of them does."""
+    found = near_duplicates(docs, key, text).groupBy(key).agg(F.max("kept").alias("kept"))
+    gone, name = staged(found.where("NOT kept").select(key), "gone"), temporary()
+    gone = gone.select(F.col(key).alias(name))
+    return docs.join(gone, docs[key].eqNullSafe(gone[name]), "left_anti")
+
+
 def _open_pairs(spread: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs of a bucket that the comparison with its head leaves open."""
     placed = spread.join(labels, spread["row"] == labels["node"], "left").select(
