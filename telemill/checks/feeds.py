@@ -189,6 +189,50 @@ def raw_evolving(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [feed.where(F.col("part") == number).drop("part") for number in range(3)]
 
 
+MANY_COLUMNS = 2000
+
+
+def raw_many(spark: SparkSession, folder: str) -> DataFrame:
+    """One record per part with one field of many, that of its key's remainder."""
+    key = F.col("p_partkey")
+    field = _joined('"c', key % MANY_COLUMNS, '":{"value":', key, '.5,"type":"float"}')
+    whole = _record(
+        F.lit('"timestamp":"2024-01-01 00:00:00"'),
+        F.lit('"schema":"telemetry","table":"many"'),
+        _joined('"deviceid":"d', key, '"'),
+        fields=_joined("{", field, "}"),
+    )
+    return spark.read.parquet(f"{folder}/part.parquet").select(
+        key.cast("bigint").alias("seq"),
+        F.lit("plant/many/0").alias("topic"),
+        whole.alias("payload"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("recv_ts"),
+    )
+
+
+# Routes that cannot be stored, by the remainder of the event id.
+BAD_ROUTES = {
+    0: ("global_temp", "good"), 1: ("telemetry", "t" * 300), 2: ("quarantine", "rejects"), 3: ("telemetry", "plain"),
+}
+
+
+def raw_isolated(spark: SparkSession, folder: str) -> DataFrame:
+    """One record per event, a few of them for tables that cannot take it."""
+    kind = F.col("event_id") % 50
+    route = F.lit('"schema":"telemetry","table":"good"')
+    for number, (schema, table) in BAD_ROUTES.items():
+        route = F.when(kind == number, f'"schema":"{schema}","table":"{table}"').otherwise(route)
+    whole = _record(
+        _joined('"timestamp":"', _second(F.col("ts")), '"'),
+        route,
+        _joined('"deviceid":"dev-', F.col("user_id"), '"'),
+        fields=_joined('{"value":{"value":', F.col("value"), ',"type":"float"}}'),
+    )
+    return events(spark, folder).select(
+        F.col("event_id").alias("seq"), F.lit("plant/x/0").alias("topic"), whole.alias("payload"), F.col("ts").alias("recv_ts")
+    )
+
+
 def raw_wide(spark: SparkSession, folder: str) -> DataFrame:
     """One record of 576 numeric fields per customer; field i is (customer key + i) / 4."""
     key = F.col("c_custkey")

@@ -3,7 +3,7 @@ JSON made of them."""
 
 from __future__ import annotations
 
-from telemill.checks.feeds import FAULTS, WIDE_FIELDS
+from telemill.checks.feeds import FAULTS, MANY_COLUMNS, WIDE_FIELDS
 
 _RULES = " ".join(f"WHEN event_id % {number} = 0 THEN '{kind}'" for number, kind in FAULTS)
 
@@ -78,16 +78,55 @@ CELLS = FEED + """
 )
 """
 
-_ALL_TABLES = FEED + """
+def _all_tables(where: str = "true", more: str = "") -> str:
+    return FEED + f"""
 SELECT route_table AS table_name, stamp AS "timestamp", device AS deviceid, value,
-  CAST(k_value AS DOUBLE) AS k, props_value AS props
-FROM feed WHERE stored
+  CAST(k_value AS DOUBLE) AS k, props_value AS props, {_MESSAGE} {more}
+FROM feed WHERE stored AND {where}
+UNION ALL
+SELECT 'message', stamp, device, NULL, NULL, NULL, {_MESSAGE} {more}
+FROM feed WHERE parsed AND event_type = 'error' AND {where}
+"""
+
+
+_MESSAGE = """
+  CASE event_type WHEN 'error' THEN 'err ' || event_id END AS message,
+  CAST(CASE event_type WHEN 'error' THEN event_id % 5 END AS DOUBLE) AS level,
+  CASE event_type WHEN 'error' THEN 'TCP' END AS source"""
+
+_REASON = """CASE kind WHEN 'bad_json' THEN 'bad_json' WHEN 'scalar_root' THEN 'bad_payload_type'
+            WHEN 'empty_list' THEN 'empty_batch' WHEN 'ts_null' THEN 'null_timestamp'
+            WHEN 'bad_cell' THEN 'cast_failed' ELSE 'structure' END"""
+
+# The payloads of the object feed, as far as refused ones have them.
+_PAYLOAD = """
+CASE kind WHEN 'scalar_root' THEN '5' WHEN 'empty_list' THEN '[]' ELSE
+  (CASE kind WHEN 'bad_json' THEN left(whole, length(whole) - 1) ELSE whole END) END"""
+
+_WHOLE = FEED + """, written AS (
+  SELECT *, '{' || concat_ws(',',
+    CASE kind WHEN 'ts_null' THEN '"timestamp":null' WHEN 'ts_missing' THEN NULL
+      ELSE '"timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"' END,
+    CASE WHEN kind <> 'route_missing' THEN '"schema":"telemetry","table":"' || event_type || '"' END,
+    CASE WHEN kind <> 'id_missing' THEN '"deviceid":"dev-' || user_id || '"' END,
+    '"fields":' || CASE kind WHEN 'no_fields' THEN '{}' WHEN 'flat_fields' THEN '{"value":5,"k":"x"}' ELSE
+      '{' || concat_ws(',',
+        '"value":{"value":' || CASE kind WHEN 'bad_cell' THEN '"abc"' ELSE CAST(value AS VARCHAR) END
+          || ',"type":"float","unit":"mm"}',
+        '"k":{"value":' || k_value || ',"type":"int"}',
+        '"props":{"value":' || props || ',"type":"json"}',
+        CASE event_type WHEN 'error' THEN '"message":{"value":"err ' || event_id || '","type":"str"},"level":{"value":'
+          || (event_id % 5) || ',"type":"int"},"source":{"value":"TCP","type":"str"}' END) || '}' END) || '}' AS whole
+  FROM feed
+)
 """
 
 _TOPIC = "'plant/' || event_type || '/' || (user_id % 4)"
 
 ORACLE = {
-    "raw_stream_scan": f"SELECT event_id AS seq, {_TOPIC} AS topic, ts AS recv_ts FROM events",
+    "raw_stream_scan": _WHOLE + f"""
+SELECT event_id AS seq, {_TOPIC} AS topic, ts AS recv_ts, {_PAYLOAD} AS payload FROM written
+""",
     "topic_filter": f"""
 SELECT event_id AS seq, {_TOPIC} AS topic FROM events WHERE event_type = 'error' OR user_id % 4 = 0
 """,
@@ -117,14 +156,11 @@ SELECT event_id AS seq,
 FROM feed
 """,
     "accepted_payloads": FEED + "SELECT event_id AS seq FROM feed WHERE sound",
-    "rejected_payloads": FEED + """
-SELECT event_id AS seq,
-  CASE kind WHEN 'bad_json' THEN 'bad_json' WHEN 'scalar_root' THEN 'bad_payload_type'
-            WHEN 'empty_list' THEN 'empty_batch' WHEN 'ts_null' THEN 'null_timestamp'
-            WHEN 'bad_cell' THEN 'cast_failed' ELSE 'structure' END AS reason,
+    "rejected_payloads": _WHOLE + f"""
+SELECT event_id AS seq, {_REASON} AS reason, {_PAYLOAD} AS payload,
   CAST(CASE kind WHEN 'bad_json' THEN NULL WHEN 'no_fields' THEN 1 WHEN 'scalar_root' THEN 1
                  WHEN 'flat_fields' THEN 2 ELSE 0 END AS INTEGER) AS violations
-FROM feed WHERE NOT stored
+FROM written WHERE NOT stored
 """,
     "batch_explode": LISTS + """
 SELECT batch AS seq, CAST(pos AS INTEGER) AS pos, 'dev-' || user_id AS deviceid FROM lists
@@ -182,8 +218,11 @@ SELECT row_number() OVER (ORDER BY event_id) AS id, CAST(event_id AS DOUBLE) AS
 FROM events
 """,
     "time_partitioned_table": FEED + """
-SELECT CAST(stamp AS DATE) AS ts_date, count(*) AS rows FROM feed
-WHERE stored AND route_schema = 'telemetry' AND route_table = 'view' GROUP BY ts_date
+SELECT route_table AS table_name, CAST(stamp AS DATE) AS ts_date, count(*) AS rows FROM feed
+WHERE stored GROUP BY ALL
+UNION ALL
+SELECT 'message', CAST(stamp AS DATE) AS ts_date, count(*) FROM feed
+WHERE parsed AND event_type = 'error' GROUP BY ts_date
 """,
     "time_range": FEED + """
 SELECT stamp AS "timestamp", device AS deviceid, CAST(k_value AS DOUBLE) AS k, props_value AS props, value
@@ -195,6 +234,10 @@ WHERE stored AND route_schema = 'telemetry' AND route_table = 'view'
 SELECT date_trunc('second', ts) AS "timestamp", 'dev-' || user_id AS deviceid, value,
   CASE WHEN part >= 1 THEN k_value END AS k, CASE WHEN part = 2 THEN props_value END AS props
 FROM evolving
+""",
+    "many_columns": f"""
+SELECT 'd' || p_partkey AS deviceid, 'c' || (p_partkey % {MANY_COLUMNS}) AS filled, p_partkey + CAST(0.5 AS DOUBLE) AS value
+FROM part
 """,
     "column_dictionary": CELLS + """
 SELECT route_schema, route_table, "column", storage, min(event_id) AS first_seq
@@ -212,10 +255,11 @@ FROM lists WHERE aligned
 """,
     "ensure_then_append": EVOLVING + """
 SELECT date_trunc('second', ts) AS "timestamp", 'dev-' || user_id AS deviceid, value,
-  CASE WHEN part >= 1 THEN k_value END AS k
-FROM evolving WHERE part < 2
+  CASE WHEN part >= 1 THEN k_value END AS k, CASE WHEN part = 2 THEN props_value END AS props,
+  CAST(ts AS DATE) AS ts_date, 'part-' || part AS ingest_batch
+FROM evolving
 """,
-    "routed_append": _ALL_TABLES,
+    "routed_append": _all_tables(),
     "latest_n": FEED + """
 SELECT stamp AS "timestamp", device AS deviceid, CAST(k_value AS DOUBLE) AS k,
   CAST(event_id % 5 AS DOUBLE) AS level, 'err ' || event_id AS message, props_value AS props,
@@ -229,20 +273,54 @@ FROM feed WHERE stored AND route_schema = 'telemetry' AND route_table = 'error'
 ORDER BY message DESC NULLS FIRST LIMIT 20
 """,
     "latest_n_missing": FEED + """
-SELECT 'present' AS case_name, least(count(*), 5) AS rows FROM feed
+(SELECT 'present' AS case_name, stamp AS "timestamp", 'err ' || event_id AS message FROM feed
 WHERE stored AND route_schema = 'telemetry' AND route_table = 'error'
-UNION ALL SELECT 'no_table', 0 UNION ALL SELECT 'no_column', 0
+ORDER BY stamp DESC, message DESC LIMIT 5)
+UNION ALL SELECT 'no_table', NULL, NULL UNION ALL SELECT 'no_column', NULL, NULL
 """,
     "publish_fanout": """
 SELECT topic, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type
   || '"}' AS payload
 FROM events, (VALUES ('topic/x'), ('topic/y')) AS t(topic)
 """,
-    "stream_admission": "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS messages FROM events",
-    "stream_ingest": _ALL_TABLES,
+    "stream_admission": "SELECT event_id AS seq, 4 AS batches FROM events",
+    "stream_ingest": _all_tables(),
+    "stream_restart": _all_tables(),
     "replay_idempotent": LISTS + """
-SELECT 'batch' AS table_name, count(*) AS rows FROM lists WHERE aligned
-UNION ALL SELECT 'message', count(*) FROM lists WHERE has_message
+SELECT 'batch' AS table_name, first_stamp AS "timestamp", first_device AS deviceid, value, CAST(k_value AS DOUBLE) AS k,
+  CASE WHEN has_message THEN 'err ' || event_id END AS message,
+  CAST(CASE WHEN has_message THEN event_id % 5 END AS DOUBLE) AS level,
+  CASE WHEN has_message THEN 'TCP' END AS source
+FROM lists WHERE aligned
+UNION ALL
+SELECT 'message', date_trunc('second', ts), 'dev-' || user_id, NULL, NULL, 'err ' || event_id,
+  CAST(event_id % 5 AS DOUBLE), 'TCP'
+FROM lists WHERE has_message
+""",
+    "replay_changed": _all_tables(
+        "event_id > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)",
+        ", CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS target, CAST(NULL AS VARCHAR) AS reason",
+    ) + f"""
+UNION ALL
+SELECT 'rejects', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, event_id, target, {_REASON}
+FROM feed, (VALUES ('data'), ('message')) AS t(target)
+WHERE NOT stored AND event_id > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)
+  AND (target = 'data' OR (kind = 'ts_null' AND event_type = 'error'))
+""",
+    "isolated_routes": """
+SELECT 'stored' AS outcome, 'dev-' || user_id AS deviceid, value, CAST(NULL AS BIGINT) AS seq
+FROM events WHERE event_id % 50 > 3
+UNION ALL
+SELECT CASE WHEN event_id % 50 = 3 THEN 'bad_table' ELSE 'bad_route' END, NULL, NULL, event_id
+FROM events WHERE event_id % 50 <= 3
+""",
+    "compacted": FEED + """
+SELECT CAST(stamp AS DATE) AS ts_date, count(*) AS rows, sum(value) AS total, count(DISTINCT event_id % 3 = 2) AS batches
+FROM feed WHERE stored AND route_schema = 'telemetry' AND route_table = 'view' GROUP BY ts_date
+""",
+    "write_messages": f"""
+SELECT sent AS topic, '{{"seq":' || event_id || ',"topic":"' || {_TOPIC} || '"}}' AS payload
+FROM events, (VALUES ('topic/x'), ('topic/y')) AS t(sent)
 """,
     "ingest_metrics": FEED + """
 SELECT 'stored' AS metric, route_table AS name, count(*) AS value FROM feed WHERE stored GROUP BY route_table

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,13 +17,14 @@ from telemill.checks import feeds
 from telemill.functions import cells as cell_rules
 from telemill.operators import coerce, flatten, reads
 from telemill.operators.decode import STRUCTURE_REASONS, decode, elements, judge
-from telemill.operators.dictionary import ROUTE, column_dictionary
+from telemill.operators.dictionary import ROUTE, column_dictionary, route_columns
 from telemill.options import Options
 from telemill.plans.load import LoadReport, load, stage
 from telemill.plans.parse import parse, parse_telemetry, register_parser
 from telemill.session import scratch_dir
-from telemill.sinks import plain, tables
-from telemill.sinks.publish import publish
+from telemill.sinks import plain, quarantine, tables
+from telemill.sinks.compact import compact
+from telemill.sinks.publish import publish, write_messages
 from telemill.sources.raw import read_raw, stream_raw
 from telemill.sources.series import series
 from telemill.sources.topics import fan_out, subscribe
@@ -38,6 +40,8 @@ FEED_ROUTES = (
     ("public", "example"),
 )
 
+MESSAGES = ("public", "message")
+
 MESSAGE_STORAGE = {
     "message": cell_rules.STRING,
     "level": cell_rules.DOUBLE,
@@ -79,6 +83,14 @@ def parsed_list(spark: SparkSession, folder: str, options: Options | None = None
     return parse(feeds.raw_list(spark, folder), options)
 
 
+def by_table(outcomes: DataFrame) -> Iterator[tuple[DataFrame, dict[str, str]]]:
+    """The outcomes for each of the feed's tables, with the types of its columns."""
+    staged = stage(outcomes, scratch_dir(outcomes.sparkSession, "outcomes"))
+    for row in route_columns(column_dictionary(staged)).toLocalIterator():
+        mine = staged.where((F.col("route_schema") == row.route_schema) & (F.col("route_table") == row.route_table))
+        yield mine, {entry.column: entry.storage for entry in row.columns}
+
+
 def land(spark: SparkSession, raw: DataFrame, purpose: str) -> str:
     path = scratch_dir(spark, purpose)
     raw.repartition(LANDING_FILES).write.parquet(path)
@@ -100,7 +112,7 @@ def raw_stream_scan(spark: SparkSession, folder: str) -> DataFrame:
         .start()
         .awaitTermination()
     )
-    return read_raw(spark, out).select("seq", "topic", "recv_ts")
+    return read_raw(spark, out)
 
 
 def topic_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,14 +162,9 @@ def accepted_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rejected_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    # Read twice: for the types of the columns, then for the cells.
-    outcomes = stage(parsed_obj(spark, folder), scratch_dir(spark, "outcomes"))
-    early = flatten.rejected(outcomes.where(F.col("target") == "data"))
-    coerced = coerce.coerced_cells(outcomes, column_dictionary(outcomes, Options()))
-    late = coerce.misfits(coerced.where(F.col("target") == "data"))
-    return early.select("seq", "reason", "violations").unionByName(
-        late.select("seq", F.lit("cast_failed").alias("reason"), F.lit(0).alias("violations"))
-    )
+    options, _ = loaded_feed(spark, folder)
+    kept = quarantine.read(spark, options).where(F.col("target") == "data")
+    return kept.select("seq", "reason", "violations", "payload")
 
 
 # Rows and cells
@@ -189,12 +196,11 @@ def flatten_long(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flatten_wide(spark: SparkSession, folder: str) -> DataFrame:
-    outcomes = parsed_obj(spark, folder)
-    # One row per distinct column of a handful of tables.
-    found = column_dictionary(flatten.accepted(outcomes, "data"), Options())
-    columns = {row.column: row.storage for row in found.select("column", "storage").distinct().collect()}
-    rows = flatten.rows(flatten.accepted(outcomes, "data"))
-    return flatten.wide(rows, columns, Options(), "seq", "route_table")
+    parts = [
+        flatten.wide(flatten.rows(outcomes), columns, Options(), "seq", "route_table")
+        for outcomes, columns in by_table(flatten.accepted(parsed_obj(spark, folder), "data"))
+    ]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def wide_record(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,10 +227,8 @@ def json_cell(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cell_coercion(spark: SparkSession, folder: str) -> DataFrame:
-    staged = stage(parsed_obj(spark, folder), scratch_dir(spark, "outcomes"))
-    outcomes = flatten.accepted(staged, "data")
-    coerced = coerce.coerced_cells(outcomes, column_dictionary(outcomes, Options()))
-    return coerced.select("seq", "column", "storage", "fits", "number", "text_value")
+    outcomes = flatten.accepted(parsed_obj(spark, folder), "data")
+    return reduce(DataFrame.unionByName, [coerce.table_cells(*one) for one in by_table(outcomes)])
 
 
 def message_fork(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,15 +274,19 @@ def plain_table_with_id(spark: SparkSession, folder: str) -> DataFrame:
     columns = {"event_id": cell_rules.DOUBLE, "event_type": cell_rules.STRING}
     tables.create_plain_table(spark, "public", "plain", columns, options)
     rows = source.select(F.col("event_id").cast("double").alias("event_id"), "event_type")
-    for part in (rows.where(F.col("event_id") <= half), rows.where(F.col("event_id") > half)):
-        plain.append_plain(part, "public", "plain", ["event_id"], options)
-    return spark.table(tables.table_name("public", "plain", options))
+    first, second = rows.where(F.col("event_id") <= half), rows.where(F.col("event_id") > half)
+    for batch, part in (("first", first), ("second", second), ("second", second)):
+        plain.append_plain(part, "public", "plain", ["event_id"], batch, options)
+    return spark.table(tables.table_name("public", "plain", options)).drop(options.batch_column)
 
 
 def time_partitioned_table(spark: SparkSession, folder: str) -> DataFrame:
     options, _ = loaded_feed(spark, folder)
-    name = tables.table_name("telemetry", "view", options)
-    return spark.table(name).groupBy("ts_date").agg(F.count("*").alias("rows"))
+    dated = [
+        spark.table(tables.table_name(*one, options)).select(F.lit(one[1]).alias("table_name"), "ts_date")
+        for one in (*FEED_ROUTES, MESSAGES)
+    ]
+    return reduce(DataFrame.unionByName, dated).groupBy("table_name", "ts_date").agg(F.count("*").alias("rows"))
 
 
 def time_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -287,23 +295,34 @@ def time_range(spark: SparkSession, folder: str) -> DataFrame:
     return reads.time_range(spark, "telemetry", "view", start, end, options)
 
 
-def _evolve(spark: SparkSession, folder: str, parts: int) -> DataFrame:
+def _evolve(spark: SparkSession, folder: str) -> Options:
     options = fresh(spark, "evolving")
-    for number, raw in enumerate(feeds.raw_evolving(spark, folder)[:parts]):
+    for number, raw in enumerate(feeds.raw_evolving(spark, folder)):
         load(raw, f"part-{number}", options)
-    return reads.scan(spark, "telemetry", "evolving", options)
+    return options
 
 
 def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
-    return _evolve(spark, folder, 3)
+    return reads.scan(spark, "telemetry", "evolving", _evolve(spark, folder))
 
 
 def ensure_then_append(spark: SparkSession, folder: str) -> DataFrame:
-    return _evolve(spark, folder, 2)
+    options = _evolve(spark, folder)
+    table = spark.table(tables.table_name("telemetry", "evolving", options))
+    return table.select("timestamp", "deviceid", "value", "k", "props", "ts_date", "ingest_batch")
+
+
+def many_columns(spark: SparkSession, folder: str) -> DataFrame:
+    options = fresh(spark, "many")
+    load(feeds.raw_many(spark, folder), "many", options)
+    table = reads.scan(spark, "telemetry", "many", options)
+    names = [name for name in table.columns if name not in ("timestamp", "deviceid")]
+    filled = F.filter(F.array(*[F.when(F.col(x).isNotNull(), F.lit(x)) for x in names]), lambda x: x.isNotNull())
+    return table.select("deviceid", F.array_join(filled, ",").alias("filled"), F.coalesce(*names).alias("value"))
 
 
 def dictionary_rows(spark: SparkSession, folder: str) -> DataFrame:
-    found = column_dictionary(parsed_obj(spark, folder), Options())
+    found = column_dictionary(parsed_obj(spark, folder))
     seq = F.floor(F.col("first_seen") / 2**31).cast("bigint").alias("first_seq")
     return found.select(*ROUTE, "column", "storage", seq)
 
@@ -314,14 +333,9 @@ def append_batch(spark: SparkSession, folder: str) -> DataFrame:
     return reads.scan(spark, "telemetry", "batch", options)
 
 
-def _all_tables(spark: SparkSession, options: Options) -> DataFrame:
-    parts = [
-        spark.table(tables.table_name(*one, options)).select(
-            F.lit(one[1]).alias("table_name"), "timestamp", "deviceid", "value", "k", "props"
-        )
-        for one in FEED_ROUTES
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _all_tables(spark: SparkSession, options: Options, routes: tuple = (*FEED_ROUTES, MESSAGES)) -> DataFrame:
+    parts = [reads.scan(spark, *one, options).withColumn("table_name", F.lit(one[1])) for one in routes]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def routed_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -357,8 +371,11 @@ def latest_n_missing(spark: SparkSession, folder: str) -> DataFrame:
     options, _ = loaded_feed(spark, folder)
 
     def rows(case: str, table: str, order: str) -> DataFrame:
-        found = reads.latest(spark, "telemetry", table, order=order, options=options)
-        return found.agg(F.count("*").alias("rows")).select(F.lit(case).alias("case_name"), "rows")
+        found = reads.latest(spark, "telemetry", table, order=[order, "message"], options=options)
+        if found.isEmpty():
+            nothing = spark.range(1).select(F.lit(None).cast("timestamp_ntz").alias("timestamp"))
+            found = nothing.withColumn("message", F.lit(None).cast("string"))
+        return found.select(F.lit(case).alias("case_name"), "timestamp", "message")
 
     return (
         rows("present", "error", "timestamp")
@@ -393,9 +410,8 @@ def stream_admission(spark: SparkSession, folder: str) -> DataFrame:
         .awaitTermination()
     )
     admitted = spark.read.schema("seq BIGINT, batch INT").parquet(f"{out}/batch_id=*")
-    return admitted.agg(
-        F.count_distinct("batch").alias("batches"), F.count("*").alias("messages")
-    )
+    batches = admitted.select("batch").distinct().count()
+    return admitted.select("seq", F.lit(batches).alias("batches"))
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -411,13 +427,58 @@ def replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     raw = feeds.raw_list(spark, folder)
     load(raw, "again", options)
     load(raw, "again", options)
-    parts = [
-        spark.table(tables.table_name(*one, options)).agg(F.count("*").alias("rows")).select(
-            F.lit(one[1]).alias("table_name"), "rows"
-        )
-        for one in (("telemetry", "batch"), ("public", "message"))
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return _all_tables(spark, options, (("telemetry", "batch"), MESSAGES))
+
+
+def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    raw = feeds.raw_obj(spark, folder)
+    ends = raw.agg(F.min("seq"), F.max("seq")).first()
+    middle = (ends[0] + ends[1]) // 2
+    return raw.where(F.col("seq") <= middle), raw.where(F.col("seq") > middle)
+
+
+def replay_changed(spark: SparkSession, folder: str) -> DataFrame:
+    options = fresh(spark, "changed")
+    for raw in _halves(spark, folder):
+        load(raw, "again", options)
+    kept = quarantine.read(spark, options).select(F.lit("rejects").alias("table_name"), "seq", "target", "reason")
+    return _all_tables(spark, options).unionByName(kept, allowMissingColumns=True)
+
+
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    options = fresh(spark, "restarted")
+    for half in _halves(spark, folder):
+        landing = land(spark, half, "landing")
+        start_ingest(stream_raw(spark, landing), "feed", scratch_dir(spark, "progress"), options).awaitTermination()
+    return _all_tables(spark, options)
+
+
+def isolated_routes(spark: SparkSession, folder: str) -> DataFrame:
+    options = fresh(spark, "isolated")
+    tables.ensure_schema(spark, "telemetry", options)
+    tables.create_plain_table(spark, "telemetry", "plain", {"value": cell_rules.DOUBLE}, options)
+    load(feeds.raw_isolated(spark, folder), "one", options)
+    stored = reads.scan(spark, "telemetry", "good", options).select(F.lit("stored").alias("outcome"), "deviceid", "value")
+    refused = quarantine.read(spark, options).select(F.col("reason").alias("outcome"), "seq")
+    return stored.unionByName(refused, allowMissingColumns=True)
+
+
+def compacted(spark: SparkSession, folder: str) -> DataFrame:
+    options = fresh(spark, "compacted")
+    for number in range(3):
+        load(feeds.raw_obj(spark, folder).where(F.col("seq") % 3 == number), f"part-{number}", options)
+    compact(spark, "telemetry", "view", ["part-0", "part-1"], options)
+    table = spark.table(tables.table_name("telemetry", "view", options))
+    return table.groupBy("ts_date").agg(
+        F.count("*").alias("rows"), F.sum("value").alias("total"), F.count_distinct("ingest_batch").alias("batches")
+    )
+
+
+def write_messages_stream(spark: SparkSession, folder: str) -> DataFrame:
+    landing, out = land(spark, feeds.raw_obj(spark, folder), "landing"), scratch_dir(spark, "outgoing")
+    sent = publish(stream_raw(spark, landing).select("seq", "topic"), ["topic/x", "topic/y"])
+    write_messages(sent, out, checkpoint=scratch_dir(spark, "progress")).awaitTermination()
+    return spark.read.schema("topic STRING, payload STRING").json(out)
 
 
 def ingest_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -467,6 +528,7 @@ QUERIES = {
     "time_partitioned_table": time_partitioned_table,
     "time_range": time_range,
     "schema_evolution": schema_evolution,
+    "many_columns": many_columns,
     "column_dictionary": dictionary_rows,
     "append_batch": append_batch,
     "ensure_then_append": ensure_then_append,
@@ -478,6 +540,11 @@ QUERIES = {
     "stream_admission": stream_admission,
     "stream_ingest": stream_ingest,
     "replay_idempotent": replay_idempotent,
+    "replay_changed": replay_changed,
+    "stream_restart": stream_restart,
+    "isolated_routes": isolated_routes,
+    "compacted": compacted,
+    "write_messages": write_messages_stream,
     "ingest_metrics": ingest_metrics,
     "parser_registry": parser_registry,
 }

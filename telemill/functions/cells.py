@@ -21,10 +21,6 @@ DOUBLE, JSON, STRING = "DOUBLE", "JSON", "STRING"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 NOT_FINITE = r"(?i)^\s*(nan|[+-]?inf(inity)?)\s*$"
 
-# The longest run of digits that always parses as an integer. A shorter number that
-# parses as a decimal of scale 0 was written with a fraction (5.0).
-INTEGER_DIGITS = 18
-
 
 def storage(tag: Column) -> Column:
     return (
@@ -48,12 +44,14 @@ def digest(entry: Column, missing: str | None = None) -> Column:
 
 
 def text(value: Column) -> Column:
-    """A cell's value as text. A number keeps the fraction it was written with."""
+    """A cell's value as text. A number keeps the fraction it was written with: one without
+    a fraction is an integer where it fits one, so a decimal of scale 0 that does was
+    written as 5.0."""
     as_text = variants.text(value)
     schema = F.schema_of_variant(value)
     whole = schema.startswith("DECIMAL") & schema.endswith(",0)")
     return F.when(
-        whole & (F.length(as_text) <= INTEGER_DIGITS), F.concat(as_text, F.lit(".0"))
+        whole & as_text.try_cast("bigint").isNotNull(), F.concat(as_text, F.lit(".0"))
     ).otherwise(as_text)
 
 

@@ -1,4 +1,4 @@
-"""Cells to the types of their columns; a payload with one misfit is refused whole."""
+"""Cells against the types of their columns; a payload with one misfit is refused whole."""
 
 from __future__ import annotations
 
@@ -6,64 +6,49 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.functions import cells as cell_rules
 from telemill.operators import flatten
-from telemill.operators.dictionary import ROUTE
 
 
-def coerced_cells(outcomes: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """All cells of accepted outcomes with ``storage``, ``fits`` and the stored value in
-    ``number`` or ``text_value``, for all tables in one pass.
-
-    The dictionary has one row per table column; whether it is broadcast is left to its
-    measured size.
-    """
-    long = flatten.cells(flatten.rows(flatten.accepted(outcomes)))
-    types = dictionary.select(*ROUTE, "column", "storage")
-    cell = {name: F.col(name) for name in ("column", "tag", "value")}
-    is_double = F.col("storage") == cell_rules.DOUBLE
-    return long.join(types, [*ROUTE, "column"]).select(
-        *flatten.ROW_KEYS,
-        "pos",
-        "ts",
-        "id",
-        "column",
-        "tag",
-        "text",
-        "storage",
-        cell_rules.fits(cell, F.col("storage")).alias("fits"),
-        F.when(is_double, cell_rules.number(F.col("value"))).alias("number"),
-        F.when(~is_double, F.col("text")).alias("text_value"),
-    )
+def row_fault(rows: Column, columns: dict[str, str]) -> Column:
+    """Reason to refuse an outcome's rows for a table with these columns, or NULL. The
+    table's types are literals here, so this needs no join and no shuffle."""
 
+    def misfit(cell: Column) -> Column:
+        return ~by_storage(
+            cell["column"],
+            columns,
+            cell_rules.fits_double(cell),
+            cell_rules.fits_json(cell),
+            cell_rules.fits_string(cell),
+        )
 
-def misfits(coerced: DataFrame) -> DataFrame:
-    """Outcomes to refuse, with the number of their misfit cells. Cells are counted before
-    the shuffle, and only those of misfits are shuffled."""
-    return (
-        coerced.where(~F.col("fits"))
-        .groupBy("seq", "target", *ROUTE, F.when(F.col("target") == "message", F.col("pos")).alias("pos"))
-        .agg(F.count("*").alias("misfits"))
-    )
+    some = F.exists(rows, lambda row: F.exists(row["cells"], misfit))
+    return F.when(some, "cast_failed")
 
 
-def row_fault(rows: Column, columns: dict[str, str], complete: bool = False) -> Column:
-    """Reason to refuse an outcome's rows for a table with these columns, or NULL. The
-    table's types are literals here, so this needs no join and no shuffle. ``complete``
-    says that the rows have no other columns than these."""
+def by_storage(column: Column, columns: dict[str, str], double, json, string) -> Column:
+    """One of three values, by the storage type of the named column."""
     doubles = [name for name, storage in columns.items() if storage == cell_rules.DOUBLE]
     jsons = [name for name, storage in columns.items() if storage == cell_rules.JSON]
+    return F.when(column.isin(*doubles), double).when(column.isin(*jsons), json).otherwise(string)
 
-    def misfit(cell: Column) -> Column:
-        return ~(
-            F.when(cell["column"].isin(*doubles), cell_rules.fits_double(cell))
-            .when(cell["column"].isin(*jsons), cell_rules.fits_json(cell))
-            .otherwise(cell_rules.fits_string(cell))
-        )
 
-    def any_cell(test) -> Column:
-        return F.exists(rows, lambda row: F.exists(row["cells"], test))
-
-    cast_failed = F.when(any_cell(misfit), "cast_failed")
-    if complete:
-        return cast_failed
-    unknown = any_cell(lambda cell: ~cell["column"].isin(*columns))
-    return F.when(unknown, "too_many_columns").otherwise(cast_failed)
+def table_cells(outcomes: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The cells of accepted outcomes for one table, by the check that its loads use, with
+    ``storage``, ``fits`` and the stored value in ``number`` or ``text_value``."""
+    long = flatten.cells(flatten.rows(flatten.accepted(outcomes)))
+    storage = by_storage(F.col("column"), columns, cell_rules.DOUBLE, cell_rules.JSON, cell_rules.STRING)
+    one = F.struct(F.struct(F.array(F.struct("column", "tag", "value")).alias("cells")).alias("row"))
+    fault = row_fault(F.array(one["row"]), columns)
+    is_double = F.col("storage") == cell_rules.DOUBLE
+    return (
+        long.withColumn("storage", storage)
+        .withColumn("fits", fault.isNull())
+        .select(
+            "seq",
+            "column",
+            "storage",
+            "fits",
+            F.when(is_double, cell_rules.number(F.col("value"))).alias("number"),
+            F.when(~is_double, F.col("text")).alias("text_value"),
+        )
+    )

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from telemill.functions import cells as cell_rules
 from telemill.operators.flatten import accepted
-from telemill.options import Options
 
 ROUTE = ("route_schema", "route_table")
 
 
-def column_dictionary(outcomes: DataFrame, options: Options) -> DataFrame:
+def column_dictionary(outcomes: DataFrame) -> DataFrame:
     """``(route_schema, route_table, column, storage, first_seen)``; ``column`` is NULL for
     a table some of whose rows have no cells at all.
 
     Column set and types of a payload are those of its first row, so only that one is
-    read. Tasks combine their cells to one row per column before the shuffle. At most
-    ``max_columns`` columns of a table are kept, those seen first; tasks cut to that many
-    before a table's columns meet.
+    read. Tasks combine their cells to one row per column before the shuffle.
     """
     first_row = F.get("rows", F.lit(0))
     # Arrival order as one number, so that the minimum stays in the hash aggregate.
@@ -30,19 +27,14 @@ def column_dictionary(outcomes: DataFrame, options: Options) -> DataFrame:
         .select(*ROUTE, "order", "cell.column", cell_rules.storage(F.col("cell.tag")).alias("storage"))
     )
 
-    def first_as(storage: str) -> Column:
+    def first_as(storage: str):
         return F.min(F.when(F.col("storage") == storage, F.col("order"))).alias(storage)
 
     kinds = (cell_rules.DOUBLE, cell_rules.JSON, cell_rules.STRING)
-    found = (
+    return (
         exploded.groupBy(*ROUTE, "column")
         .agg(*[first_as(storage) for storage in kinds])
         .select(*ROUTE, "column", *kinds, F.least(*kinds).alias("first_seen"))
-    )
-    by_arrival = Window.partitionBy(*ROUTE).orderBy("first_seen", "column")
-    return (
-        found.withColumn("rank", F.row_number().over(by_arrival))
-        .where(F.col("rank") <= options.max_columns)
         .select(
             *ROUTE,
             "column",
@@ -53,7 +45,8 @@ def column_dictionary(outcomes: DataFrame, options: Options) -> DataFrame:
 
 
 def route_columns(dictionary: DataFrame) -> DataFrame:
-    """One row per table with its columns in the order they were first seen."""
+    """One row per table with its columns in the order they were first seen; a table's
+    columns are one schema, which its definition holds in one place anyway."""
     entry = F.struct("first_seen", "column", "storage")
     return dictionary.groupBy(*ROUTE).agg(
         F.array_sort(F.collect_list(F.when(F.col("column").isNotNull(), entry))).alias("columns")

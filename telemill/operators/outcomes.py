@@ -4,8 +4,8 @@ A payload has one outcome for its data table and one for each of its messages. A
 is either refused, with a reason, or carries the rows for one table. Everything is
 computed on the payload's own row: no shuffle, and a list of any length stays in its task.
 
-Outcome columns: ``seq, topic, recv_ts, payload`` (kept for refused ones only),
-``target`` (data or message), ``pos`` (element a message comes from), ``reason,
+Outcome columns: ``seq, topic, recv_ts, payload`` (which staged outcomes carry along, so
+that what is refused later needs no second read of the input), ``target`` (data or message), ``pos`` (element a message comes from), ``reason,
 violations, route_schema, route_table`` and ``rows``, an array of
 ``struct<pos, ts, id, cells>``.
 """
@@ -22,9 +22,30 @@ DATA, MESSAGE = "data", "message"
 # A calendar date first: narrower than a plain cast, which also takes ``2024``.
 TIMESTAMP = r"^\s*\d{4,6}-\d{1,2}-\d{1,2}(\D|$)"
 
+# Other spellings of a timestamp that begins with its date, and how to write them that way.
+SPELLINGS = (
+    (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+    (r"^\s*(\d{4})(\d{2})(\d{2})(?=\D|$)", "$1-$2-$3"),
+    (r"^(\S+[ T])(\d{2})(\d{2})(\d{2})(?=[.\s]|$)", "$1$2:$3:$4"),
+)
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+NAMED_MONTH = r"^\s*([A-Za-z]{3})[a-z]*\.? +(\d{1,2}),? +(\d{4})(.*)$"
+
+
+def iso_spelling(text: Column) -> Column:
+    """A timestamp with slashes, without separators or with the month's name, as one with
+    dashes; other text as it is."""
+    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.regexp_extract(text, NAMED_MONTH, 1)))
+    parts = [F.regexp_extract(text, NAMED_MONTH, i) for i in (3, 2, 4)]
+    named = F.concat(parts[0], F.lit("-"), month.cast("string"), F.lit("-"), parts[1], parts[2])
+    other = text
+    for pattern, replacement in SPELLINGS:
+        other = F.regexp_replace(other, pattern, replacement)
+    return F.when(text.rlike(TIMESTAMP), text).when(text.rlike(NAMED_MONTH) & (month > 0), named).otherwise(other)
+
 
 def timestamp(record: Column, options: Options) -> Column:
-    as_text = variants.text_or(record["timestamp"], options.default_timestamp)
+    as_text = iso_spelling(variants.text_or(record["timestamp"], options.default_timestamp))
     return F.when(as_text.rlike(TIMESTAMP), as_text.try_cast("timestamp_ntz"))
 
 
@@ -51,13 +72,32 @@ def route_name(value: Column, default: str) -> Column:
     return F.when(value.isNull(), F.lit(default)).when(usable, name)
 
 
+# Databases of the engine itself; they are refused whatever the prefix.
+SYSTEM_SCHEMAS = ("global_temp", "system", "information_schema", "session", "builtin")
+# Bytes of a name in a path: a database's folder has a suffix.
+PATH_BYTES, SUFFIX_BYTES = 255, len(".db")
+
+
+def schema_name(value: Column, options: Options) -> Column:
+    """Schema a record asks for; NULL for one that cannot be made or is not for payloads."""
+    name = route_name(value, options.default_schema)
+    full = F.concat(F.lit(options.database_prefix), name)
+    reserved = (*SYSTEM_SCHEMAS, options.quarantine_schema.lower())
+    return F.when((F.octet_length(full) <= PATH_BYTES - SUFFIX_BYTES) & ~name.isin(*reserved), name)
+
+
+def table_name(value: Column, options: Options) -> Column:
+    name = route_name(value, options.default_table)
+    return F.when(F.octet_length(name) <= PATH_BYTES, name)
+
+
 def with_header(judged: DataFrame, options: Options) -> DataFrame:
     """Adds route, timestamp and device of the payload, all from its first record."""
     first = F.get("records", F.lit(0))
     return judged.withColumns(
         {
-            "route_schema": route_name(first["schema"], options.default_schema),
-            "route_table": route_name(first["table"], options.default_table),
+            "route_schema": schema_name(first["schema"], options),
+            "route_table": table_name(first["table"], options),
             "header_ts": timestamp(first, options),
             "header_id": device(first, options),
         }
@@ -201,12 +241,11 @@ def outcomes(judged: DataFrame, options: Options) -> DataFrame:
     exploded = with_fault.select(
         "seq", "topic", "recv_ts", "payload", "violations", F.explode_outer(every).alias("outcome")
     )
-    refused = F.col("outcome.reason").isNotNull()
     return exploded.select(
         "seq",
         "topic",
         "recv_ts",
-        F.when(refused, F.col("payload")).alias("payload"),
+        "payload",
         "outcome.target",
         "outcome.pos",
         "outcome.reason",

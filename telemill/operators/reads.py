@@ -46,9 +46,9 @@ def latest(
     if any(_bare(x) not in known for x in [*wanted, *keys]):
         return spark.createDataFrame([], StructType())
     if keys[0].lower() == options.ts_column.lower() and options.date_column in rows.columns:
-        day = _oldest_day_needed(spark, name, rows, limit, options)
+        day = _oldest_day_needed(rows, limit, options)
         if day is not None:
-            rows = rows.where(F.col(options.date_column) >= F.lit(day))
+            rows = rows.where(F.col(options.date_column) >= day)
     ordered = rows.orderBy(*[F.col(quoted(_bare(key))).desc_nulls_first() for key in keys])
     # The sort keys need not be projected; Catalyst keeps them until the top rows are known.
     return ordered.limit(limit).select(*[F.col(x) for x in wanted], *(expressions or []))
@@ -63,7 +63,10 @@ def time_range(
     options: Options | None = None,
 ) -> DataFrame:
     """Rows with start <= time < end. A bound on the time column prunes no partitions by
-    itself, so the same bound is put on the date they are partitioned by."""
+    itself, so the same bound is put on the date they are partitioned by. Times in the
+    tables have no zone, so neither have the bounds."""
+    if start.tzinfo is not None or end.tzinfo is not None:
+        raise ValueError("times in the tables have no zone; give bounds without one")
     options = options or Options()
     rows = _rows(spark, schema, table, options)
     ts, day = F.col(options.ts_column), F.col(options.date_column)
@@ -85,24 +88,17 @@ def _bare(name: str) -> str:
     return name.strip("`").lower()
 
 
-def _oldest_day_needed(
-    spark: SparkSession, name: str, rows: DataFrame, limit: int, options: Options
-) -> datetime.date | None:
+def _oldest_day_needed(rows: DataFrame, limit: int, options: Options) -> Column | None:
     """First day such that it and all later ones hold ``limit`` rows, looking back 1, 2, 4,
-    ... days of the partition list; None if the whole table does not. Each look counts at
-    most ``limit`` rows per task."""
-    listed = spark.sql(f"SHOW PARTITIONS {name}").select(
-        F.regexp_extract("partition", f"{options.date_column}=([0-9-]+)", 1).alias("day")
-    )
-    newest = [
-        datetime.date.fromisoformat(row.day)
-        for row in listed.where("day <> ''").distinct().orderBy(F.desc("day")).limit(64).collect()
-    ]
-    days = 1
-    while days <= len(newest):
-        first = newest[days - 1]
-        found = rows.where(F.col(options.date_column) >= F.lit(first)).limit(limit).count()
-        if found >= limit:
+    ... days from the newest one; None if the whole table does not. Days are counted from
+    1970, so any date a table holds will do, and a look reads the footers of the files of
+    its days only."""
+    day = F.unix_date(F.col(options.date_column))
+    newest, oldest = rows.agg(F.max(day), F.min(day)).first()
+    back = 1
+    while newest is not None and newest - back + 1 > oldest:
+        first = F.date_from_unix_date(F.lit(newest - back + 1))
+        if rows.where(F.col(options.date_column) >= first).count() >= limit:
             return first
-        days *= 2
+        back *= 2
     return None

@@ -30,16 +30,14 @@ class Options:
     # element; "record": each row keeps its own.
     header: str = "batch"
 
-    # Most columns a table may have, the fixed pair included. Payloads that would
-    # need more are quarantined.
-    max_columns: int = 1600
-
     # Partition columns of the tables.
     batch_column: str = "ingest_batch"
     date_column: str = "ts_date"
 
     quarantine_schema: str = "quarantine"
     quarantine_table: str = "rejects"
+    # What each load wrote, beside the quarantine.
+    ledger_table: str = "loads"
 
     # Prefix of every database name, and the folder databases are created in; by default
     # the session's warehouse.

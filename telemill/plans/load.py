@@ -1,18 +1,20 @@
 """One load: raw messages into the tables they name.
 
-The payloads are parsed once into staged outcomes. Types and new columns are settled from
-those, tables are created or widened, and each table is appended to with a projection made
-for its columns. A load has a name; running it again replaces what it wrote before.
+The payloads are parsed once into staged outcomes, which lie by table. Each table then
+settles its columns, is created or widened, checks its cells and is appended to with a
+projection made for its columns, several tables at a time and each reading its own files
+only. A load has a name; running it again replaces all that it wrote before.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from threading import BoundedSemaphore
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -21,22 +23,35 @@ from telemill.operators.coerce import row_fault
 from telemill.operators.dictionary import ROUTE, column_dictionary, route_columns
 from telemill.options import Options
 from telemill.plans.parse import DEFAULT_PARSER, parse
+from telemill.session import scratch
 from telemill.sinks import quarantine, tables
 
+Route = tuple[str, str]
+
 
 @dataclass
 class LoadReport:
-    """Rows stored per table and refusals per reason."""
+    """Rows stored per table, refusals per reason, and the seconds a load took."""
 
     batch: str
-    stored: dict[tuple[str, str], int] = field(default_factory=dict)
+    stored: dict[Route, int] = field(default_factory=dict)
     refused: dict[str, int] = field(default_factory=dict)
+    seconds: float = 0.0
 
     def refuse(self, reason: str, outcomes: int) -> None:
         if outcomes:
             self.refused[reason] = self.refused.get(reason, 0) + outcomes
 
 
+class LoadError(Exception):
+    """Some tables could not be written; the others are done. Run the load again."""
+
+    def __init__(self, batch: str, failures: dict[Route, Exception]) -> None:
+        named = "; ".join(f"{'.'.join(route)}: {error}" for route, error in failures.items())
+        super().__init__(f"load {batch!r}: {named}")
+        self.failures = failures
+
+
 def load(
     raw: DataFrame,
     batch: str,
@@ -46,46 +61,98 @@ def load(
 ) -> LoadReport:
     """Loads ``raw`` as the load named ``batch``.
 
-    Without ``staging`` the outcomes are kept in executor memory and disk, which suits a
-    micro-batch. For a bulk load name a new folder in shared storage: the outcomes are
-    written there by table, so that each append reads only its own and a lost executor
-    costs no second parse. The folder may be dropped after the load.
+    The outcomes are staged by table in shared storage, in ``staging`` (a new folder, which
+    is left for the caller to drop) or in a scratch folder, so that a lost executor costs no
+    second parse. A table that cannot be written harms itself alone: payloads for one that
+    exists in another form are refused, and other failures are raised when all else is done.
     """
     options = options or Options()
     spark = raw.sparkSession
+    began = time.monotonic()
     report = LoadReport(batch)
     quarantine.ensure(spark, options)
+    earlier = quarantine.loaded_routes(spark, batch, options)
     source = raw.repartition(options.parse_tasks) if options.parse_tasks else raw
-    parsed = parse(source, options, parser).withColumn("row_count", F.coalesce(F.size("rows"), F.lit(0)))
-    with _staged(parsed, staging) as staged:
-        expected = _count(staged, report)
-        if report.refused:
+    with _folder(spark, staging) as folder:
+        staged = stage(parse(source, options, parser), folder)
+        written, scopes, failures = set(), set(), {}
+        if _early_refusals(staged, report):
             quarantine.write(flatten.rejected(staged), batch, quarantine.PAYLOADS, options)
-        ready = _ensure_tables(spark, staged, options)
-
-        def append(route: tuple[str, str], columns: dict[str, str], complete: bool) -> tuple:
-            mine = flatten.accepted(staged).where(
-                (F.col("route_schema") == route[0]) & (F.col("route_table") == route[1])
-            )
-            fault = row_fault(F.col("rows"), columns, complete)
-            rows = flatten.wide(fitting_rows(mine, fault), columns, options, checked=True)
-            # Staged files lie by table and day already.
-            tables.append(rows, *route, batch, options, gather=staging is None)
-            stored = tables.count_batch(spark, *route, batch, options)
-            if stored == expected[route]:
-                return route, stored, []
-            refused = refused_outcomes(mine, fault)
-            scope = ".".join(route)
-            quarantine.write(quarantine.with_payload(refused, raw), batch, scope, options)
-            return route, stored, quarantine.reasons(spark, batch, scope, options)
-
-        for route, stored, refused in _in_threads(spark, append, ready, options.parallel_routes):
-            report.stored[route] = stored
+            scopes.add(quarantine.PAYLOADS)
+        # What may be written from here on is noted first, so that a load that breaks off
+        # is known when it runs again.
+        routes = staged.where("reason IS NULL").select(*ROUTE).distinct()
+        noted = {(row.route_schema, row.route_table) for row in routes.toLocalIterator()}
+        if noted or earlier:
+            quarantine.note(spark, batch, sorted(noted.union(earlier)), options)
+
+        def append(route: Route, columns: dict[str, str]) -> tuple[int, list[tuple[str, int]]]:
+            return _append(staged, route, columns, batch, route in earlier, options)
+
+        found = route_columns(column_dictionary(staged))
+        wanted = (
+            ((row.route_schema, row.route_table), {entry.column: entry.storage for entry in row.columns})
+            for row in found.toLocalIterator()
+        )
+        for route, result in _in_threads(spark, append, wanted, options.parallel_routes):
+            if result.exception() is not None:
+                failures[route] = result.exception()
+                continue
+            report.stored[route], refused = result.result()
+            written.add(route)
+            if refused:
+                scopes.add(".".join(route))
             for reason, count in refused:
                 report.refuse(reason, count)
+        if failures:
+            raise LoadError(batch, failures)
+        for route in set(earlier) - written:
+            tables.drop_days(spark, *route, batch, tables.batch_days(spark, *route, batch, options), options)
+        if earlier and set(earlier) != noted:
+            quarantine.note(spark, batch, sorted(noted), options)
+        quarantine.drop_other_scopes(spark, batch, scopes, options)
+    report.seconds = time.monotonic() - began
     return report
 
 
+def _append(
+    staged: DataFrame, route: Route, wanted: dict[str, str], batch: str, again: bool, options: Options
+) -> tuple[int, list[tuple[str, int]]]:
+    """One table's part of a load: rows stored, and refusals by reason."""
+    spark, scope = staged.sparkSession, ".".join(route)
+    mine = flatten.accepted(staged).where(
+        (F.col("route_schema") == route[0]) & (F.col("route_table") == route[1])
+    )
+    try:
+        present = tables.ensure_table(spark, *route, wanted, options)
+    except tables.NotATimeTable:
+        return 0, _refuse(mine, F.lit("bad_table"), batch, scope, options)
+    columns = {name: present[name] for name in wanted}
+    fault = row_fault(F.col("rows"), columns)
+    # One pass over the table's own staged files says what is refused and what is to store.
+    counts = mine.groupBy(fault.alias("fault")).agg(F.count("*").alias("outcomes"), F.sum(F.size("rows")).alias("rows"))
+    found = {row.fault: row for row in counts.collect()}  # a row per reason
+    refused = sum(row.outcomes for reason, row in found.items() if reason is not None)
+    stored = found[None].rows if None in found else 0
+    leftover = set(tables.batch_days(spark, *route, batch, options)) if again else set()
+    if stored:
+        kept = fitting_rows(mine, fault if refused else F.lit(None).cast("string"))
+        if leftover:
+            days = kept.select(F.col("ts").cast("date").cast("string").alias("day")).distinct()
+            leftover -= {row.day for row in days.collect()}
+        # Staged files lie by table and day already.
+        tables.append(flatten.wide(kept, columns, options, checked=True), *route, batch, options, gather=False)
+    tables.drop_days(spark, *route, batch, sorted(leftover), options)
+    return stored, _refuse(mine, fault, batch, scope, options) if refused else []
+
+
+def _refuse(mine: DataFrame, fault: Column, batch: str, scope: str, options: Options) -> list[tuple[str, int]]:
+    """Quarantines the outcomes with a fault, and counts them by reason."""
+    refused = flatten.rejected(mine.withColumn("reason", F.explode_outer(F.array(fault.cast("string")))))
+    quarantine.write(refused, batch, scope, options)
+    return [tuple(row) for row in refused.groupBy("reason").count().collect()]
+
+
 def stage(outcomes: DataFrame, folder: str) -> DataFrame:
     """Writes outcomes to a new folder and reads them back, for work that needs them more
     than once.
@@ -105,47 +172,20 @@ def stage(outcomes: DataFrame, folder: str) -> DataFrame:
 
 
 @contextmanager
-def _staged(parsed: DataFrame, staging: str | None) -> Iterator[DataFrame]:
+def _folder(spark: SparkSession, staging: str | None) -> Iterator[str]:
     if staging is not None:
-        yield stage(parsed, staging)
+        yield staging
         return
-    kept = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
-
-
-def _count(staged: DataFrame, report: LoadReport) -> dict[tuple[str, str], int]:
-    """Notes refusals per reason; returns rows to store per table."""
-    counts = staged.groupBy(
-        F.when(F.col("reason").isNull(), F.struct(*ROUTE)).alias("route"), "reason"
-    ).agg(F.count("*").alias("outcomes"), F.sum("row_count").alias("rows"))
-    expected = {}
-    for row in counts.toLocalIterator():
-        if row.reason is None:
-            expected[tuple(row.route)] = row.rows
-        else:
-            report.refuse(row.reason, row.outcomes)
-    return expected
-
-
-def _ensure_tables(
-    spark: SparkSession, staged: DataFrame, options: Options
-) -> list[tuple[tuple[str, str], dict[str, str], bool]]:
-    """Creates and widens the tables of a load. Per table: its columns that the load can
-    have, and whether those are all the load has. Definitions run one after another on the
-    driver, the only writer of them."""
-    ready = []
-    for row in route_columns(column_dictionary(staged, options)).toLocalIterator():
-        wanted = {entry.column: entry.storage for entry in row.columns}
-        route = (row.route_schema, row.route_table)
-        present = tables.ensure_table(spark, *route, wanted, options)
-        columns = {name: present[name] for name in wanted if name in present}
-        # At the limit, columns may have been cut off before they came here.
-        complete = len(columns) == len(wanted) < options.max_columns
-        ready.append((route, columns, complete))
-    return ready
+    with scratch(spark, "outcomes") as folder:
+        yield folder
+
+
+def _early_refusals(staged: DataFrame, report: LoadReport) -> bool:
+    """Notes what was refused before any table was looked at."""
+    refused = staged.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("outcomes"))
+    for row in refused.collect():  # a row per reason
+        report.refuse(row.reason, row.outcomes)
+    return bool(report.refused)
 
 
 def fitting_rows(mine: DataFrame, fault: Column) -> DataFrame:
@@ -156,14 +196,24 @@ def fitting_rows(mine: DataFrame, fault: Column) -> DataFrame:
     return exploded.select("row.ts", "row.id", "row.cells")
 
 
-def refused_outcomes(mine: DataFrame, fault: Column) -> DataFrame:
-    """Outcomes with a fault, and the reason."""
-    reason = F.explode_outer(F.array(fault)).alias("reason")
-    return mine.select("seq", "target", "pos", "violations", reason).where(F.col("reason").isNotNull())
-
-
-def _in_threads(spark: SparkSession, task: Callable, arguments: list[tuple], width: int) -> list:
-    """Results of all calls; small tables do not fill a cluster one at a time."""
-    with ThreadPoolExecutor(max_workers=max(width, 1)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(task), *item) for item in arguments]
-        return [one.result() for one in running]
+def _in_threads(
+    spark: SparkSession, task: Callable, arguments: Iterator[tuple[Route, dict[str, str]]], width: int
+) -> Iterator[tuple[Route, Future]]:
+    """Runs the tasks, so many at a time, and gives back each when it is done; small tables
+    do not fill a cluster one at a time. No more arguments are drawn than are at work."""
+    width = max(width, 1)
+    room = BoundedSemaphore(2 * width)
+    run = inheritable_thread_target(spark)(task)
+    with ThreadPoolExecutor(max_workers=width) as pool:
+        running: list[tuple[Route, Future]] = []
+        for item in arguments:
+            room.acquire()
+            future = pool.submit(run, *item)
+            future.add_done_callback(lambda _: room.release())
+            running.append((item[0], future))
+            done = [one for one in running if one[1].done()]
+            running = [one for one in running if not one[1].done()]
+            yield from done
+        for one in running:
+            one[1].exception()
+            yield one

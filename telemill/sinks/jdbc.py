@@ -14,9 +14,9 @@ def write_jdbc(
     properties: dict[str, str] | None = None,
 ) -> None:
     """Appends rows in statements of ``batch_size``, over at most ``connections``
-    connections at a time. Needs the database's driver on the class path."""
+    connections at a time; what made the rows is not held to so few tasks. Needs the database's driver on the class path."""
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.format("jdbc")
         .mode("append")
         .options(**(properties or {}))

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from telemill.options import Options
-from telemill.session import scratch_dir
-from telemill.sinks.tables import table_name
+from telemill.session import scratch
+from telemill.sinks.tables import DEFINITIONS, overwrite_partitions, table_name
 
 # monotonically_increasing_id() counts rows of a partition in its lower 33 bits.
 ROWS_PER_PARTITION = 2**33
 
 
-def number_rows(rows: DataFrame, order: list[str], first: int = 1) -> DataFrame:
+def number_rows(rows: DataFrame, folder: str, order: list[str], first: int = 1) -> DataFrame:
     """Adds ``id``: first, first + 1, ... in the given order, without moving all rows to
     one task. Rows are sorted in ranges and numbered within each; only the ranges' counts
-    meet. They are written in between, so that both uses see the same ranges. Rows equal in
-    ``order`` keep their input order, and a large group of them is split over ranges."""
+    meet. They are written to ``folder`` in between, so that both uses see the same ranges.
+    Rows equal in ``order`` keep their input order, and a large group of them is split over
+    ranges."""
     spark = rows.sparkSession
-    folder = scratch_dir(spark, "numbered")
     position = F.monotonically_increasing_id()
     (
         rows.withColumn("_input", position)
@@ -40,11 +40,15 @@ def number_rows(rows: DataFrame, order: list[str], first: int = 1) -> DataFrame:
 
 
 def append_plain(
-    rows: DataFrame, schema: str, table: str, order: list[str], options: Options
+    rows: DataFrame, schema: str, table: str, order: list[str], batch: str, options: Options
 ) -> None:
-    """Appends rows to a plain table, their keys continuing after the largest one."""
+    """Appends rows to a plain table as the append named ``batch``, their keys continuing
+    after the largest one. Run again, it replaces its own rows; appends of one application
+    take turns, so no key is given twice."""
     spark = rows.sparkSession
     name = table_name(schema, table, options)
-    largest = spark.table(name).agg(F.max("id")).first()[0] or 0
-    numbered = number_rows(rows, order, first=largest + 1)
-    spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=numbered)
+    with DEFINITIONS, scratch(spark, "numbered") as folder:
+        others = spark.table(name).where(F.col(options.batch_column) != batch)
+        largest = others.agg(F.max("id")).first()[0] or 0
+        numbered = number_rows(rows, folder, order, first=largest + 1)
+        overwrite_partitions(numbered.withColumn(options.batch_column, F.lit(batch)), name)

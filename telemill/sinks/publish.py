@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def publish(rows: DataFrame, topics: list[str]) -> DataFrame:
@@ -14,6 +15,15 @@ def publish(rows: DataFrame, topics: list[str]) -> DataFrame:
     )
 
 
-def write_messages(messages: DataFrame, path: str, fmt: str = "json") -> None:
-    """Appends outgoing messages to a folder a bridge picks up."""
-    messages.write.mode("append").format(fmt).save(path)
+def write_messages(
+    messages: DataFrame, path: str, fmt: str = "json", checkpoint: str | None = None
+) -> StreamingQuery | None:
+    """Appends outgoing messages to a folder a bridge picks up. A stream of them needs a
+    checkpoint; the query that writes what has arrived is returned."""
+    if not messages.isStreaming:
+        messages.write.mode("append").format(fmt).save(path)
+        return None
+    if checkpoint is None:
+        raise ValueError("a stream of messages needs a checkpoint")
+    writer = messages.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

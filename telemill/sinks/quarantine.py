@@ -1,4 +1,5 @@
-"""Quarantine table: refused payloads and messages, with reason and whole payload."""
+"""Quarantine table: refused payloads and messages, with reason and whole payload. Beside it
+the ledger: which tables each load wrote."""
 
 from __future__ import annotations
 
@@ -23,25 +24,33 @@ COLUMNS = {
     "payload": "STRING",
 }
 
-
-def with_payload(refused: DataFrame, raw: DataFrame) -> DataFrame:
-    """Payloads of outcomes refused for their table, looked up by ``seq``; they are not
-    staged with the outcomes, for few are ever needed."""
-    return refused.join(raw.select("seq", "topic", "recv_ts", "payload"), "seq").select(*COLUMNS)
+# ``merged`` is the name a closed load's rows were merged under, for a load that was.
+LEDGER = {"route_schema": "STRING", "route_table": "STRING", "merged": "STRING"}
 
 
 def _name(options: Options) -> str:
     return tables.table_name(options.quarantine_schema, options.quarantine_table, options)
 
 
+def _ledger_name(options: Options) -> str:
+    return tables.table_name(options.quarantine_schema, options.ledger_table, options)
+
+
 def ensure(spark: SparkSession, options: Options) -> None:
-    tables.ensure_schema(spark, options.quarantine_schema, options)
-    definitions = ", ".join(f"{column} {kind}" for column, kind in COLUMNS.items())
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_name(options)} ({definitions}, "
-        f"{quoted(options.batch_column)} STRING, scope STRING) "
-        f"USING parquet PARTITIONED BY ({quoted(options.batch_column)}, scope)"
-    )
+    with tables.DEFINITIONS:
+        if spark.catalog.tableExists(_ledger_name(options)):
+            return
+        tables.ensure_schema(spark, options.quarantine_schema, options)
+        batch = quoted(options.batch_column)
+        for name, columns, keys in (
+            (_name(options), COLUMNS, f"{batch} STRING, scope STRING"),
+            (_ledger_name(options), LEDGER, f"{batch} STRING"),
+        ):
+            definitions = ", ".join(f"{column} {kind}" for column, kind in columns.items())
+            names = ", ".join(key.rpartition(" ")[0] for key in keys.split(", "))
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({definitions}, {keys}) USING parquet PARTITIONED BY ({names})"
+            )
 
 
 def write(rejects: DataFrame, batch: str, scope: str, options: Options) -> None:
@@ -53,9 +62,34 @@ def read(spark: SparkSession, options: Options) -> DataFrame:
     return spark.table(_name(options))
 
 
-def reasons(spark: SparkSession, batch: str, scope: str, options: Options) -> list[tuple[str, int]]:
-    """Refusals of a load in one scope, counted by reason."""
-    kept = read(spark, options).where(
-        (F.col(options.batch_column) == batch) & (F.col("scope") == scope)
-    )
-    return [tuple(row) for row in kept.groupBy("reason").count().collect()]
+def drop_other_scopes(spark: SparkSession, batch: str, written: set[str], options: Options) -> None:
+    """Drops what an earlier attempt of a load refused and this one did not."""
+    batch_column = quoted(options.batch_column)
+    listed = spark.sql(f"SHOW PARTITIONS {_name(options)} PARTITION ({batch_column} = {tables.literal(batch)})")
+    kept = read(spark, options).where(F.col(options.batch_column) == batch).select("scope").distinct()
+    if not listed.isEmpty():
+        for row in kept.toLocalIterator():
+            if row.scope not in written:
+                spark.sql(
+                    f"ALTER TABLE {_name(options)} DROP IF EXISTS PARTITION "
+                    f"({batch_column} = {tables.literal(batch)}, scope = {tables.literal(row.scope)})"
+                )
+
+
+def ledger(spark: SparkSession, options: Options) -> DataFrame:
+    return spark.table(_ledger_name(options))
+
+
+def loaded_routes(spark: SparkSession, batch: str, options: Options) -> list[tuple[str, str]]:
+    """The tables an earlier attempt of a load wrote, none for a first one."""
+    rows = ledger(spark, options).where(F.col(options.batch_column) == batch)
+    merged = rows.where("merged IS NOT NULL").first()
+    if merged is not None:
+        raise ValueError(f"load {batch!r} is closed: its rows were merged into {merged.merged!r}")
+    return [(row.route_schema, row.route_table) for row in rows.distinct().toLocalIterator()]
+
+
+def note(spark: SparkSession, batch: str, routes: list[tuple[str, str]], options: Options, merged: str | None = None) -> None:
+    """Writes down the tables of a load, in place of what was noted before."""
+    rows = spark.createDataFrame([(*route, merged) for route in routes], ", ".join(f"{k} {v}" for k, v in LEDGER.items()))
+    tables.overwrite_partitions(rows.coalesce(1).withColumn(options.batch_column, F.lit(batch)), _ledger_name(options))

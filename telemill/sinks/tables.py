@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+from threading import RLock
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemill.functions import cells as cell_rules
@@ -12,6 +16,15 @@ from telemill.options import Options
 SPARK_TYPES = {cell_rules.DOUBLE: "DOUBLE", cell_rules.STRING: "STRING", cell_rules.JSON: "STRING"}
 JSON_COMMENT = "json"
 
+# Definitions are read, compared and changed under one lock per application. Across
+# applications one of them should define the tables; a column that another has added
+# meanwhile is taken as it is.
+DEFINITIONS = RLock()
+
+
+class NotATimeTable(Exception):
+    """A table of that name exists and is none that loads can append to."""
+
 
 def ensure_schema(spark: SparkSession, schema: str, options: Options) -> None:
     database = options.database(schema)
@@ -49,11 +62,12 @@ def create_time_table(
 def create_plain_table(
     spark: SparkSession, schema: str, table: str, columns: dict[str, str], options: Options
 ) -> None:
-    """Table with a generated key ``id`` and nullable data columns."""
+    """Table with a generated key ``id`` and nullable data columns, one partition per append."""
     definitions = ["id BIGINT", *[_definition(name, storage) for name, storage in columns.items()]]
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table_name(schema, table, options)} "
-        f"({', '.join(definitions)}) USING parquet"
+        f"({', '.join(definitions)}, {quoted(options.batch_column)} STRING) "
+        f"USING parquet PARTITIONED BY ({quoted(options.batch_column)})"
     )
 
 
@@ -91,18 +105,55 @@ def add_columns(
 def ensure_table(
     spark: SparkSession, schema: str, table: str, columns: dict[str, str], options: Options
 ) -> dict[str, str]:
-    """Creates or widens a table for ``columns``, in their order, up to the column limit.
-    Returns all data columns the table then has."""
-    ensure_schema(spark, schema, options)
-    present = stored_columns(spark, schema, table, options)
-    room = options.max_columns - 2 - len(present or {})
-    new = [name for name in columns if name not in (present or {})][: max(room, 0)]
-    added = {name: columns[name] for name in new}
-    if present is None:
-        create_time_table(spark, schema, table, added, options)
-    elif added:
-        add_columns(spark, schema, table, added, options)
-    return {**(present or {}), **added}
+    """Creates or widens a table for ``columns``, in their order. Returns all data columns
+    the table then has, as read from it. Nothing is defined where nothing is new."""
+    with DEFINITIONS:
+        present = stored_columns(spark, schema, table, options)
+        if present is None:
+            ensure_schema(spark, schema, options)
+            create_time_table(spark, schema, table, columns, options)
+            present = stored_columns(spark, schema, table, options)
+        _check_time_table(spark, schema, table, options)
+        while not present.keys() >= columns.keys():
+            # Another application may have added one of them; then the rest is added next.
+            with suppress(AnalysisException):
+                add_columns(spark, schema, table, columns, options)
+            spark.catalog.refreshTable(table_name(schema, table, options))
+            before, present = present, stored_columns(spark, schema, table, options)
+            if present == before:
+                add_columns(spark, schema, table, columns, options)
+    return present
+
+
+def _check_time_table(spark: SparkSession, schema: str, table: str, options: Options) -> None:
+    found = {name.lower() for name in spark.table(table_name(schema, table, options)).columns}
+    if not found >= set(options.reserved_columns):
+        raise NotATimeTable(f"{schema}.{table}")
+
+
+def batch_days(spark: SparkSession, schema: str, table: str, batch: str, options: Options) -> list[str]:
+    """The days of which a load has partitions in a table; as many as the load has days."""
+    listed = spark.sql(
+        f"SHOW PARTITIONS {table_name(schema, table, options)} "
+        f"PARTITION ({quoted(options.batch_column)} = {literal(batch)})"
+    )
+    day = F.regexp_extract("partition", f"{options.date_column}=([^/]*)", 1)
+    return [row.day for row in listed.select(day.alias("day")).collect()]
+
+
+def drop_days(
+    spark: SparkSession, schema: str, table: str, batch: str, days: list[str], options: Options
+) -> None:
+    """Drops partitions of a load."""
+    for day in days:
+        spark.sql(
+            f"ALTER TABLE {table_name(schema, table, options)} DROP IF EXISTS PARTITION "
+            f"({quoted(options.date_column)} = {literal(day)}, {quoted(options.batch_column)} = {literal(batch)})"
+        )
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def append(
@@ -122,12 +173,6 @@ def append(
     overwrite_partitions(placed, table_name(schema, table, options))
 
 
-def count_batch(spark: SparkSession, schema: str, table: str, batch: str, options: Options) -> int:
-    """Rows a load has in a table; read off the file footers of its partitions."""
-    rows = spark.table(table_name(schema, table, options))
-    return rows.where(F.col(options.batch_column) == batch).count()
-
-
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replaces the partitions ``df`` has rows for. In this mode each writer stages its
     files in a folder of its own, so several may write to a table at a time."""

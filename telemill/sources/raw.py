@@ -33,7 +33,7 @@ def as_raw(
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", **columns: str) -> DataFrame:
     """All messages of a landing folder."""
     if fmt == "text":
-        return _lines(spark.read.format("text").load(path))
+        return _lines(spark.read.format("text").option("wholetext", "true").load(path))
     return as_raw(spark.read.schema(_schema(columns)).format(fmt).load(path), **columns)
 
 
@@ -53,7 +53,7 @@ def stream_raw(
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if fmt == "text":
-        return _lines(reader.load(path))
+        return _lines(reader.option("wholetext", "true").load(path))
     return as_raw(reader.schema(_schema(columns)).load(path), **columns)
 
 
@@ -64,13 +64,20 @@ def _schema(columns: dict[str, str]) -> StructType:
     return StructType(schema.fields)
 
 
-def _lines(lines: DataFrame) -> DataFrame:
-    """One payload per line; the folder a file lies in is its topic."""
-    return as_raw(
-        lines.select(
-            F.monotonically_increasing_id().alias("seq"),
-            F.regexp_extract(F.col("_metadata.file_path"), "([^/]*)/[^/]*$", 1).alias("topic"),
-            F.col("value").alias("payload"),
-            F.col("_metadata.file_modification_time").alias("recv_ts"),
-        )
+def _lines(files: DataFrame) -> DataFrame:
+    """One payload per line; the folder a file lies in is its topic.
+
+    A line is numbered by its file (a hash of path and time) and its position in it, so
+    the numbers do not depend on how files are dealt to tasks. A file is one row until its
+    lines are taken apart, so it must fit a task, as the files of a bridge do. Lines keep
+    their order within a file; files have none.
+    """
+    path, time = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    lines = F.split(F.regexp_replace("value", "\\r?\\n$", ""), "\\r?\\n", -1)
+    numbered = files.where("value <> ''").select(
+        F.shiftleft(F.shiftrightunsigned(F.xxhash64(path, time), 33), 32).alias("file"),
+        F.regexp_extract(path, "([^/]*)/[^/]*$", 1).alias("topic"),
+        time.alias("recv_ts"),
+        F.posexplode(lines).alias("position", "payload"),
     )
+    return as_raw(numbered.withColumn("seq", F.col("file") + F.col("position")))

@@ -13,8 +13,22 @@ from telemill.plans.parse import DEFAULT_PARSER
 from telemill.session import configure
 
 
-def batch_name(stream: str, batch_id: int) -> str:
-    return f"{stream}-{batch_id:012d}"
+def batch_name(stream: str, query_id: str, batch_id: int) -> str:
+    """Batch numbers begin at 0 again with every checkpoint; the query's id, which lives in
+    the checkpoint, tells them apart."""
+    return f"{stream}-{query_id}-{batch_id:012d}"
+
+
+def backlog(query: StreamingQuery) -> dict[str, int]:
+    """What waits in the landing folder, as the last micro-batch left it: files and bytes
+    for sources that count them."""
+    sources = (query.lastProgress or {}).get("sources", [])
+    waiting: dict[str, int] = {}
+    for source in sources:
+        for name, value in (source.get("metrics") or {}).items():
+            if name.endswith("Outstanding"):
+                waiting[name] = waiting.get(name, 0) + int(value)
+    return waiting
 
 
 def start_ingest(
@@ -28,14 +42,15 @@ def start_ingest(
 ) -> StreamingQuery:
     """Starts the ingest of a raw stream.
 
-    Each micro-batch is one load named after the stream and the batch. A batch that is
-    replayed after a failure has the same name, so it replaces its own rows and leaves no
-    duplicates. Streams that write the same tables need different names.
+    Each micro-batch is one load named after the stream, the checkpoint and the batch. A
+    batch that is replayed after a failure has the same name, so it replaces its own rows
+    and leaves no duplicates; a new checkpoint has new names and replaces nothing.
     """
     configure(raw.sparkSession)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        report = load(batch, batch_name(stream, batch_id), options, parser)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        report = load(batch, batch_name(stream, query_id, batch_id), options, parser)
         if on_batch is not None:
             on_batch(report)
 
