@@ -9,12 +9,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemill import Options, configure, latest, load, parse, start_ingest
+from telemill import configure, latest, load, parse, start_ingest
 from telemill.checks import feeds
-from telemill.checks.queries import fresh
+from telemill.checks.queries import by_table, fresh
 from telemill.operators import coerce, flatten
-from telemill.operators.dictionary import column_dictionary
-from telemill.plans.load import stage
 from telemill.session import scratch_dir
 from telemill.sources.raw import read_raw, stream_raw
 
@@ -65,8 +63,9 @@ def main() -> None:
         start_ingest(raw, "bench", scratch_dir(spark, "progress"), fresh(spark, "bench")).awaitTermination()
 
     def coerced() -> None:
-        outcomes = stage(parse(read_raw(spark, objects)), scratch_dir(spark, "outcomes"))
-        run(coerce.coerced_cells(outcomes, column_dictionary(outcomes, Options())))
+        parsed = flatten.accepted(parse(read_raw(spark, objects)), "data")
+        for outcomes, columns in by_table(parsed):
+            run(coerce.table_cells(outcomes, columns))
 
     work: dict[str, Callable[[], None]] = {
         "parse_objects": lambda: run(parse(read_raw(spark, objects))),

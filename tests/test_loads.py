@@ -3,6 +3,7 @@
 import datetime
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from telemill import Options, latest, load, register_parser, scan, start_ingest,
 from telemill.functions.strict_json import SENTINEL
 from telemill.plans.parse import parse, parse_telemetry
 from telemill.sinks import jdbc, plain, quarantine, tables
+from telemill.sinks.compact import compact
 from telemill.sinks.publish import publish
 from telemill.sources.raw import RAW_SCHEMA, read_raw, stream_raw
 from telemill.sources.series import series
@@ -109,13 +111,92 @@ def test_staged_and_kept_loads_agree(spark, options, tmp_path):
         assert kept == staged and kept
 
 
-def test_column_limit_quarantines_what_does_not_fit(spark, options):
-    few = Options(database_prefix=options.database_prefix, warehouse=options.warehouse, max_columns=4)
-    payloads = [record(a=1.0), record(b=2.0), record(c=3.0), record(a=4.0, c=5.0), record(a=6.0, b=7.0)]
-    report = load(raw_of(spark, payloads), "one", few)
-    assert report.stored == {("s", "t"): 3}
-    assert report.refused == {"too_many_columns": 2}
-    assert values(quarantine.read(spark, few), "seq") == [(2,), (3,)]
+def test_any_number_of_columns_is_stored(spark, options):
+    payloads = [record(**{f"c{n}": float(n) for n in range(start, start + 700)}) for start in (0, 700, 1400)]
+    report = load(raw_of(spark, payloads), "one", options)
+    assert (report.stored, report.refused) == ({("s", "t"): 3}, {})
+    assert len(scan(spark, "s", "t", options).columns) == 2102
+
+
+def test_a_repeat_with_other_rows_replaces_all_of_the_load(spark, options):
+    first = [record(1, a=1.0), record(1, a="x"), record(1, table="gone", a=1.0), record(3, table="worse", a=1.0)]
+    load(raw_of(spark, first), "same", options)
+    load(raw_of(spark, [record(1, a=7.0)]), "other", options)
+    report = load(raw_of(spark, [record(2, a=2.0), record(2, a="bad"), record(3, table="worse", a="y")], 10), "same", options)
+    assert report.stored == {("s", "t"): 1, ("s", "worse"): 0}
+    assert report.refused == {"cast_failed": 2}
+    assert values(scan(spark, "s", "t", options), "a") == [(2.0,), (7.0,)]
+    assert scan(spark, "s", "gone", options).count() == scan(spark, "s", "worse", options).count() == 0
+    assert values(quarantine.read(spark, options), "seq", "reason") == [(11, "cast_failed"), (12, "cast_failed")]
+    assert load(raw_of(spark, []), "same", options).stored == {}
+    assert values(scan(spark, "s", "t", options), "a") == [(7.0,)]
+    assert quarantine.read(spark, options).count() == 0
+
+
+def test_repeated_numbers_do_not_mix_payloads(spark, options):
+    raw = raw_of(spark, [record(a=1.0)]).union(raw_of(spark, [record(a="bad")]))
+    report = load(raw, "one", options)
+    assert report.refused == {"cast_failed": 1}
+    assert [json.loads(row.payload)["fields"]["a"]["value"] for row in quarantine.read(spark, options).collect()] == ["bad"]
+
+
+def test_one_bad_table_harms_only_itself(spark, options):
+    tables.ensure_schema(spark, "s", options)
+    tables.create_plain_table(spark, "s", "plain", {"a": "DOUBLE"}, options)
+    report = load(raw_of(spark, [record(a=1.0), record(table="plain", a=2.0)]), "one", options)
+    assert report.stored == {("s", "t"): 1, ("s", "plain"): 0}
+    assert report.refused == {"bad_table": 1}
+    assert spark.table(tables.table_name("s", "plain", options)).columns == ["id", "a", "ingest_batch"]
+
+
+def test_loads_widen_a_table_together(spark, options):
+    def one(number):
+        return load(raw_of(spark, [record(number + 1, a=1.0, **{f"c{number}": 2.0})], number), f"load-{number}", options)
+
+    with ThreadPoolExecutor(4) as pool:
+        reports = list(pool.map(one, range(4)))
+    assert all(report.stored == {("s", "t"): 1} for report in reports)
+    table = scan(spark, "s", "t", options)
+    assert set(table.columns) == {"timestamp", "deviceid", "a", "c0", "c1", "c2", "c3"}
+    assert table.where("coalesce(c0, c1, c2, c3) = 2").count() == 4
+
+
+def test_a_new_checkpoint_keeps_what_is_stored(spark, options, tmp_path):
+    for number in range(2):
+        landing = str(tmp_path / f"landing-{number}")
+        raw_of(spark, [record(a=float(number))]).write.parquet(landing)
+        start_ingest(stream_raw(spark, landing), "plant", str(tmp_path / f"progress-{number}"), options).awaitTermination()
+    assert values(scan(spark, "s", "t", options), "a") == [(0.0,), (1.0,)]
+
+
+def test_compaction_keeps_rows_and_closes_loads(spark, options):
+    for number in range(3):
+        load(raw_of(spark, [record(1 + n % 2, a=float(n)) for n in range(4)]), f"b{number}", options)
+    for _ in range(2):
+        compact(spark, "s", "t", ["b0", "b1"], options)
+    table = spark.table(tables.table_name("s", "t", options))
+    assert table.count() == 12
+    assert table.select("ts_date", "ingest_batch").distinct().count() == 4
+    with pytest.raises(ValueError, match="closed"):
+        load(raw_of(spark, [record(a=1.0)]), "b0", options)
+    load(raw_of(spark, [record(a=5.0)]), "b2", options)
+    assert table.sparkSession.table(tables.table_name("s", "t", options)).count() == 9
+
+
+def test_latest_over_sparse_and_early_days(spark, options):
+    stamps = [f"{year:04d}-01-01 00:00:00" for year in range(1825, 2025)] + ["0000-01-01 00:00:00"]
+    load(raw_of(spark, [{**record(a=n), "timestamp": stamp} for n, stamp in enumerate(stamps)]), "one", options)
+    newest = latest(spark, "s", "t", "a", order="timestamp", limit=2, options=options)
+    assert [row.a for row in newest.collect()] == [199.0, 198.0]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "ts_date" in plan.split("PartitionFilters")[1][:80]
+    assert latest(spark, "s", "t", "a", order="timestamp", limit=300, options=options).count() == 201
+
+
+def test_bounds_with_a_zone_are_refused(spark, options):
+    load(raw_of(spark, [record(a=1.0)]), "one", options)
+    with pytest.raises(ValueError):
+        time_range(spark, "s", "t", datetime.datetime.now(datetime.UTC), datetime.datetime.now(datetime.UTC), options)
 
 
 def test_an_empty_load(spark, options):
@@ -211,8 +292,9 @@ def test_plain_table_keys(spark, options):
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("name"),
         F.lit(1.0).alias("v"),
     )
-    plain.append_plain(rows, "p", "plain", ["name"], options)
-    plain.append_plain(rows.limit(10), "p", "plain", ["name"], options)
+    plain.append_plain(rows, "p", "plain", ["name"], "first", options)
+    for _ in range(2):  # the second attempt replaces the first
+        plain.append_plain(rows.limit(10), "p", "plain", ["name"], "second", options)
     table = spark.table(tables.table_name("p", "plain", options))
     assert table.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first()[:] == (1, 3010, 3010)
     first = table.where("id <= 3000").orderBy("id").select("name").collect()
@@ -237,7 +319,9 @@ def test_other_landing_formats(spark, tmp_path):
     raw.select("payload").write.text(str(tmp_path / "lines" / "plant"))
     lines = read_raw(spark, str(tmp_path / "lines" / "plant"), "text")
     assert values(lines, "topic", "payload") == sorted(("plant", row.payload) for row in raw.collect())
-    assert lines.select("seq").distinct().count() == 2
+    numbers = values(lines, "seq", "payload")
+    assert len(set(numbers)) == 2
+    assert values(lines.repartition(3), "seq", "payload") == numbers
 
 
 def test_fan_out_and_publish(spark):

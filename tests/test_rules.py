@@ -1,5 +1,6 @@
 """Case tables for the JSON dialect, structure, defaults, routes, names and cells."""
 
+import datetime
 import json
 
 import pytest
@@ -240,10 +241,44 @@ def test_first_writer_sets_the_type(spark):
         record({"A": {"value": 2, "type": "int"}, "b": {"value": "x", "type": "str"}, "c": {"type": "json"}}),
     ]
     outcomes = parse(raw_of(spark, [json.dumps(x) for x in payloads]))
-    found = {row.column: row.storage for row in column_dictionary(outcomes, Options()).collect()}
+    found = {row.column: row.storage for row in column_dictionary(outcomes).collect()}
     assert found == {"a": "STRING", "b": "DOUBLE", "c": "JSON"}
-    few = column_dictionary(outcomes, Options(max_columns=2)).collect()
-    assert sorted(row.column for row in few) == ["a", "b"]
+
+
+@pytest.mark.parametrize("sign", ["", "-"])
+@pytest.mark.parametrize(
+    "number, text",
+    [
+        ("5.0", "5.0"), ("5", "5"), ("123456789012345678.0", "123456789012345678.0"),
+        ("1234567890123456789.0", "1234567890123456789.0"), ("9223372036854775807.0", "9223372036854775807.0"),
+        ("123456789012345678", "123456789012345678"), ("9223372036854775809", "9223372036854775809"),
+    ],
+)
+def test_long_numbers_keep_their_text(spark, sign, number, text):
+    outcomes = parse(raw_of(spark, [f'{{"fields":{{"x":{{"value":{sign}{number}}}}}}}']))
+    assert [row.text for row in flatten.cells(flatten.rows(outcomes)).collect()] == [sign + text]
+
+
+@pytest.mark.parametrize(
+    "spelling, stamp",
+    [
+        ("2024/01/15 10:00:00", "2024-01-15 10:00:00"), ("20240115 100000", "2024-01-15 10:00:00"),
+        ("Jan 15 2024 10:00:00", "2024-01-15 10:00:00"), ("January 5, 2024", "2024-01-05 00:00:00"),
+        ("20240115T100000.25", "2024-01-15 10:00:00.25"), ("2024-1-5", "2024-01-05 00:00:00"),
+        ("2024", None), ("Foo 15 2024", None), ("2024/13/01", None), ("20241301", None),
+    ],
+)
+def test_spellings_of_timestamps(spark, spelling, stamp):
+    row = parse(raw_of(spark, [json.dumps(record(timestamp=spelling))])).first()
+    assert row.reason == (None if stamp else "bad_timestamp")
+    if stamp:
+        assert str(row.rows[0].ts) == str(datetime.datetime.fromisoformat(stamp))
+
+
+def test_routes_that_cannot_be_stored(spark):
+    routes = [("global_temp", "t"), ("s", "t" * 256), ("s" * 253, "t"), ("quarantine", "rejects"), ("s", "t" * 255)]
+    rows = parse(raw_of(spark, [json.dumps(record(schema=x, table=y)) for x, y in routes])).orderBy("seq").collect()
+    assert [row.reason for row in rows] == ["bad_route"] * 4 + [None]
 
 
 def test_messages(spark):

@@ -1,4 +1,6 @@
-from telemill.session import scratch_dir
+from pathlib import Path
+
+from telemill.session import scratch, scratch_dir
 
 
 class Conf:
@@ -21,5 +23,13 @@ def test_scratch_is_below_the_folder_the_cluster_names():
     assert first.startswith("hdfs://cluster/shared/telemill/x-")
 
 
-def test_scratch_without_such_a_folder_is_local():
-    assert "/telemill-" in scratch_dir(Session(), "x")
+def test_scratch_without_such_a_folder_is_below_the_warehouse():
+    own = Session(spark_sql_warehouse_dir="hdfs://cluster/warehouse")
+    assert scratch_dir(own, "x").startswith("hdfs://cluster/warehouse/telemill/x-")
+
+
+def test_scratch_is_dropped_after_use(spark, tmp_path):
+    with scratch(spark, "gone") as folder:
+        spark.range(3).write.parquet(folder)
+        assert spark.read.parquet(folder).count() == 3
+    assert not Path(folder.removeprefix("file:")).exists()
