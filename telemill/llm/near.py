@@ -21,8 +21,10 @@ WORDS_A_TURN = 1 << 19
 REMEMBERED = 400_000
 #: Pairs of one document that a task verifies, about.
 PAIRS_A_SALT, SALTS = 500, 1024
-#: Documents whose keys are broadcast to fetch their texts; texts are shuffled for more.
-BROADCAST_ROWS = 200_000
+#: Open documents of a bucket that are held together, and documents they are compared with.
+OPEN_A_BLOCK, MEMBERS_A_SALT = 512, 1000
+#: Tasks (40 bytes each) that are broadcast to fetch texts; for more, texts are shuffled.
+BROADCAST_TASKS = 200_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FIRST = np.uint64(0xBF58476D1CE4E5B9)
@@ -120,12 +122,12 @@ def _node(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words))
 
 
-SIGNED = "row long, doc_id long, node binary, size long, bands array<long>"
-NAMES = ["row", "doc_id", "node", "size", "bands"]
+SIGNED = "row long, doc_id long, node binary, bands array<long>"
+NAMES = ["row", "doc_id", "node", "bands"]
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document: a number of its own, a digest of its words, its bag's size, its bands."""
+    """A row per document: a number of its own, a digest of its words, and its bands."""
     row, hashes = TaskContext.get().partitionId() << 33, _WordHashes()
     for batch in batches:
         keys, texts, at = batch.column(0), batch.column(1), 0
@@ -139,29 +141,74 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(nodes)
             owner = np.repeat(np.arange(n), [len(x) for x, _ in bags])
             signed = signatures(owner, np.concatenate([x for x, _ in bags]), np.concatenate([x for _, x in bags]), n, BANDS * ROWS)
-            sizes = np.array([int(x.sum()) for _, x in bags], np.int64)
             # A text without words is in no band.
-            places = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))])
-            lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(band_keys(signed[sizes > 0]).ravel(), pa.int64()))
-            columns = [pa.array(np.arange(row, row + n)), keys[at : at + n], pa.array(nodes, pa.binary()), pa.array(sizes), lists]
+            some = np.array([len(x) > 0 for x, _ in bags])
+            places = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))])
+            lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(band_keys(signed[some]).ravel(), pa.int64()))
+            columns = [pa.array(np.arange(row, row + n)), keys[at : at + n], pa.array(nodes, pa.binary()), lists]
             yield pa.record_batch(columns, names=NAMES)
             row, at = row + n, at + n
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ordered by head and salt, the head's own first: the similarity of each to its head."""
-    head, held = None, None
+class _Held:
+    """Bags held in a task, to compare others with all of them at once."""
+
+    def __init__(self, labels: list[int], bags: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.labels, self.n = labels, len(bags)
+        shingles = np.concatenate([x for x, _ in bags])
+        order = np.argsort(shingles, kind="stable")
+        self._owner = np.repeat(np.arange(self.n), [len(x) for x, _ in bags])[order]
+        self._times = np.concatenate([x for _, x in bags])[order]
+        self._known, self._first, self._length = np.unique(shingles[order], return_index=True, return_counts=True)
+        self._total = np.array([x.sum() for _, x in bags])
+
+    def similarities(self, shingles: np.ndarray, times: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self._known, shingles), len(self._known) - 1)
+        met = self._known[at] == shingles
+        at, own = at[met], times[met]
+        lengths = self._length[at]
+        places = np.repeat(self._first[at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        shared = np.bincount(self._owner[places], np.minimum(self._times[places], np.repeat(own, lengths)), self.n)
+        return shared / (self._total + times.sum() - shared)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ordered by group and salt, those to hold first: the links of the others to them.
+
+    In groups of one head all its similarities are returned. Where classes are wanted, a link
+    within a class, as far as this task knows, is neither sought nor returned.
+    """
+    group, held, waiting, parent = None, None, [], {}
+
+    def root(label: int) -> int:
+        while parent.setdefault(label, label) != label:
+            parent[label] = label = parent[parent[label]]
+        return label
+
     for batch in batches:
         out: list[tuple[int, int, float]] = []
-        columns = (batch.column(name) for name in ("head", "salt", "member", "shingles", "times"))
-        for to, salt, member, shingles, times in zip(*columns):
+        columns = (batch.column(name) for name in ("group", "block", "salt", "other", "row", "label", "shingles", "times"))
+        for to, block, salt, other, row, label, shingles, times in zip(*columns):
+            key, row, label = (to.as_py(), block.as_py(), salt.as_py()), row.as_py(), label.as_py()
             own = (shingles.values.to_numpy().view(np.uint64), times.values.to_numpy())
-            if member.as_py() == to.as_py():
-                head, held = (to.as_py(), salt.as_py()), own
-            elif head == (to.as_py(), salt.as_py()):
-                out.append((to.as_py(), member.as_py(), overlap(held, own)))
-            else:
-                raise ValueError(f"the text of head {to.as_py()} is missing")
+            if key != group:
+                group, held, waiting, parent = key, None, [], {}
+            if not other.as_py():
+                waiting.append((row, label, own))
+                continue
+            if held is None:
+                if not waiting:
+                    raise ValueError(f"the texts to compare with are missing in {key}")
+                held = _Held([x for _, x, _ in waiting], [x for _, _, x in waiting])
+            found = held.similarities(*own)
+            if label is None:
+                out.append((waiting[0][0], row, float(found[0])))
+                continue
+            for i in np.flatnonzero(found >= SIMILARITY).tolist():
+                one, two = root(held.labels[i]), root(label)
+                if one != two:
+                    parent[one] = two
+                    out.append((waiting[i][0], row, float(found[i])))
         columns = zip(*out) if out else ((), (), ())
         types = (pa.int64(), pa.int64(), pa.float64())
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=["head", "member", "similarity"])
@@ -176,36 +223,84 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if _node(words) != node.as_py():
                 continue
             shingles, times = bag(words, hashes)
-            n = len(tasks)
-            both = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(shingles), pa.int32()), pa.array(np.tile(x, n))) for x in (shingles.view(np.int64), times)]
-            to = tasks.values
-            columns = [to.field("head"), to.field("salt"), pa.array([row.as_py()] * n, pa.int64()), *both]
-            yield pa.record_batch(columns, names=["head", "salt", "member", "shingles", "times"])
+            n, to = len(tasks), tasks.values
+            both = [
+                pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(x), pa.int32()), pa.array(np.tile(x, n)))
+                for x in (shingles.view(np.int64), times.astype(np.int32))
+            ]
+            columns = [*map(to.field, ("group", "block", "salt", "other")), pa.array([row.as_py()] * n, pa.int64()), to.field("label"), *both]
+            yield pa.record_batch(columns, names=["group", "block", "salt", "other", "row", "label", "shingles", "times"])
 
 
-def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``head, member, similarity`` of ``pairs`` (``head, member``: rows of ``nodes``).
+def compared(docs: DataFrame, nodes: DataFrame, tasks: DataFrame) -> DataFrame:
+    """``head, member, similarity`` of what ``tasks`` compare: rows ``group, block, salt`` (who
+    meets), ``other`` (whether held, or compared with those held), ``row``, ``label``.
 
-    Only the texts of documents in pairs are fetched. Each bag is sent once for each head it is
-    compared with, and a head once for each salt, so that a head with very many members is
-    compared by many tasks.
+    Only the texts of documents in tasks are fetched, and each bag is sent once per task.
     """
-    per_head = pairs.groupBy("head").agg(F.least(F.lit(SALTS), F.ceil(F.count("*") / PAIRS_A_SALT)).cast("int").alias("salts"))
-    per_head = staged(per_head, "heads")
-    members = pairs.join(per_head, "head").select(
-        F.col("member").alias("row"), "head", F.pmod(F.xxhash64("member"), F.col("salts")).cast("int").alias("salt")
-    )
-    heads = per_head.select(F.col("head").alias("row"), "head", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    tasks = members.union(heads).groupBy("row").agg(F.collect_list(F.struct("head", "salt")).alias("tasks"))
-    wanted = staged(tasks.join(nodes.select("row", "doc_id", "node"), "row"), "wanted")
-    small = wanted.count() <= BROADCAST_ROWS
+    per_row = tasks.groupBy("row").agg(F.collect_list(F.struct("group", "block", "salt", "other", "label")).alias("tasks"))
+    wanted = staged(per_row.join(nodes.select("row", "doc_id", "node"), "row"), "wanted")
+    small = (wanted.agg(F.sum(F.size("tasks"))).first()[0] or 0) <= BROADCAST_TASKS
     texts = docs.join(
         F.broadcast(wanted) if small else wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])
     ).select("text", "node", "row", "tasks")
-    schema = "head long, salt int, member long, shingles array<long>, times array<long>"
-    bags = mapped(texts, _bags, schema).withColumn("later", F.col("member") != F.col("head"))
-    ordered = bags.repartition("head", "salt").sortWithinPartitions("head", "salt", "later")
-    return mapped(ordered, _verified, "head long, member long, similarity double")
+    schema = (
+        "group long, block int, salt int, other boolean, row long, label long, shingles array<long>, times array<int>"
+    )
+    bags = mapped(texts, _bags, schema)
+    ordered = bags.repartition("group", "block", "salt").sortWithinPartitions("group", "block", "salt", "other")
+    return mapped(ordered, _compared, "head long, member long, similarity double")
+
+
+def _star_tasks(spread: DataFrame) -> DataFrame:
+    """Each document against the head of its buckets; a head with very many goes to many tasks."""
+    pairs = staged(spread.where("row <> head").select("head", "row").distinct(), "pairs")
+    n = F.least(F.lit(SALTS), F.ceil(F.count("*") / PAIRS_A_SALT)).cast("int")
+    heads = staged(pairs.groupBy("head").agg(n.alias("salts")), "heads")
+    salt = F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")
+    none = F.lit(None).cast("long")
+    members = pairs.join(heads, "head").select(
+        F.col("head").alias("group"), F.lit(0).alias("block"), salt.alias("salt"), F.lit(True).alias("other"), "row", none.alias("label")
+    )
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    own = heads.select(
+        F.col("head").alias("group"), F.lit(0).alias("block"), salts.alias("salt"), F.lit(False).alias("other"), F.col("head").alias("row"), none.alias("label")
+    )
+    return members.union(own)
+
+
+def _open_tasks(spread: DataFrame, labels: DataFrame) -> DataFrame:
+    """What the stars leave open: in each bucket of more than one component, the documents
+    outside the largest, in blocks, against all of the bucket."""
+    placed = spread.join(labels, spread["row"] == labels["node"], "left").select(
+        "band", "row", F.coalesce("label", "row").alias("label")
+    )
+    placed = staged(placed, "placed")
+    parts = placed.groupBy("band", "label").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("band").agg(
+        F.max_by("label", F.struct("n", "label")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")
+    )
+    largest = largest.where("parts > 1").select(
+        "band",
+        "largest",
+        F.ceil((F.col("n") - F.col("most")) / OPEN_A_BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.col("n") / MEMBERS_A_SALT).cast("int").alias("salts"),
+    )
+    left = staged(placed.join(staged(largest, "largest"), "band"), "open")
+    numbers = {name: F.pmod(F.xxhash64("row"), F.col(name)).cast("int") for name in ("blocks", "salts")}
+    every = {name: F.explode(F.sequence(F.lit(0), F.col(name) - 1)) for name in ("blocks", "salts")}
+    to_hold = left.where("label <> largest").select(
+        F.col("band").alias("group"), numbers["blocks"].alias("block"), every["salts"].alias("salt"), F.lit(False).alias("other"), "row", "label"
+    )
+    others = left.select(
+        F.col("band").alias("group"), every["blocks"].alias("block"), numbers["salts"].alias("salt"), F.lit(True).alias("other"), "row", "label"
+    )
+    return to_hold.union(others)
+
+
+def _links(found: DataFrame) -> DataFrame:
+    similar = found.where(F.col("similarity") >= SIMILARITY)
+    return staged(similar.select(F.col("head").alias("a"), F.col("member").alias("b")), "links")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,30 +312,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     (of rows that repeat this key, one). Texts of the same words are of one class, texts without
     words too; a null text is an empty one, a null key smaller than any other.
 
-    Copies are one node. In each bucket every node is first compared with the bucket's smallest;
-    where that leaves more than one component, what is outside the largest is compared with all
-    others in the bucket, but for pairs that sizes or the triangle inequality of the distances
-    to the smallest exclude. No link between nodes of a bucket is lost, and no bucket is capped.
+    Copies are one node. In each bucket every node is first compared with one that shares most
+    with others; where that leaves more than one component, what is outside the largest is held
+    in blocks and compared with all of the bucket. No link between classes is lost, no bucket is
+    capped, and no pairs are listed: the rows that move are those of the buckets.
     """
     docs = pick(docs, doc_id=F.col(key).cast("long"), text=whole(text))
     signed = staged(mapped(docs, _signed, SIGNED), "signed")
     reps = staged(signed.groupBy("node").agg(F.min("row").alias("rep")), "reps")
     joined = signed.join(reps, "node")
     members = staged(joined.select("row", "doc_id", "rep"), "members")
-    nodes = staged(joined.where("row = rep").select("row", "doc_id", "node", "size", "bands"), "nodes")
-
-    banded = nodes.select("row", "size", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("row").alias("head"), F.max("row").alias("last"))
-    buckets = staged(buckets.where("head < last").select("band", "head"), "buckets")
-    spread = staged(banded.join(buckets, "band"), "spread")
-    stars = staged(verified(docs, nodes, spread.where("row <> head").select("head", F.col("row").alias("member")).distinct()), "stars")
-    links = stars.where(F.col("similarity") >= SIMILARITY).select(F.col("head").alias("a"), F.col("member").alias("b"))
+    nodes = staged(joined.where("row = rep").select("row", "doc_id", "node", "bands"), "nodes")
+
+    banded = nodes.select("row", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n"))
+    shared = staged(banded.join(staged(buckets.where("n > 1"), "buckets"), "band"), "shared")
+    # The node that meets most others is near the middle of its class.
+    weights = staged(shared.groupBy("row").agg(F.sum("n").alias("weight")), "weights")
+    heads = shared.join(weights, "row").groupBy("band").agg(F.max(F.struct("weight", (-F.col("row")).alias("behind"))).alias("best"))
+    heads = staged(heads.select("band", (-F.col("best.behind")).alias("head")), "heads")
+    spread = staged(shared.select("band", "row").join(heads, "band"), "spread")
+    links = _links(compared(docs, nodes, _star_tasks(spread)))
     labels = components(links)
-
-    rest = staged(_open_pairs(spread, stars, labels), "rest")
-    if not rest.isEmpty():
-        more = staged(verified(docs, nodes, rest), "more").where(F.col("similarity") >= SIMILARITY)
-        links = links.union(more.select(F.col("head").alias("a"), F.col("member").alias("b")))
+    open_tasks = staged(_open_tasks(spread, labels), "tasks")
+    if not open_tasks.isEmpty():
+        links = links.union(_links(compared(docs, nodes, open_tasks)))
         labels = components(links)
 
     labelled = members.join(labels, members["rep"] == labels["node"], "left").select(
@@ -264,25 +360,3 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     gone, name = staged(found.where("NOT kept").select(key), "gone"), temporary()
     gone = gone.select(F.col(key).alias(name))
     return docs.join(gone, docs[key].eqNullSafe(gone[name]), "left_anti")
-
-
-def _open_pairs(spread: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs of a bucket that the comparison with its head leaves open."""
-    placed = spread.join(labels, spread["row"] == labels["node"], "left").select(
-        "band", "head", "row", "size", F.coalesce("label", "row").alias("label")
-    )
-    placed = placed.join(
-        stars.select("head", F.col("member").alias("row"), (1 - F.col("similarity")).alias("distance")), ["head", "row"], "left"
-    ).withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-    placed = staged(placed, "placed")
-    parts = placed.groupBy("band", "label").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("parts"))
-    largest = staged(largest.where("parts > 1").select("band", "largest"), "largest")
-    # The head has been compared with all of its bucket.
-    left = staged(placed.where("row <> head").join(largest, "band"), "open")
-    x, y = left.where("label <> largest").alias("x"), left.alias("y")
-    size = F.least("x.size", "y.size") >= SIMILARITY * F.greatest("x.size", "y.size")
-    near = F.abs(F.col("x.distance") - F.col("y.distance")) <= 1 - SIMILARITY + 1e-9
-    once = (F.col("y.label") == F.col("y.largest")) | (F.col("x.row") < F.col("y.row"))
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label")) & size & near & once)
-    return pairs.select(F.col("x.row").alias("head"), F.col("y.row").alias("member")).distinct()
