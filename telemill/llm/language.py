@@ -24,8 +24,8 @@ SCRIPT_SHARE = 0.01
 #: What a change of language costs, and a word in a script that a language does not use.
 SWITCH, WRONG_SCRIPT = 8.0, 50.0
 UNDETERMINED = "und"
-#: Words of texts that are labelled together.
-WORDS_A_TURN = 1 << 20
+#: Words of texts that are labelled together, and their scores in all languages.
+WORDS_A_TURN, SCORES_A_TURN = 1 << 20, 1 << 24
 
 # First code points of the Unicode ranges of scripts.
 SCRIPTS = (
@@ -237,13 +237,15 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES rows of a number a language
 
+    most = min(WORDS_A_TURN, SCORES_A_TURN // max(1, len(model.languages)))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, column, at = batch.column(0), batch.column(1), 0
             while at < len(keys):
                 numbers: dict[str, int] = {}
                 texts, size = [], 0
-                while at + len(texts) < len(keys) and size < WORDS_A_TURN:
+                while at + len(texts) < len(keys) and size < most:
                     words = words_of(column[at + len(texts)].as_py().lower())
                     texts.append(np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int64))
                     size += len(words)
