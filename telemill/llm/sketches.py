@@ -21,6 +21,9 @@ GROWTH = 4
 #: Buckets of neighbouring documents for each shuffle partition.
 BUCKETS = 4
 
+#: Bits of a mixed digest for the place in each part.
+PLACE_BITS, PLACE_MASK = 21, np.uint64((1 << 21) - 1)
+
 _FIRST = np.uint64(0xBF58476D1CE4E5B9)
 _SECOND = np.uint64(0x94D049BB133111EB)
 
@@ -60,17 +63,19 @@ class Sketch:
     def of(cls, found: np.ndarray, cells: int = CELLS) -> Sketch:
         made = cls(np.zeros(cells, np.int32), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64))
         if len(found):
-            made._change(found, np.ones(PARTS * len(found), np.int32))
+            made._change(found, np.ones(len(found), np.int32))
         return made
 
     def _change(self, found: np.ndarray, by: np.ndarray) -> None:
         part = len(self.counts) // PARTS
-        places = np.concatenate(
-            [(_mixed(found, len(self.counts) + i) % np.uint64(part)).astype(np.int64) + i * part for i in range(PARTS)]
-        )
-        np.add.at(self.counts, places, by)
-        np.bitwise_xor.at(self.keys, places, np.tile(found, PARTS))
-        np.bitwise_xor.at(self.checks, places, np.tile(_mixed(found, 1), PARTS))
+        mixed, checks = _mixed(found, len(self.counts)), _mixed(found, 1)
+        for i in range(PARTS):
+            # A part too large for its bits is filled from a number of its own.
+            wide = _mixed(mixed, i + 2) if part > PLACE_MASK else mixed >> np.uint64(i * PLACE_BITS) & PLACE_MASK
+            places = (wide % np.uint64(part)).astype(np.int64) + i * part
+            np.add.at(self.counts, places, by)
+            np.bitwise_xor.at(self.keys, places, found)
+            np.bitwise_xor.at(self.checks, places, checks)
 
     def minus(self, other: Sketch) -> Sketch:
         return Sketch(self.counts - other.counts, self.keys ^ other.keys, self.checks ^ other.checks)
@@ -85,7 +90,7 @@ class Sketch:
                 break
             found, first = np.unique(self.keys[pure], return_index=True)
             signs = self.counts[pure[first]]
-            self._change(found, np.tile(-signs, PARTS))
+            self._change(found, -signs)
             sides.append((found, signs))
         if self.counts.any() or self.keys.any():
             return None
@@ -98,19 +103,32 @@ class Sketch:
         return base64.b64encode(packed + self.checks.astype("<u4").tobytes()).decode()
 
 
-def difference(left: np.ndarray, right: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
+class Version:
+    """The digests of a text, and its sketches once made."""
+
+    def __init__(self, found: np.ndarray) -> None:
+        self.digests = found
+        self._sketches: dict[int, Sketch] = {}
+
+    def sketch(self, cells: int = CELLS) -> Sketch:
+        if cells not in self._sketches:
+            self._sketches[cells] = Sketch.of(self.digests, cells)
+        return self._sketches[cells]
+
+
+def difference(left: Version, right: Version, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
     """The digests that one side has and the other has not, by subtracting and peeling sketches,
     larger ones until it succeeds."""
     while True:
-        found = Sketch.of(left, cells).minus(Sketch.of(right, cells)).peeled()
+        found = left.sketch(cells).minus(right.sketch(cells)).peeled()
         if found is not None:
             return found
         cells *= GROWTH
 
 
-def likeness(left: np.ndarray, right: np.ndarray) -> float:
+def likeness(left: Version, right: Version) -> float:
     """Shared paragraphs by all paragraphs of two versions; 1 for two without any."""
-    both = len(left) + len(right)
+    both = len(left.digests) + len(right.digests)
     apart = sum(map(len, difference(left, right)))
     return (both - apart) / (both + apart) if both else 1.0
 
@@ -148,7 +166,7 @@ def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for bucket, guest, doc_id, text in zip(*(batch.column(name) for name in ("bucket", "guest", "doc_id", "text"))):
             bucket, text = bucket.as_py(), text.as_py()
-            found = digests(text)
+            found = Version(digests(text))
             if before is not None and before[0] == bucket:
                 rows.append(_row(*before[1:], text, found))
                 if len(rows) == ROWS_OUT:
@@ -158,15 +176,15 @@ def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist(rows, ROW)
 
 
-def _row(doc_id: int | None, text: str, found: np.ndarray, after: str, next_found: np.ndarray) -> dict:
+def _row(doc_id: int | None, text: str, found: Version, after: str, next_found: Version) -> dict:
     edited = _edited(text, after)
-    edited_found = digests(edited)
+    edited_found = Version(digests(edited))
     return {
         "doc_id": doc_id,
         "n_chars": len(text),
         "edited": edited,
-        "fingerprint": Sketch.of(found).text(),
-        "edited_fingerprint": Sketch.of(edited_found).text(),
+        "fingerprint": found.sketch().text(),
+        "edited_fingerprint": edited_found.sketch().text(),
         "near_edited": likeness(found, edited_found),
         "near_next": likeness(found, next_found),
     }

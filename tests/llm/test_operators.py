@@ -402,7 +402,8 @@ def test_sketches_recover_differences():
     rng = np.random.default_rng(9)
     for n in (0, 1, 5, 40, 900):
         shared, left, right = (rng.integers(0, 2**63, k).astype(np.uint64) for k in (50, n, n // 2))
-        one, two = sketches.difference(np.concatenate([shared, left]), np.concatenate([right, shared]))
+        versions = (sketches.Version(np.concatenate(x)) for x in ((shared, left), (right, shared)))
+        one, two = sketches.difference(*versions)
         assert set(one.tolist()) == set(left.tolist()) and set(two.tolist()) == set(right.tolist())
     assert sketches.Sketch.of(left, 24).minus(sketches.Sketch.of(right, 24)).peeled() is None
 
