@@ -16,13 +16,16 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.llm.shared import mapped, reachable, staged
 
 #: A block ends with the document that brings it over one of these.
-TOKENS_A_BLOCK = 1 << 19
+TOKENS_A_BLOCK = 1 << 20
 DOCUMENTS_A_BLOCK = 1 << 14
+#: A block's number and a place in its dictionary are one number; a document can bring a block
+#: over its bound, by less than this.
+PLACE_BITS = 32
 #: Tokens in one row of a dictionary.
 TOKENS_A_ROW = 1 << 13
 
@@ -49,11 +52,9 @@ class _Block:
         if learn:
             self.learned.update(dict(zip(found.tolist(), counts.tolist())))
         order = np.argsort(found)
-        pairs = np.concatenate([np.diff(found[order], prepend=np.uint32(0)), counts[order]])
-        # The bytes of one significance lie together, which compresses better.
-        packed = zlib.compress(pairs.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+        pairs = packed(found[order], counts[order])
         self.documents.append(
-            {"block": self.number, "doc_id": doc_id, "n_bytes": len(text.encode()), "learn": learn, "pairs": packed}
+            {"block": self.number, "doc_id": doc_id, "n_bytes": len(text.encode()), "learn": learn, "pairs": pairs}
         )
 
     def full(self) -> bool:
@@ -69,8 +70,16 @@ class _Block:
             yield pa.RecordBatch.from_pylist([row], _SCHEMA)
 
 
-def frequencies(pairs: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The places of a document's tokens in its block's dictionary, and how often each occurs."""
+def packed(places: np.ndarray, numbers: np.ndarray) -> bytes:
+    """Ascending places of a dictionary with a number each, as few bytes."""
+    pairs = np.concatenate([np.diff(places.astype("<u4"), prepend=np.uint32(0)), numbers.astype("<u4")])
+    # The bytes of one significance lie together, which compresses better.
+    return zlib.compress(pairs.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(pairs: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The places and numbers that were packed: for a document, the places of its tokens in its
+    block's dictionary and how often each occurs."""
     raw = np.frombuffer(zlib.decompress(pairs), np.uint8).reshape(4, -1).T
     both = np.ascontiguousarray(raw).view("<u4").ravel()
     half = len(both) // 2
@@ -82,7 +91,7 @@ def blocks(docs: DataFrame, tokens_of: Callable[[], Callable[[str], Sequence[str
     function that cuts a text; ``learn`` says whose tokens count in ``learned``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, first = tokens_of(), TaskContext.get().partitionId() << 24
+        cut, first = tokens_of(), TaskContext.get().partitionId() << 12
         block = _Block(first)
         for batch in batches:
             for doc_id, text, learn in zip(*batch.columns):
@@ -97,21 +106,26 @@ def blocks(docs: DataFrame, tokens_of: Callable[[], Callable[[str], Sequence[str
 
 
 def dictionary(table: DataFrame) -> DataFrame:
-    """``block, place, token, learned``: a row per distinct token of a block."""
+    """``at, token, learned``: a row per distinct token of a block, ``at`` being where it is."""
     rows = table.where("tokens IS NOT NULL").select(
         "block", "place", F.posexplode(F.arrays_zip("tokens", "learned")).alias("i", "x")
     )
-    return rows.select("block", (F.col("place") + F.col("i")).alias("place"), "x.tokens", "x.learned").withColumnRenamed("tokens", "token")
+    at = F.shiftleft("block", PLACE_BITS) + F.col("place") + F.col("i")
+    return rows.select(at.alias("at"), F.col("x.tokens").alias("token"), "x.learned")
+
+
+def block_of(at: Column) -> Column:
+    return F.shiftrightunsigned(at, PLACE_BITS)
+
+
+def place_of(at: Column) -> Column:
+    return at.bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
 
 
 def summed(
     table: DataFrame, values: DataFrame, sums: Callable[[pa.Table, pa.Table], pa.Table], schema: str
 ) -> DataFrame:
-    """Applies ``sums`` to the values (ordered by ``place``) and the documents of each block."""
+    """Applies ``sums`` to the values and the documents of each block."""
     reachable(table.sparkSession)
-
-    def together(found: pa.Table, documents: pa.Table) -> pa.Table:
-        return sums(found.sort_by("place"), documents)
-
     documents = table.where("pairs IS NOT NULL").select("block", "doc_id", "n_bytes", "learn", "pairs")
-    return values.groupBy("block").cogroup(documents.groupBy("block")).applyInArrow(together, schema)
+    return values.groupBy("block").cogroup(documents.groupBy("block")).applyInArrow(sums, schema)

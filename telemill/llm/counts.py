@@ -10,10 +10,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from telemill.llm.blocks import blocks, dictionary, frequencies, summed
+from telemill.llm.blocks import PLACE_BITS, blocks, dictionary, packed, summed, unpacked
 from telemill.llm.shared import mapped, pick, whole
 
 SPACE = "▁"
+#: Counts that go back to their blocks together.
+VALUES_A_TURN = 1 << 18
 #: Ways to cut a text, the finer first: spaces go with what follows them.
 CUTS = (
     r" *[A-Za-z\x80-\U0010ffff]+| *[!-@\[-`{-~]+| +|[\x00-\x1f\x7f]",
@@ -73,25 +75,41 @@ def token_counts(
     table = blocks(rows, lambda: pre_tokens(path))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = _processor(path).encode, (None, 0)
+        encode, last, kept, size = _processor(path).encode, (None, 0), [], 0
         for batch in batches:
-            tokens = batch.column(2).to_pylist()
+            tokens = batch.column(1).to_pylist()
             distinct = [x for x, before in zip(tokens, [last[0], *tokens]) if x != before]
             found = dict(zip(distinct, map(len, encode(distinct, num_threads=1)))) if distinct else {}
             found.setdefault(*last)
-            n = pa.array([found[x] for x in tokens], pa.int32())
-            yield pa.record_batch([batch.column(0), batch.column(1), n], names=["block", "place", "n"])
+            kept.append((batch.column(0).to_numpy(), np.fromiter((found[x] for x in tokens), np.int64, len(tokens))))
+            size += len(tokens)
+            if size > VALUES_A_TURN:
+                yield by_block(kept)
+                kept, size = [], 0
             if tokens:
                 last = (tokens[-1], found[tokens[-1]])
+        yield by_block(kept)
 
-    tokens = dictionary(table).select("block", "place", "token").repartition("token").sortWithinPartitions("token")
-    values = mapped(tokens, counted, "block long, place int, n int")
+    def by_block(kept: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        at, n = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*kept) if kept else ((), ())))
+        order = np.argsort(at)
+        at, n = at[order], n[order]
+        numbers, first = np.unique(at >> PLACE_BITS, return_index=True)
+        ends = [*first[1:], len(at)]
+        pairs = [packed(at[a:b] & ((1 << PLACE_BITS) - 1), n[a:b]) for a, b in zip(first, ends)]
+        return pa.record_batch([pa.array(numbers, pa.int64()), pa.array(pairs, pa.binary())], names=["block", "pairs"])
+
+    tokens = dictionary(table).select("at", "token").repartition("token").sortWithinPartitions("token")
+    values = mapped(tokens, counted, "block long, pairs binary")
 
     def sums(found: pa.Table, documents: pa.Table) -> pa.Table:
-        n = found.column("n").to_numpy()
+        parts = [unpacked(pairs.as_py()) for pairs in found.column("pairs")]
+        n = np.zeros(1 + max((int(places.max()) for places, _ in parts), default=-1), np.int64)
+        for places, counts in parts:
+            n[places] = counts
         totals = []
         for pairs in documents.column("pairs"):
-            places, times = frequencies(pairs.as_py())
+            places, times = unpacked(pairs.as_py())
             totals.append(int(n[places] @ times))
         n_tokens = pa.array(totals, pa.int64())
         over = pa.array(np.array(totals, np.int64) > limit)

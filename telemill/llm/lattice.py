@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from telemill.llm.blocks import blocks, dictionary, frequencies, summed
+from telemill.llm.blocks import block_of, blocks, dictionary, place_of, summed, unpacked
 from telemill.llm.shared import mapped, pick, staged, whole
 
 SPACE = "▁"
@@ -127,16 +127,16 @@ def scored(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         lattice, token, score = Lattice(shared.value), None, 0.0
         for batch in batches:
             found, first = [], []
-            for x in batch.column(2).to_pylist():
+            for x in batch.column(1).to_pylist():
                 first.append(x != token)
                 if x != token:
                     token, score = x, lattice.word(x) / math.log(10)
                 found.append(score)
-            columns = [batch.column(0), batch.column(1), batch.column(3), pa.array(found, pa.float64()), pa.array(first, pa.bool_())]
-            yield pa.record_batch(columns, names=["block", "place", "n", "score", "first"])
+            columns = [batch.column(0), batch.column(2), pa.array(found, pa.float64()), pa.array(first, pa.bool_())]
+            yield pa.record_batch(columns, names=["at", "n", "score", "first"])
 
-    counted = dictionary(table).select("block", "place", "token", F.sum("learned").over(W.partitionBy("token")).alias("n"))
-    values = staged(mapped(counted, worded, "block long, place int, n long, score double, first boolean"), "words")
+    counted = dictionary(table).select("at", "token", F.sum("learned").over(W.partitionBy("token")).alias("n"))
+    values = staged(mapped(counted, worded, "at long, n long, score double, first boolean"), "words")
     learned = table.where("tokens IS NOT NULL").select(F.explode("learned").alias("n")).agg(F.sum("n"))
     words, kinds = learned.first()[0] or 0, values.where("first AND n > 0").count()
     train_tokens = words + ends
@@ -145,6 +145,7 @@ def scored(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     new_share = kinds / (words + kinds) if words else 1.0
 
     def sums(found: pa.Table, documents: pa.Table) -> pa.Table:
+        found = found.sort_by("place")
         n, pieces = found.column("n").to_numpy(), found.column("score").to_numpy()
         base, known = np.log10(n + 0.5) - divisor, (n > 0).astype(np.int64)
         with np.errstate(divide="ignore"):  # a word that was not learned has no way of its own
@@ -153,7 +154,7 @@ def scored(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         score = ways + math.log10(1 - end_share)
         columns: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         for pairs in documents.column("pairs"):
-            places, times = frequencies(pairs.as_py())
+            places, times = unpacked(pairs.as_py())
             columns["n_tokens"].append(int(times.sum()) + 1)
             columns["n_known"].append(int(known[places] @ times) + (ends > 0))
             columns["base_score"].append(float(base[places] @ times) + end_base)
@@ -165,4 +166,5 @@ def scored(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
     )
-    return summed(table, values.select("block", "place", "n", "score"), sums, schema)
+    placed = values.select(block_of(F.col("at")).alias("block"), place_of(F.col("at")).alias("place"), "n", "score")
+    return summed(table, placed, sums, schema)
