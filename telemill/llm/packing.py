@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from telemill.llm.shared import mapped, pick, reachable, staged, whole
 
-#: Words whose ids a task remembers, at most.
-REMEMBERED = 400_000
+#: Words, and runs of words, whose ids a worker remembers, at most.
+REMEMBERED, RUNS_REMEMBERED = 400_000, 800_000
 #: Pieces that are packed together, about: enough that the last open windows do not count.
 PIECES_A_GROUP = 2048
 
@@ -116,19 +117,45 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Words of ASCII and Latin-1 letters, without an apostrophe and what special tokens begin with:
+#: such a tokenizer lowers them letter by letter and cuts them into runs of letters, single
+#: digits, and runs of the rest.
+PLAIN = re.compile(r"(?:(?!<\|)[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])+").fullmatch
+RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+").findall
+
+
 class WordIds(dict):
-    """The ids of words as bytes, four little-endian ones each; forgets all when full."""
+    """The ids of words as bytes, four little-endian ones each; forgets all when full.
+
+    The runs of plain words are remembered too, as many words differ in case and ending only.
+    """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self._tokenizer = _tokenizer(path)
+        self._runs: dict[str, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return ((text, array("I", x.ids).tobytes()) for text, x in zip(texts, found))
 
     def learn(self, words: set[str]) -> None:
         if len(self) > REMEMBERED:
             self.clear()
+        if len(self._runs) > RUNS_REMEMBERED:
+            self._runs.clear()
         unknown = [word for word in words if word not in self]
-        found = self._tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        self.update((word, array("I", x.ids).tobytes()) for word, x in zip(unknown, found))
+        runs = {word: RUNS(word.lower()) for word in unknown if PLAIN(word)}
+        new = {run for own in runs.values() for run in own if run not in self._runs}
+        self._runs.update(self._encoded(list(new)))
+        self.update(self._encoded([word for word in unknown if word not in runs]))
+        self.update((word, b"".join(map(self._runs.__getitem__, own))) for word, own in runs.items())
+
+
+@cache
+def _known(path: str) -> WordIds:
+    """What this worker has learned, kept from task to task."""
+    return WordIds(path)
 
 
 #: Characters of texts whose words are learned together.
@@ -149,12 +176,12 @@ def token_pieces(
 
     Columns: ``doc_id, start, length, ids_crc32, doc_tokens``, with ``keep_ids`` also ``ids``. A
     null text is an empty one, which has the end id only. Such a tokenizer gives the words
-    between spaces and line feeds the same ids alone as in their text, so each task asks it once
-    for a word and remembers the answer.
+    between spaces and line feeds the same ids alone as in their text, so each worker asks it once
+    for a word and remembers the answer, up to a bound.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = WordIds(tokenizer), array("I", [end_id]).tobytes()
+        known, end = _known(tokenizer), array("I", [end_id]).tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             at = 0
