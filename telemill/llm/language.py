@@ -215,10 +215,11 @@ def _labelled(model: Model, keys: pa.Array, texts: list[np.ndarray], words: list
 
 
 def in_a_language(
-    docs: DataFrame, model: Model, least: float = 0.5, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, model: Model, least: float = 0.2, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` without those of no determined language: no letters, or less than ``least`` of
-    them in the language predicted. Rows that repeat a key are judged by the best of them."""
+    them in the language predicted, which a text in known scripts reaches even where it mixes several
+    languages. Rows that repeat a key are judged by the best of them."""
     found = identify(docs, model, key, text).where(F.col("lang_pred") != UNDETERMINED)
     found = staged(found.where(F.col("score") >= least).select("doc_id").distinct(), "accepted")
     name = temporary()
