@@ -484,6 +484,36 @@ def test_shards(spark, odd):
         assert max(total.values()) <= max(groups.values()) + -(-sum(total.values()) // 40)
 
 
+def test_even_cuts():
+    rng = np.random.default_rng(10)
+    for n in (1, 3, 8):
+        for sizes in ([], [5], [5, 5, 5], [1] * 9 + [30], rng.integers(1, 50, 9).tolist(), rng.integers(1, 50, 400).tolist()):
+            capacity, ends = shards.minimax_cuts(sizes, n)
+            parts = [sum(sizes[a:b]) for a, b in zip([0, *ends], ends)]
+            assert sum(parts) == sum(sizes) and max(parts) <= capacity and sum(x > 0 for x in parts) == min(n, len(sizes))
+            assert len(sizes) < 400 or max(parts) - min(parts) <= 2 * max(sizes)
+    assert shards.apart([1, 9, 1, 3, 1, 1], 4) == ([1, 3], []) and shards.apart([2, 2], 2) == ([], [0, 1])
+    assert shards.apart([5, 6], 3) == ([1, 0], []) and shards.apart([], 3) == ([], [])
+    capacity, ends = shards.minimax_cuts([1] * 20, 4, [4, 6])
+    parts = [own + b - a for own, a, b in zip([0, 0, 4, 6], [0, *ends], ends)]
+    assert capacity == 8 and sum(parts) == 30 and set(parts) == {7, 8}
+
+
+@pytest.mark.parametrize("hot", [[4000], [600], [200], [120], [500, 3000]])
+def test_shards_beside_hot_groups(spark, hot):
+    """A group above its share leaves the other shards nearly equal, and none of them empty."""
+    rows = [f"text {i:06}" for i in range(8000)] + [f"hot {n:07}" for n in hot for _ in range(n)]
+    docs = table(spark, [(i, text, None) for i, text in enumerate(rows)])
+    total = Counter()
+    for r in shards.shards(docs, 40).select("shard", "size").collect():
+        total[r.shard] += r.size
+    sizes = [total[i] for i in range(40)]
+    above = [n * 27 for n in hot if n > 200]
+    assert sorted(sizes)[40 - len(above) :] == pytest.approx(sorted(above), rel=0.01)
+    others = sorted(sizes)[: 40 - len(above)]
+    assert 0 < others[-1] <= 1.05 * others[0]
+
+
 # Empty tables, queries and the pipeline
 
 
