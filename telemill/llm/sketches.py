@@ -18,9 +18,17 @@ CELLS = 24
 PARTS = 3
 #: A sketch that cannot be peeled is made again with so many times the cells.
 GROWTH = 4
+#: A sketch that seems to hold so many digests a cell is not peeled first; one of about 0.8 fails.
+HOPELESS = 2
 #: Buckets of neighbouring documents for each shuffle partition.
 BUCKETS = 4
 
+#: Characters of a paragraph that is not cut, and those of the parts of longer ones, which are cut
+#: after a character in 16.
+LONG, SHORTEST, LONGEST = 32, 8, 64
+PLACE_BELOW = np.uint32(1 << 28)
+_NEAR = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
+
 #: Bits of a mixed digest for the place in each part.
 PLACE_BITS, PLACE_MASK = 21, np.uint64((1 << 21) - 1)
 
@@ -30,18 +38,60 @@ _SECOND = np.uint64(0x94D049BB133111EB)
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     x = x ^ np.uint64((salt * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * _FIRST
-    x = (x ^ (x >> np.uint64(27))) * _SECOND
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)
+    x *= _FIRST
+    x ^= x >> np.uint64(27)
+    x *= _SECOND
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _places(text: str) -> np.ndarray:
+    """A 32-bit number for each character but the first three, of it and the three before."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    mixed = codes[3:] * _NEAR[0] + codes[2:-1] * _NEAR[1] + codes[1:-2] * _NEAR[2] + codes[:-3] * _NEAR[3]
+    mixed ^= mixed >> np.uint32(15)
+    return mixed * _NEAR[0]
 
 
 def paragraphs(text: str) -> list[str]:
-    """The lines of a text, those of several sentences cut after each; blank ones count nothing."""
-    return [x for x in text.replace(". ", ".\n").split("\n") if x.strip()]
+    """The lines of a text, those of several sentences cut after each; blank ones count nothing.
+
+    What is longer than ``LONG`` is cut further, where its own characters say so: at least
+    ``SHORTEST`` characters on, after the first whose number (of it and the three before) is small,
+    or after the last of the smallest number within ``LONGEST``. The cuts after an edit soon are
+    those before it, in any script and also where a text repeats itself.
+    """
+    lines = text.replace(". ", ".\n").split("\n")  # as long as the text, so places are the same
+    if max(map(len, lines)) <= LONG:
+        return [x for x in lines if x.strip()]
+    places = _places(text)
+    cuts = (np.flatnonzero(places < PLACE_BELOW) + 4).tolist()
+    cuts.append(len(text) + LONGEST)
+    found, i, at = [], 0, 0
+    for line in lines:
+        end = at + len(line)
+        while end - at > LONG:
+            least = at + SHORTEST
+            while cuts[i] < least:
+                i += 1
+            cut = cuts[i]
+            if cut > at + LONGEST:
+                if end - at <= LONGEST:
+                    break
+                window = places[least - 4 : at + LONGEST - 3]
+                cut = at + LONGEST - int(window[::-1].argmin())
+            if cut >= end:
+                break
+            found.append(text[at:cut])
+            at = cut
+        found.append(text[at:end])
+        at = end + 1
+    return [x for x in found if x.strip()]
 
 
 def digests(text: str) -> np.ndarray:
-    """A 64-bit digest per paragraph; the n-th repetition of one has a digest of its own."""
+    """A 64-bit digest per paragraph or part of a long one; the n-th repetition of one has a digest of its own."""
     seen: dict[str, int] = {}
     found = []
     for paragraph in paragraphs(text):
@@ -60,26 +110,34 @@ class Sketch:
     checks: np.ndarray
 
     @classmethod
-    def of(cls, found: np.ndarray, cells: int = CELLS) -> Sketch:
+    def of(cls, found: np.ndarray, cells: int = CELLS, checks: np.ndarray | None = None) -> Sketch:
         made = cls(np.zeros(cells, np.int32), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64))
         if len(found):
-            made._change(found, np.ones(len(found), np.int32))
+            made._change(found, np.ones(len(found), np.int32), _mixed(found, 1) if checks is None else checks)
         return made
 
-    def _change(self, found: np.ndarray, by: np.ndarray) -> None:
+    def _change(self, found: np.ndarray, by: np.ndarray, checks: np.ndarray) -> None:
         part = len(self.counts) // PARTS
-        mixed, checks = _mixed(found, len(self.counts)), _mixed(found, 1)
+        mixed = _mixed(found, len(self.counts))
+        places = []
         for i in range(PARTS):
             # A part too large for its bits is filled from a number of its own.
             wide = _mixed(mixed, i + 2) if part > PLACE_MASK else mixed >> np.uint64(i * PLACE_BITS) & PLACE_MASK
-            places = (wide % np.uint64(part)).astype(np.int64) + i * part
-            np.add.at(self.counts, places, by)
-            np.bitwise_xor.at(self.keys, places, found)
-            np.bitwise_xor.at(self.checks, places, checks)
+            places.append((wide % np.uint64(part)).astype(np.int64) + i * part)
+        places = np.concatenate(places)
+        np.add.at(self.counts, places, np.concatenate([by] * PARTS))
+        np.bitwise_xor.at(self.keys, places, np.concatenate([found] * PARTS))
+        np.bitwise_xor.at(self.checks, places, np.concatenate([checks] * PARTS))
 
     def minus(self, other: Sketch) -> Sketch:
         return Sketch(self.counts - other.counts, self.keys ^ other.keys, self.checks ^ other.checks)
 
+    def held(self) -> float:
+        """For a difference: about how many digests it holds, from how its counts scatter."""
+        counts = self.counts.reshape(PARTS, -1).astype(np.float64)
+        n = counts.shape[1]
+        return float(counts.var(axis=1).mean() * n * n / max(1, n - 1))
+
     def peeled(self) -> tuple[np.ndarray, np.ndarray] | None:
         """For a difference: the digests of the left only and of the right only. None if the
         sketch is too small for them. The cells are used up."""
@@ -90,7 +148,7 @@ class Sketch:
                 break
             found, first = np.unique(self.keys[pure], return_index=True)
             signs = self.counts[pure[first]]
-            self._change(found, -signs)
+            self._change(found, -signs, self.checks[pure[first]])
             sides.append((found, signs))
         if self.counts.any() or self.keys.any():
             return None
@@ -108,11 +166,12 @@ class Version:
 
     def __init__(self, found: np.ndarray) -> None:
         self.digests = found
+        self._checks = _mixed(found, 1)
         self._sketches: dict[int, Sketch] = {}
 
     def sketch(self, cells: int = CELLS) -> Sketch:
         if cells not in self._sketches:
-            self._sketches[cells] = Sketch.of(self.digests, cells)
+            self._sketches[cells] = Sketch.of(self.digests, cells, self._checks)
         return self._sketches[cells]
 
 
@@ -120,14 +179,18 @@ def difference(left: Version, right: Version, cells: int = CELLS) -> tuple[np.nd
     """The digests that one side has and the other has not, by subtracting and peeling sketches,
     larger ones until it succeeds."""
     while True:
-        found = left.sketch(cells).minus(right.sketch(cells)).peeled()
+        apart = left.sketch(cells).minus(right.sketch(cells))
+        held = apart.held()  # any size that can be peeled gives the same digests
+        found = apart.peeled() if held < HOPELESS * cells else None
         if found is not None:
             return found
         cells *= GROWTH
+        while cells < held:
+            cells *= GROWTH
 
 
 def likeness(left: Version, right: Version) -> float:
-    """Shared paragraphs by all paragraphs of two versions; 1 for two without any."""
+    """Shared paragraphs (parts of long ones) by all of two versions; 1 for two without any."""
     both = len(left.digests) + len(right.digests)
     apart = sum(map(len, difference(left, right)))
     return (both - apart) / (both + apart) if both else 1.0

@@ -431,6 +431,28 @@ def test_edited_versions(spark, odd, monkeypatch):
     assert {r.doc_id: r.fingerprint for r in got.collect()} == prints
 
 
+def test_an_edit_changes_few_digests():
+    """Single paragraphs of several scripts, and texts that repeat themselves."""
+    rng = np.random.default_rng(11)
+    words = ["".join(chr(c) for c in rng.integers(97, 123, rng.integers(2, 9))) for _ in range(500)]
+    texts = [" ".join(rng.choice(words, n)) for n in (40, 300, 3000)]
+    texts += ["".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 900, n)) for n in (300, 9000)]
+    texts += ["".join(chr(0x1F300 + int(c)) for c in rng.integers(0, 200, 900)), "a" * 5000, "no" * 3000, "x\n" * 50 + "abc" * 5000]
+    for text in texts:
+        parts = sketches.paragraphs(text)
+        whole = "".join(parts)
+        assert whole == text.replace("\n", "") and max(map(len, parts)) <= 64 and len(parts) >= len(text) / 70
+        for at in (0, len(text) // 3, len(text) // 2, len(text) - 1):
+            for edited in (text[:at] + "Q" + text[at:], text[:at] + text[at + 1 :], text[:at] + "Q" + text[at + 1 :]):
+                versions = [sketches.Version(sketches.digests(x)) for x in (text, edited)]
+                apart = sum(map(len, sketches.difference(*versions)))
+                assert apart <= 20 and sketches.likeness(*versions) >= 1 - 20 / len(parts)
+        quarter = sketches._edited(text, "".join(chr(c) for c in rng.integers(0x3B1, 0x3C9, len(text))))
+        assert sketches.likeness(*(sketches.Version(sketches.digests(x)) for x in (text, quarter))) > 0.4
+    assert sketches.paragraphs("") == [] and sketches.paragraphs(" " * 500) == []
+    assert sketches.paragraphs("One. Two.\n\nThree") == ["One.", "Two.", "Three"]
+
+
 def test_one_document_follows_itself(spark):
     row = sketches.edited_versions(table(spark, [(1, "abcd", None)])).first()
     assert (row.edited, row.near_next) == ("abca", 1.0)
