@@ -358,6 +358,15 @@ def test_repeated_lines_of_odd_rows(spark, odd):
     assert got.where("shard <> 'clash'").count() == 0
 
 
+def test_repeated_lines_of_rows_that_share_a_key(spark):
+    """Repeated and null keys with different texts: each row loses its own later windows only."""
+    rows = [(7, "p\nq\nr\ns"), (7, "x\ny\nz\nw"), (3, "x\ny\nz"), (None, "a\nb\nc"), (None, "d\ne\nf\na\nb\nc"), (9, "d\ne\nf"), (8, "k\nl\nm"), (8, "k\nl\nm")]
+    got = found(lines.dedup_lines(table(spark, [(i, t, None) for i, t in rows]).coalesce(1)), "doc_id", "text", "n_removed")
+    left = [(t, 0) for _, t in rows]
+    left[1], left[4], left[5], left[7] = ("w", 3), ("d\ne\nf", 3), ("", 3), ("", 3)
+    assert got == sorted(((i, *x) for (i, _), x in zip(rows, left)), key=repr)
+
+
 # Exact duplicates
 
 
