@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from telemill.llm import toxicity as toxic_texts
+from telemill.llm.audit import filter_audit
 from telemill.llm.bytebpe import decode, encode
 from telemill.llm.counts import token_counts
 from telemill.llm.exact import exact_duplicates
@@ -12,9 +14,10 @@ from telemill.llm.language import identify, learn
 from telemill.llm.lattice import scored
 from telemill.llm.lines import dedup_lines
 from telemill.llm.near import near_duplicates
+from telemill.llm.negatives import hard_negatives
 from telemill.llm.packing import packed_documents
 from telemill.llm.shards import shards
-from telemill.llm.shared import documents
+from telemill.llm.shared import documents, table
 from telemill.llm.sketches import edited_versions
 
 WINDOW = 2048
@@ -30,9 +33,9 @@ def counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def held_out(modulus: int) -> Column:
-    """Whether the remainder of the key's check sum is 1; a null key counts as an empty text."""
-    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == 1
+def held_out(modulus: int, remainder: int = 1) -> Column:
+    """Whether the key's check sum has this remainder; a null key counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == remainder
 
 
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,6 +91,21 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards(documents(spark, folder))
 
 
+def audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(documents(spark, folder), table(spark, folder, "labels"))
+
+
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = toxic_texts.learn(docs, table(spark, folder, "labels"), ~held_out(5, 0))
+    found = toxic_texts.toxicity(docs, model)
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "windows", "evidence", "top_gain")
+
+
+def negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_packing": packing,
     "op2_token_counts": counts,
@@ -99,4 +117,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup,
     "op9_fingerprints": fingerprints,
     "op10_sharding": sharding,
+    "op11_filter_audit": audit,
+    "op12_toxicity": toxicity,
+    "op13_hard_negatives": negatives,
 }

@@ -14,8 +14,12 @@ from telemill.session import scratch_dir
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
+    return table(spark, folder, "documents")
 
 
 def reachable(spark: SparkSession) -> None:
