@@ -18,7 +18,7 @@ POSITIVES, NEGATIVES = 5, 5
 #: A negative's score is from LEAST to MOST hundredths of its positive's.
 LEAST, MOST = 80, 100
 #: Vectors of a tree, about; radii shrink by BASE from level to level; a leaf has LEAF vectors at most.
-ROWS_A_TREE, BASE, LEAF = 2048, 1.3, 32
+ROWS_A_TREE, BASE, LEAF = 2048, 1.3, 128
 #: Anchors, about, that are sent to all tasks at a time, and those that follow a tree together.
 ANCHORS_A_PASS, TOGETHER = 8192, 256
 #: Scores must fit 64 bits; vectors of a larger squared norm take no part.
@@ -48,7 +48,8 @@ class Tree:
     @classmethod
     def build(cls, ids: np.ndarray, rows: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> Tree:
         """Level by level: the vectors of a node that lie within the next smaller radius of one of
-        them, the node's center first, go to a child; one that is alone there is the node's own."""
+        them, the node's center first, go to a child; fewer than LEAF of them are the node's own, as
+        to look at them costs less than a bound for them saves."""
         plain = vectors.astype(np.float64)
         squared = (plain**2).sum(axis=1)
         added = np.sqrt(np.maximum(squared.max() - squared, 0))
@@ -69,7 +70,7 @@ class Tree:
                 rest = here
                 while len(rest):
                     near = distances[rest[0], rest] <= reach / BASE
-                    (own if near.sum() == 1 else waiting).append(rest[near])
+                    (own if near.sum() < LEAF else waiting).append(rest[near])
                     rest = rest[~near]
             own_rows = np.concatenate([np.zeros(0, np.int64), *own])
             order.append(own_rows)
@@ -81,14 +82,6 @@ class Tree:
         return cls(ids[sequence], rows[sequence], labels[sequence], vectors[sequence], table)
 
 
-def _exact(vectors: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-    """Inner products as whole numbers: in doubles where these hold them all, else in integers."""
-    largest = [math.sqrt(float((x.astype(np.float64) ** 2).sum(axis=1).max(initial=0))) for x in (vectors, anchors)]
-    if largest[0] * largest[1] < 2**52:
-        return (anchors.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
-    return anchors @ vectors.T
-
-
 class Best:
     """The best scores of each list so far, ties by the smaller id."""
 
@@ -97,10 +90,8 @@ class Best:
         self.scores = np.full((lists, size), LOWEST, np.int64)
         self.ids = np.zeros((lists, size), np.int64)
         self.found = np.zeros((lists, size), bool)
-
-    def least(self) -> np.ndarray:
-        """What a list still needs; LOWEST while it is not full."""
-        return np.where(self.found[:, -1], self.scores[:, -1], LOWEST)
+        #: What a list still needs; LOWEST while it is not full.
+        self.least = np.full(lists, LOWEST, np.int64)
 
     def add(self, lists: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         touched = np.unique(lists)
@@ -120,6 +111,7 @@ class Best:
         self.scores[lists[kept], place[kept]] = scores[kept]
         self.ids[lists[kept], place[kept]] = ids[kept]
         self.found[lists[kept], place[kept]] = True
+        self.least[touched] = np.where(self.found[touched, -1], self.scores[touched, -1], LOWEST)
 
 
 class Search:
@@ -132,55 +124,46 @@ class Search:
     def __init__(self, vectors: np.ndarray, labels: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray, same: bool, size: int) -> None:
         self.vectors, self.labels, self.rows, self.same = vectors, labels, rows, same
         self.low, self.high = low, high  # by anchor and window
-        self.norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
+        self.plain = vectors.astype(np.float64)
+        self.norms = np.sqrt((self.plain**2).sum(axis=1))
         self.best = Best(low.size, size)
 
     def _needed(self, anchors: np.ndarray) -> np.ndarray:
         """The least score that is still of use, by anchor and window."""
-        least = self.best.least().reshape(self.low.shape)[anchors]
-        return np.maximum(least, self.low[anchors])
+        return np.maximum(self.best.least.reshape(self.low.shape)[anchors], self.low[anchors])
+
+    def _scores(self, anchors: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Inner products as whole numbers: in doubles where these hold them all, else in integers."""
+        if self.norms.max(initial=0) * math.sqrt(float((vectors.astype(np.float64) ** 2).sum(axis=1).max(initial=0))) < 2**52:
+            return (self.plain[anchors] @ vectors.T.astype(np.float64)).astype(np.int64)
+        return self.vectors[anchors] @ vectors.T
 
     def descend(self, tree: Tree, anchors: np.ndarray) -> None:
+        nodes = len(tree.nodes)
         centers = tree.vectors[tree.nodes[:, 0].astype(np.int64)]
-        opened: list[list[tuple[float, float, int]]] = [[(-np.inf, -np.inf, 0)] for _ in anchors]
-        alive = range(len(anchors))
-        while alive:
-            chosen: dict[int, list[int]] = {}
-            for i in alive:
-                chosen.setdefault(opened[i].pop()[2], []).append(i)
-            for node, who in chosen.items():
-                self._verify(tree, node, anchors[who])
+        middle = self.plain[anchors] @ centers.T.astype(np.float64)
+        reach = self.norms[anchors][:, None] * tree.nodes[:, 1]
+        upper, lower = middle + reach, middle - reach
+        labels, low, high = self.labels[anchors][:, None], tree.nodes[:, 6], tree.nodes[:, 7]
+        fitting = (low <= labels) & (labels <= high) if self.same else (low != labels) | (labels != high)
+        waiting = np.zeros((len(anchors), nodes), bool)
+        waiting[:, 0] = True
+        while True:
+            needed = self._needed(anchors)
+            useful = np.zeros_like(waiting)
+            for window in range(self.low.shape[1]):
+                useful |= (upper >= needed[:, window, None]) & (lower <= self.high[anchors, window][:, None])
+            waiting &= useful & fitting
+            alive = np.flatnonzero(waiting.any(axis=1))
+            if not len(alive):
+                return
+            chosen = np.where(waiting[alive], upper[alive], -np.inf).argmax(axis=1)
+            waiting[alive, chosen] = False
+            for node in np.unique(chosen):
+                who = alive[chosen == node]
                 first, last = tree.nodes[node, 4:6].astype(np.int64)
-                if first == last:
-                    continue
-                below = np.arange(first, last)
-                labels, bounds = self.labels[anchors[who]][:, None], tree.nodes[below][:, 6:8]
-                if self.same:
-                    fitting = (bounds[:, 0] <= labels) & (labels <= bounds[:, 1])
-                else:
-                    fitting = (bounds[:, 0] != labels) | (labels != bounds[:, 1])
-                middle = self.vectors[anchors[who]].astype(np.float64) @ centers[below].astype(np.float64).T
-                reach = self.norms[anchors[who]][:, None] * tree.nodes[below, 1]
-                for at, i in enumerate(who):
-                    opened[i] += [(u, l, int(n)) for u, l, n, fits in zip((middle + reach)[at], (middle - reach)[at], below, fitting[at]) if fits]
-                    opened[i].sort()
-            alive = [i for i in alive if self._next(anchors[i], opened[i])]
-
-    def _next(self, anchor: int, opened: list[tuple[float, float, int]]) -> bool:
-        """Drops nodes outside all windows from the end; whether one is left."""
-        if not opened:
-            return False
-        one = np.array([anchor])
-        needed, high = self._needed(one)[0], self.high[anchor]
-        while opened:
-            upper, lower, _ = opened[-1]
-            if ((upper >= needed) & (lower <= high)).any():
-                return True
-            if (upper < needed).all():
-                opened.clear()
-            else:
-                opened.pop()
-        return False
+                waiting[who, first:last] = True
+                self._verify(tree, node, anchors[who])
 
     def _verify(self, tree: Tree, node: int, anchors: np.ndarray) -> None:
         """The exact scores of a node's own vectors."""
@@ -188,19 +171,21 @@ class Search:
         ids, labels = tree.ids[own], tree.labels[own]
         if not len(ids):
             return
-        scores = _exact(tree.vectors[own], self.vectors[anchors])
+        scores = self._scores(anchors, tree.vectors[own])
         fitting = (labels[None, :] == self.labels[anchors][:, None]) == self.same
         fitting &= tree.rows[own][None, :] != self.rows[anchors][:, None]
         needed, high = self._needed(anchors), self.high[anchors]
+        least = needed.min(axis=1)
+        if self.low.shape[1] == 1 and len(ids) > self.best.size:
+            # What is below the node's own best few is of no use either.
+            inside = np.where(fitting & (scores <= high), scores, LOWEST)
+            least = np.maximum(least, np.partition(inside, -self.best.size, axis=1)[:, -self.best.size])
+        who, which = np.nonzero(fitting & (scores >= least[:, None]) & (scores <= high.max(axis=1)[:, None]))
+        scores, ids = scores[who, which], ids[which]
         for window in range(self.low.shape[1]):
-            least = needed[:, window]
-            if fitting.shape[1] > self.best.size:
-                # What is below the node's own best few is of no use either.
-                inside = np.where(fitting & (scores <= high[:, window, None]), scores, LOWEST)
-                least = np.maximum(least, np.partition(inside, -self.best.size, axis=1)[:, -self.best.size])
-            who, which = np.nonzero(fitting & (scores >= least[:, None]) & (scores <= high[:, window, None]))
-            if len(who):
-                self.best.add(anchors[who] * self.low.shape[1] + window, scores[who, which], ids[which])
+            inside = (scores >= needed[who, window]) & (scores <= high[who, window])
+            if inside.any():
+                self.best.add(anchors[who[inside]] * self.low.shape[1] + window, scores[inside], ids[inside])
 
 
 # Tables

@@ -73,6 +73,7 @@ def test_random_vectors(spark, monkeypatch, trees):
 
 
 def test_clusters_ties_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "LEAF", 8)
     monkeypatch.setattr(negatives, "ANCHORS_A_PASS", 7)
     rows = random_rows(300, 6, 2, spread=0.02, centers=5)
     # Coarse vectors tie often, a third of the rows are copies of one.
@@ -92,7 +93,8 @@ def test_nothing_to_find(spark):
     assert found(spark, []) == []
 
 
-def test_tree_bounds_hold():
+def test_tree_bounds_hold(monkeypatch):
+    monkeypatch.setattr(negatives, "LEAF", 8)
     draw = np.random.default_rng(5)
     vectors = np.concatenate([draw.integers(-256, 256, (300, 5)), draw.integers(-9, 9, (500, 5)) + 90, np.full((70, 5), 3)])
     n = len(vectors)
@@ -116,6 +118,7 @@ def test_tree_bounds_hold():
 
 def test_descent_leaves_nodes_unopened(monkeypatch):
     """In clustered vectors most nodes are outside an anchor's windows."""
+    monkeypatch.setattr(negatives, "LEAF", 16)
     draw = np.random.default_rng(6)
     vectors = np.concatenate([draw.integers(-3, 3, (200, 8)) + center for center in draw.integers(-256, 256, (10, 8))])
     n = len(vectors)
