@@ -2,7 +2,7 @@
 
 from telemill.operators.reads import latest, scan, time_range
 from telemill.options import Options
-from telemill.plans.load import LoadReport, load
+from telemill.plans.load import LoadReport, load, unpark
 from telemill.plans.parse import parse, register_parser
 from telemill.session import configure
 from telemill.streaming.ingest import start_ingest
@@ -18,4 +18,5 @@ __all__ = [
     "scan",
     "start_ingest",
     "time_range",
+    "unpark",
 ]

@@ -213,26 +213,55 @@ def raw_many(spark: SparkSession, folder: str) -> DataFrame:
 # Routes that cannot be stored, by the remainder of the event id.
 BAD_ROUTES = {
     0: ("global_temp", "good"), 1: ("telemetry", "t" * 300), 2: ("quarantine", "rejects"), 3: ("telemetry", "plain"),
+    4: ("telemetry", "τήλε"),
 }
 
+# Routes whose names are as long as a path takes, of which one record in so many has a bad cell.
+# A schema's bytes are those left beside the prefix of ``fresh`` databases.
+LONG_ROUTES = {
+    5: ("telemetry", "t" * 244), 6: ("telemetry", "t" * 250), 7: ("telemetry", "t" * 255), 8: ("s" * 223, "good"),
+    9: ("s" * 235, "t" * 255),
+}
+BAD_LONG_CELLS = 3
+
 
 def raw_isolated(spark: SparkSession, folder: str) -> DataFrame:
     """One record per event, a few of them for tables that cannot take it."""
     kind = F.col("event_id") % 50
     route = F.lit('"schema":"telemetry","table":"good"')
-    for number, (schema, table) in BAD_ROUTES.items():
+    for number, (schema, table) in {**BAD_ROUTES, **LONG_ROUTES}.items():
         route = F.when(kind == number, f'"schema":"{schema}","table":"{table}"').otherwise(route)
+    bad_cell = kind.isin(*LONG_ROUTES) & (F.floor(F.col("event_id") / 50) % BAD_LONG_CELLS == 0)
+    value = F.when(bad_cell, F.lit('"abc"')).otherwise(F.col("value").cast("string"))
     whole = _record(
         _joined('"timestamp":"', _second(F.col("ts")), '"'),
         route,
         _joined('"deviceid":"dev-', F.col("user_id"), '"'),
-        fields=_joined('{"value":{"value":', F.col("value"), ',"type":"float"}}'),
+        fields=_joined('{"value":{"value":', value, ',"type":"float"}}'),
     )
     return events(spark, folder).select(
         F.col("event_id").alias("seq"), F.lit("plant/x/0").alias("topic"), whole.alias("payload"), F.col("ts").alias("recv_ts")
     )
 
 
+def raw_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    """One record per part, on the first of January of every third year from 1830 on."""
+    key = F.col("p_partkey")
+    year = 1830 + 3 * (key % 100)
+    whole = _record(
+        _joined('"timestamp":"', year, '-01-01 00:00:00"'),
+        F.lit('"schema":"telemetry","table":"sparse"'),
+        _joined('"deviceid":"d', key % 100, '"'),
+        fields=F.lit('{"value":{"value":1,"type":"int"}}'),
+    )
+    return spark.read.parquet(f"{folder}/part.parquet").select(
+        key.cast("bigint").alias("seq"),
+        F.lit("plant/sparse/0").alias("topic"),
+        whole.alias("payload"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("recv_ts"),
+    )
+
+
 def raw_wide(spark: SparkSession, folder: str) -> DataFrame:
     """One record of 576 numeric fields per customer; field i is (customer key + i) / 4."""
     key = F.col("c_custkey")

@@ -3,7 +3,7 @@ JSON made of them."""
 
 from __future__ import annotations
 
-from telemill.checks.feeds import FAULTS, MANY_COLUMNS, WIDE_FIELDS
+from telemill.checks.feeds import BAD_LONG_CELLS, FAULTS, LONG_ROUTES, MANY_COLUMNS, WIDE_FIELDS
 
 _RULES = " ".join(f"WHEN event_id % {number} = 0 THEN '{kind}'" for number, kind in FAULTS)
 
@@ -89,6 +89,18 @@ FROM feed WHERE parsed AND event_type = 'error' AND {where}
 """
 
 
+def _unparked() -> str:
+    return _all_tables() + """
+UNION ALL
+SELECT 'parked click', NULL, NULL, CAST(count(*) AS DOUBLE), CAST(count(*) AS DOUBLE), NULL, NULL, NULL, NULL
+FROM feed WHERE parsed AND route_schema = 'telemetry' AND event_type = 'click'
+UNION ALL
+SELECT 'left', NULL, NULL, 0, NULL, NULL, NULL, NULL, NULL
+"""
+
+
+_LONG = " ".join(f"WHEN {kind} THEN '{schema}.{table}'" for kind, (schema, table) in LONG_ROUTES.items())
+
 _MESSAGE = """
   CASE event_type WHEN 'error' THEN 'err ' || event_id END AS message,
   CAST(CASE event_type WHEN 'error' THEN event_id % 5 END AS DOUBLE) AS level,
@@ -184,9 +196,8 @@ SELECT event_id AS seq, route_table, stamp AS "timestamp", device AS deviceid,
 FROM feed WHERE parsed
 """,
     "wide_record": f"""
-SELECT c_custkey AS seq, 'd' || c_custkey AS deviceid,
-  CAST((c_custkey * {WIDE_FIELDS} + {WIDE_FIELDS * (WIDE_FIELDS + 1) // 2}) / 4 AS DOUBLE) AS total
-FROM customer
+SELECT c_custkey AS seq, 'd' || c_custkey AS deviceid, 'c' || i AS name, CAST((c_custkey + i) / 4 AS DOUBLE) AS value
+FROM customer, generate_series(1, {WIDE_FIELDS}) AS fields(i)
 """,
     "batch_alignment": LISTS + "SELECT DISTINCT batch AS seq, aligned FROM lists",
     "type_mapping": CELLS + """
@@ -214,7 +225,8 @@ QUALIFY row_number() OVER (PARTITION BY batch ORDER BY pos DESC) = 1
     "not_null_gate": FEED + "SELECT event_id AS seq, kind <> 'ts_null' AS passed FROM feed WHERE sound",
     "ensure_schema": FEED + "SELECT DISTINCT route_schema AS schema_name FROM feed WHERE parsed",
     "plain_table_with_id": """
-SELECT row_number() OVER (ORDER BY event_id) AS id, CAST(event_id AS DOUBLE) AS event_id, event_type
+SELECT row_number() OVER (ORDER BY event_id) AS id, CAST(event_id AS DOUBLE) AS event_id,
+  CAST(user_id AS DOUBLE) AS user_id, event_type, value, props
 FROM events
 """,
     "time_partitioned_table": FEED + """
@@ -307,20 +319,57 @@ FROM feed, (VALUES ('data'), ('message')) AS t(target)
 WHERE NOT stored AND event_id > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)
   AND (target = 'data' OR (kind = 'ts_null' AND event_type = 'error'))
 """,
-    "isolated_routes": """
-SELECT 'stored' AS outcome, 'dev-' || user_id AS deviceid, value, CAST(NULL AS BIGINT) AS seq
-FROM events WHERE event_id % 50 > 3
+    "isolated_routes": f"""
+WITH kinds AS (
+  SELECT *, event_id % 50 AS kind, event_id % 50 BETWEEN 5 AND 9 AND event_id // 50 % {BAD_LONG_CELLS} = 0 AS bad_cell
+  FROM events
+)
+SELECT CASE kind {_LONG} ELSE 'telemetry.good' END AS outcome, 'dev-' || user_id AS deviceid, value, CAST(NULL AS BIGINT) AS seq
+FROM kinds WHERE kind > 4 AND NOT bad_cell
 UNION ALL
-SELECT CASE WHEN event_id % 50 = 3 THEN 'bad_table' ELSE 'bad_route' END, NULL, NULL, event_id
-FROM events WHERE event_id % 50 <= 3
-""",
-    "compacted": FEED + """
-SELECT CAST(stamp AS DATE) AS ts_date, count(*) AS rows, sum(value) AS total, count(DISTINCT event_id % 3 = 2) AS batches
-FROM feed WHERE stored AND route_schema = 'telemetry' AND route_table = 'view' GROUP BY ts_date
+SELECT CASE WHEN bad_cell THEN 'cast_failed' WHEN kind = 3 THEN 'bad_table' ELSE 'bad_route' END, NULL, NULL, event_id
+FROM kinds WHERE kind <= 4 OR bad_cell
+""",
+    "parked_tables": _unparked(),
+    "parked_stream": _unparked(),
+    "committed_loads": FEED + f"""
+, tables AS (
+  SELECT event_id, route_table AS table_name, value, stamp FROM feed WHERE stored
+  UNION ALL SELECT event_id, 'message', NULL, stamp FROM feed WHERE parsed AND event_type = 'error'
+), states AS (
+  SELECT 'broken off' AS state, * FROM tables WHERE event_id <= (SELECT (min(event_id) + max(event_id)) // 2 FROM events)
+  UNION ALL SELECT 'repeated', * FROM tables
+)
+SELECT state, table_name, count(*) AS rows, sum(value) AS total FROM states GROUP BY state, table_name
+UNION ALL
+SELECT state, 'newest view', 1, value FROM states WHERE table_name = 'view'
+QUALIFY row_number() OVER (PARTITION BY state ORDER BY stamp DESC, value DESC) <= 3
 """,
-    "write_messages": f"""
-SELECT sent AS topic, '{{"seq":' || event_id || ',"topic":"' || {_TOPIC} || '"}}' AS payload
-FROM events, (VALUES ('topic/x'), ('topic/y')) AS t(sent)
+    "day_counts": LISTS + """
+SELECT 'batch' AS table_name, CAST(first_stamp AS DATE) AS day, count(*) AS rows FROM lists WHERE aligned GROUP BY day
+UNION ALL
+SELECT 'message', CAST(ts AS DATE) AS day, count(*) FROM lists WHERE has_message GROUP BY day
+""",
+    "latest_sparse": """
+SELECT make_timestamp(1830 + 3 * (p_partkey % 100), 1, 1, 0, 0, 0) AS "timestamp", 'd' || (p_partkey % 100) AS deviceid,
+  CAST(1 AS DOUBLE) AS value
+FROM part ORDER BY "timestamp" DESC LIMIT 7
+""",
+    "text_lines": _WHOLE + f"""
+SELECT row_number() OVER (ORDER BY event_id) - 1 AS seq, 'plant' AS topic, {_PAYLOAD} AS payload FROM written
+""",
+    "text_stream": _all_tables(),
+    "interleaved_appends": """
+SELECT 'part-' || (event_id % 4) AS append, count(*) AS rows, count(*) AS keys, true AS in_order
+FROM events GROUP BY event_id % 4
+UNION ALL SELECT 'all', count(*), count(*), true FROM events
+""",
+    "compacted": _all_tables(
+        more=""", CAST(stamp AS DATE) AS ts_date, CASE WHEN event_id % 3 = 2 THEN 'part-2' ELSE 'merged-' END AS ingest_batch"""
+    ),
+    "write_messages": _WHOLE + f"""
+SELECT sent AS sent_to, event_id AS seq, {_TOPIC} AS topic, {_PAYLOAD} AS payload
+FROM written, (VALUES ('topic/x'), ('topic/y')) AS t(sent)
 """,
     "ingest_metrics": FEED + """
 SELECT 'stored' AS metric, route_table AS name, count(*) AS value FROM feed WHERE stored GROUP BY route_table

@@ -9,9 +9,12 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from telemill.checks import feeds
 from telemill.functions import cells as cell_rules
@@ -19,10 +22,10 @@ from telemill.operators import coerce, flatten, reads
 from telemill.operators.decode import STRUCTURE_REASONS, decode, elements, judge
 from telemill.operators.dictionary import ROUTE, column_dictionary, route_columns
 from telemill.options import Options
-from telemill.plans.load import LoadReport, load, stage
+from telemill.plans.load import LoadError, LoadReport, load, stage, unpark
 from telemill.plans.parse import parse, parse_telemetry, register_parser
 from telemill.session import scratch_dir
-from telemill.sinks import plain, quarantine, tables
+from telemill.sinks import days, parked, plain, quarantine, tables
 from telemill.sinks.compact import compact
 from telemill.sinks.publish import publish, write_messages
 from telemill.sources.raw import read_raw, stream_raw
@@ -207,8 +210,8 @@ def wide_record(spark: SparkSession, folder: str) -> DataFrame:
     rows = flatten.rows(flatten.accepted(parse(feeds.raw_wide(spark, folder)), "data"))
     names = [f"c{number}" for number in range(1, feeds.WIDE_FIELDS + 1)]
     wide = flatten.wide(rows, dict.fromkeys(names, cell_rules.DOUBLE), Options(), "seq", checked=True)
-    total = F.aggregate(F.array(*names), F.lit(0.0), lambda left, right: left + right)
-    return wide.select("seq", "deviceid", total.alias("total"))
+    cells = wide.select("seq", "deviceid", F.posexplode(F.array(*names)).alias("position", "value"))
+    return cells.select("seq", "deviceid", F.element_at(F.array(*map(F.lit, names)), F.col("position") + 1).alias("name"), "value")
 
 
 def batch_alignment(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,15 +274,44 @@ def plain_table_with_id(spark: SparkSession, folder: str) -> DataFrame:
     source = feeds.events(spark, folder)
     half = source.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     tables.ensure_schema(spark, "public", options)
-    columns = {"event_id": cell_rules.DOUBLE, "event_type": cell_rules.STRING}
+    columns = {"event_id": cell_rules.DOUBLE, "user_id": cell_rules.DOUBLE, "event_type": cell_rules.STRING, "value": cell_rules.DOUBLE, "props": cell_rules.JSON}
     tables.create_plain_table(spark, "public", "plain", columns, options)
-    rows = source.select(F.col("event_id").cast("double").alias("event_id"), "event_type")
+    rows = source.select(*[F.col(name).cast(tables.SPARK_TYPES[storage]).alias(name) for name, storage in columns.items()])
     first, second = rows.where(F.col("event_id") <= half), rows.where(F.col("event_id") > half)
     for batch, part in (("first", first), ("second", second), ("second", second)):
         plain.append_plain(part, "public", "plain", ["event_id"], batch, options)
     return spark.table(tables.table_name("public", "plain", options)).drop(options.batch_column)
 
 
+def interleaved_appends(spark: SparkSession, folder: str) -> DataFrame:
+    """Appends to one plain table at the same time, one of them repeated: whether each has its own
+    keys, without a gap, in its order, and all together every key once."""
+    options = fresh(spark, "interleaved")
+    tables.ensure_schema(spark, "public", options)
+    tables.create_plain_table(spark, "public", "plain", {"event_id": cell_rules.DOUBLE}, options)
+    events = feeds.events(spark, folder).select(F.col("event_id").cast("double").alias("event_id"))
+
+    def append(number: int) -> None:
+        part = events.where(F.col("event_id") % 4 == number % 4)
+        plain.append_plain(part, "public", "plain", ["event_id"], f"part-{number % 4}", options)
+
+    with ThreadPoolExecutor(5) as pool:
+        list(pool.map(append, [0, 1, 2, 3]))
+    append(4)
+    rows = spark.table(tables.table_name("public", "plain", options))
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy(options.batch_column).orderBy("event_id")))
+    ends = rows.groupBy(options.batch_column).agg(F.min("id").alias("first"))
+    kept = placed.join(ends, options.batch_column).withColumn("in_order", F.col("id") == F.col("first") + F.col("place") - 1)
+    each = kept.groupBy(F.col(options.batch_column).alias("append")).agg(
+        F.count("*").alias("rows"), F.count_distinct("id").alias("keys"), F.min("in_order").alias("in_order")
+    )
+    total = rows.agg(
+        F.lit("all").alias("append"), F.count("*").alias("rows"), F.count_distinct("id").alias("keys"),
+        ((F.min("id") == 1) & (F.max("id") == F.count("*"))).alias("in_order"),
+    )
+    return each.union(total)
+
+
 def time_partitioned_table(spark: SparkSession, folder: str) -> DataFrame:
     options, _ = loaded_feed(spark, folder)
     dated = [
@@ -458,27 +490,138 @@ def isolated_routes(spark: SparkSession, folder: str) -> DataFrame:
     tables.ensure_schema(spark, "telemetry", options)
     tables.create_plain_table(spark, "telemetry", "plain", {"value": cell_rules.DOUBLE}, options)
     load(feeds.raw_isolated(spark, folder), "one", options)
-    stored = reads.scan(spark, "telemetry", "good", options).select(F.lit("stored").alias("outcome"), "deviceid", "value")
+    routes = [("telemetry", "good"), *feeds.LONG_ROUTES.values()]
+    stored = [
+        reads.scan(spark, *one, options).select(F.lit(".".join(one)).alias("outcome"), "deviceid", "value") for one in routes
+    ]
     refused = quarantine.read(spark, options).select(F.col("reason").alias("outcome"), "seq")
-    return stored.unionByName(refused, allowMissingColumns=True)
+    return reduce(DataFrame.unionByName, stored).unionByName(refused, allowMissingColumns=True)
+
+
+def _with_odd_table(spark: SparkSession, purpose: str) -> Options:
+    """A table for clicks exists whose values are whole numbers; loads do not make such ones."""
+    options = fresh(spark, purpose)
+    tables.ensure_schema(spark, "telemetry", options)
+    name = tables.table_name("telemetry", "click", options)
+    spark.sql(
+        f"CREATE TABLE {name} (timestamp TIMESTAMP_NTZ, deviceid STRING, value INT, ts_date DATE, ingest_batch STRING) "
+        "USING parquet PARTITIONED BY (ts_date, ingest_batch)"
+    )
+    return options
+
+
+def _unparked(spark: SparkSession, options: Options) -> DataFrame:
+    """What is parked, and all tables once the odd one has made way and its rows are loaded."""
+    waiting = parked.waiting(spark, options).groupBy(F.concat(F.lit("parked "), "route_table").alias("table_name"))
+    waiting = waiting.agg(F.sum("outcomes").cast("double").alias("value"), F.sum("rows").cast("double").alias("k"))
+    before = staged_rows(waiting, "waiting")
+    spark.sql(f"DROP TABLE {tables.table_name('telemetry', 'click', options)}")
+    unpark(spark, "telemetry", "click", options)
+    left = parked.waiting(spark, options).agg(F.lit("left").alias("table_name"), F.count("*").cast("double").alias("value"))
+    return _all_tables(spark, options).unionByName(before, allowMissingColumns=True).unionByName(left, allowMissingColumns=True)
+
+
+def staged_rows(rows: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def parked_tables(spark: SparkSession, folder: str) -> DataFrame:
+    options = _with_odd_table(spark, "parked")
+    load(feeds.raw_obj(spark, folder), "feed", options)
+    return _unparked(spark, options)
+
+
+def parked_stream(spark: SparkSession, folder: str) -> DataFrame:
+    options = _with_odd_table(spark, "parked")
+    landing = land(spark, feeds.raw_obj(spark, folder), "landing")
+    raw = stream_raw(spark, landing, max_files_per_trigger=LANDING_FILES // 2)
+    start_ingest(raw, "feed", scratch_dir(spark, "progress"), options).awaitTermination()
+    return _unparked(spark, options)
+
+
+def committed_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per table before and after the repeat of a load that broke off between two tables."""
+    options = replace(fresh(spark, "committed"), park_failures=False, parallel_routes=1)
+    first, second = _halves(spark, folder)
+    load(first, "first", options)
+    odd = tables.table_name("public", "message", options)
+    kept = f"{odd[:-1]}_kept`"
+    spark.sql(f"ALTER TABLE {odd} RENAME TO {kept}")
+    spark.sql(f"CREATE TABLE {odd} (timestamp TIMESTAMP_NTZ, deviceid STRING, level INT, ts_date DATE, ingest_batch STRING) USING parquet PARTITIONED BY (ts_date, ingest_batch)")
+    with suppress(LoadError):
+        load(second, "second", options)
+    spark.sql(f"DROP TABLE {odd}")
+    spark.sql(f"ALTER TABLE {kept} RENAME TO {odd}")
+
+    def rows(when: str) -> DataFrame:
+        found = _all_tables(spark, options).groupBy("table_name").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+        newest = reads.latest(spark, "telemetry", "view", order=["timestamp", "value"], limit=3, options=options)
+        found = found.unionByName(newest.select(F.lit("newest view").alias("table_name"), F.lit(1).cast("bigint").alias("rows"), F.col("value").alias("total")))
+        return staged_rows(found.select(F.lit(when).alias("state"), "*"), "counted")
+
+    broken = rows("broken off")
+    load(second, "second", options)
+    return broken.unionByName(rows("repeated"))
 
 
 def compacted(spark: SparkSession, folder: str) -> DataFrame:
     options = fresh(spark, "compacted")
     for number in range(3):
         load(feeds.raw_obj(spark, folder).where(F.col("seq") % 3 == number), f"part-{number}", options)
-    compact(spark, "telemetry", "view", ["part-0", "part-1"], options)
-    table = spark.table(tables.table_name("telemetry", "view", options))
-    return table.groupBy("ts_date").agg(
-        F.count("*").alias("rows"), F.sum("value").alias("total"), F.count_distinct("ingest_batch").alias("batches")
-    )
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda route: compact(spark, *route, ["part-0", "part-1"], options), (*FEED_ROUTES, MESSAGES)))
+    parts = [
+        spark.table(tables.table_name(*one, options)).withColumn("table_name", F.lit(one[1])) for one in (*FEED_ROUTES, MESSAGES)
+    ]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    merged = F.when(F.col("ingest_batch") == "part-2", "part-2").otherwise(F.substring("ingest_batch", 1, 7))
+    return rows.withColumn("ingest_batch", merged)
+
+
+def day_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per day and table as noted: of loads that were repeated with other rows and merged."""
+    options = fresh(spark, "counted")
+    raw = feeds.raw_list(spark, folder)
+    load(raw.where("seq % 2 = 0"), "first", options)
+    load(raw, "second", options)
+    load(raw.where("seq % 2 = 1"), "second", options)
+    compact(spark, "telemetry", "batch", ["first", "second"], options)
+    parts = [days.counts(spark, *one, options).withColumn("table_name", F.lit(one[1])) for one in (("telemetry", "batch"), MESSAGES)]
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name", "day").agg(F.sum("rows").alias("rows"))
+
+
+def latest_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest rows of a table with a row every few years."""
+    options = fresh(spark, "sparse")
+    load(feeds.raw_sparse(spark, folder), "sparse", options)
+    return reads.latest(spark, "telemetry", "sparse", order="timestamp", limit=7, options=options)
+
+
+def text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed as lines of a few text files, numbered over all of them."""
+    path = f"{scratch_dir(spark, 'lines')}/plant"
+    feed = feeds.raw_obj(spark, folder)
+    feed.repartitionByRange(2, "seq").sortWithinPartitions("seq").select("payload").write.text(path)
+    return read_raw(spark, path, "text").select("seq", "topic", "payload")
+
+
+def text_stream(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{scratch_dir(spark, 'lines')}/plant"
+    feeds.raw_obj(spark, folder).select("payload").repartition(LANDING_FILES).write.text(path)
+    options = fresh(spark, "lines")
+    start_ingest(stream_raw(spark, path, "text"), "lines", scratch_dir(spark, "progress"), options).awaitTermination()
+    return _all_tables(spark, options)
 
 
 def write_messages_stream(spark: SparkSession, folder: str) -> DataFrame:
     landing, out = land(spark, feeds.raw_obj(spark, folder), "landing"), scratch_dir(spark, "outgoing")
-    sent = publish(stream_raw(spark, landing).select("seq", "topic"), ["topic/x", "topic/y"])
+    sent = publish(stream_raw(spark, landing).select("seq", "topic", "payload"), ["topic/x", "topic/y"])
     write_messages(sent, out, checkpoint=scratch_dir(spark, "progress")).awaitTermination()
-    return spark.read.schema("topic STRING, payload STRING").json(out)
+    got = spark.read.schema("topic STRING, payload STRING").json(out)
+    message = F.from_json("payload", "seq BIGINT, topic STRING, payload STRING")
+    return got.select(F.col("topic").alias("sent_to"), message.alias("message")).select("sent_to", "message.*")
 
 
 def ingest_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -543,6 +686,14 @@ QUERIES = {
     "replay_changed": replay_changed,
     "stream_restart": stream_restart,
     "isolated_routes": isolated_routes,
+    "parked_tables": parked_tables,
+    "parked_stream": parked_stream,
+    "committed_loads": committed_loads,
+    "day_counts": day_counts,
+    "latest_sparse": latest_sparse,
+    "text_lines": text_lines,
+    "text_stream": text_stream,
+    "interleaved_appends": interleaved_appends,
     "compacted": compacted,
     "write_messages": write_messages_stream,
     "ingest_metrics": ingest_metrics,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import Column, functions as F
@@ -10,15 +11,44 @@ from pyspark.sql import Column, functions as F
 IDENTIFIER = r"^[\p{L}_][\p{L}\p{M}\p{N}_]*$"
 
 
+# What the session catalog takes for databases and tables.
+CATALOG_NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"
+
+
 def is_identifier(name: Column) -> Column:
     return name.rlike(IDENTIFIER)
 
 
+def is_catalog_name(name: Column) -> Column:
+    return name.rlike(CATALOG_NAME)
+
+
 def quoted(*parts: str) -> str:
     """Back-quoted dotted name."""
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
+def route_id(schema: str, table: str) -> str:
+    """A short name of a table for use in paths; the names themselves may fill a path's part."""
+    return "r" + hashlib.sha256(f"{schema}.{table}".encode()).hexdigest()[:20]
+
+
+def route_id_of(schema: Column, table: Column) -> Column:
+    """The same, computed from columns; NULL without a table."""
+    digest = F.sha2(F.concat(schema, F.lit("."), table), 256)
+    return F.concat(F.lit("r"), F.substring(digest, 1, 20))
+
+
+#: Bytes that a table's names may have to stand for it in a path.
+READABLE_BYTES = 120
+
+
+def route_scope(schema: str, table: str) -> str:
+    """The table's names where they are short, else its short name."""
+    names = f"{schema}.{table}"
+    return names if len(names.encode()) <= READABLE_BYTES else route_id(schema, table)
+
+
 def topic_regex(topic_filter: str) -> str:
     """Regular expression for an MQTT topic filter.
 

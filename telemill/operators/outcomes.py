@@ -65,10 +65,11 @@ def fixed_columns_fault(record: Column, ts: Column, id_: Column, options: Option
 
 
 def route_name(value: Column, default: str) -> Column:
-    """Database or table name a record asks for; NULL if it cannot be one. Numbers and
-    nested values are no identifiers as text, and the two truth values are no names."""
+    """Database or table name a record asks for; NULL if it cannot be one: the catalog takes
+    Latin letters only. Numbers and nested values are no names as text, nor are the two truth
+    values."""
     name = F.lower(variants.text(value))
-    usable = names.is_identifier(name) & ~name.isin("true", "false")
+    usable = names.is_catalog_name(name) & ~name.isin("true", "false")
     return F.when(value.isNull(), F.lit(default)).when(usable, name)
 
 

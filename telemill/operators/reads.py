@@ -10,10 +10,12 @@ from pyspark.sql.types import StructType
 from telemill.functions.names import quoted
 from telemill.operators.flatten import column_list
 from telemill.options import Options
+from telemill.sinks import days
+from telemill.sinks.commits import visible
 
 
 def scan(spark: SparkSession, schema: str, table: str, options: Options | None = None) -> DataFrame:
-    """All rows and columns of a table, without its partition columns."""
+    """All committed rows and all columns of a table, without its partition columns."""
     options = options or Options()
     return _rows(spark, schema, table, options).drop(options.batch_column, options.date_column)
 
@@ -32,7 +34,8 @@ def latest(
 
     ``column`` is a list of names as text; ``expressions`` are further columns. A missing
     table or column gives an empty result. Ordered by the time column, a time-partitioned
-    table is read from its newest days back only until there are enough rows.
+    table is read from its newest days back only as far as the rows noted for each day reach.
+    Rows of a load that is not complete are not seen.
     """
     options = options or Options()
     keys = [order] if isinstance(order, str) else list(order)
@@ -46,7 +49,7 @@ def latest(
     if any(_bare(x) not in known for x in [*wanted, *keys]):
         return spark.createDataFrame([], StructType())
     if keys[0].lower() == options.ts_column.lower() and options.date_column in rows.columns:
-        day = _oldest_day_needed(rows, limit, options)
+        day = _first_day(rows, schema, table, limit, options)
         if day is not None:
             rows = rows.where(F.col(options.date_column) >= day)
     ordered = rows.orderBy(*[F.col(quoted(_bare(key))).desc_nulls_first() for key in keys])
@@ -77,7 +80,7 @@ def time_range(
 
 
 def _rows(spark: SparkSession, schema: str, table: str, options: Options) -> DataFrame:
-    return spark.table(quoted(options.database(schema), table))
+    return visible(spark.table(quoted(options.database(schema), table)), schema, table, options)
 
 
 def _ntz(value: datetime.datetime) -> Column:
@@ -88,11 +91,18 @@ def _bare(name: str) -> str:
     return name.strip("`").lower()
 
 
+def _first_day(rows: DataFrame, schema: str, table: str, limit: int, options: Options) -> Column | None:
+    noted, first = days.first_needed(rows.sparkSession, schema, table, limit, options)
+    if not noted:
+        return _oldest_day_needed(rows, limit, options)
+    return None if first is None else F.date_from_unix_date(F.lit(first))
+
+
 def _oldest_day_needed(rows: DataFrame, limit: int, options: Options) -> Column | None:
-    """First day such that it and all later ones hold ``limit`` rows, looking back 1, 2, 4,
-    ... days from the newest one; None if the whole table does not. Days are counted from
-    1970, so any date a table holds will do, and a look reads the footers of the files of
-    its days only."""
+    """For tables no day is noted of: first day such that it and all later ones hold ``limit``
+    rows, looking back 1, 2, 4, ... days from the newest one; None if the whole table does not.
+    Days are counted from 1970, so any date a table holds will do, and a look reads the footers
+    of the files of its days only."""
     day = F.unix_date(F.col(options.date_column))
     newest, oldest = rows.agg(F.max(day), F.min(day)).first()
     back = 1

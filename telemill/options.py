@@ -36,8 +36,17 @@ class Options:
 
     quarantine_schema: str = "quarantine"
     quarantine_table: str = "rejects"
-    # What each load wrote, beside the quarantine.
+    # Beside the quarantine: what each load wrote, rows per day, loads that readers do not see yet,
+    # outcomes whose table could not take them, and key ranges of plain tables.
     ledger_table: str = "loads"
+    days_table: str = "days"
+    hidden_table: str = "hidden"
+    parked_table: str = "parked"
+    keys_table: str = "key_ranges"
+
+    # Whether outcomes of a table that cannot be written are parked, so that a load goes on
+    # without them; otherwise the load raises when all else is done, and stays hidden.
+    park_failures: bool = True
 
     # Prefix of every database name, and the folder databases are created in; by default
     # the session's warehouse.

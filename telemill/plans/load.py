@@ -8,34 +8,42 @@ only. A load has a name; running it again replaces all that it wrote before.
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from dataclasses import dataclass, field
 from threading import BoundedSemaphore
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.util import inheritable_thread_target
 
+from telemill.functions.names import route_id, route_id_of, route_scope
 from telemill.operators import flatten
 from telemill.operators.coerce import row_fault
+from telemill.operators.decode import STRUCTURE_REASONS
 from telemill.operators.dictionary import ROUTE, column_dictionary, route_columns
 from telemill.options import Options
 from telemill.plans.parse import DEFAULT_PARSER, parse
 from telemill.session import scratch
-from telemill.sinks import quarantine, tables
+from telemill.sinks import commits, days, parked, quarantine, tables
+from telemill.sources.raw import numbered
 
 Route = tuple[str, str]
 
 
 @dataclass
 class LoadReport:
-    """Rows stored per table, refusals per reason, and the seconds a load took."""
+    """Rows stored per table, refusals per reason, tables whose outcomes were parked with the
+    error, and the seconds a load took."""
 
     batch: str
     stored: dict[Route, int] = field(default_factory=dict)
     refused: dict[str, int] = field(default_factory=dict)
+    parked: dict[Route, str] = field(default_factory=dict)
     seconds: float = 0.0
 
     def refuse(self, reason: str, outcomes: int) -> None:
@@ -52,6 +60,17 @@ class LoadError(Exception):
         self.failures = failures
 
 
+#: Bytes of a path's part that a load's name may take, special characters taking three.
+NAME_BYTES = 200
+
+
+def check_name(batch: str) -> None:
+    """A load's name is part of paths; one that is too long is refused before any work."""
+    size = sum(1 if x.isascii() and (x.isalnum() or x in "_.-") else 3 * len(x.encode()) for x in batch)
+    if not 0 < size <= NAME_BYTES:
+        raise ValueError(f"a load's name takes 1 to {NAME_BYTES} bytes of a path, this one {size}: {batch[:80]!r}")
+
+
 def load(
     raw: DataFrame,
     batch: str,
@@ -63,20 +82,26 @@ def load(
 
     The outcomes are staged by table in shared storage, in ``staging`` (a new folder, which
     is left for the caller to drop) or in a scratch folder, so that a lost executor costs no
-    second parse. A table that cannot be written harms itself alone: payloads for one that
-    exists in another form are refused, and other failures are raised when all else is done.
+    second parse. Readers see nothing of the load before all of it is written. A table that
+    cannot be written harms itself alone: payloads for one that is not made for loads are
+    refused, and where a write fails the table's outcomes are parked for ``unpark``.
     """
     options = options or Options()
     spark = raw.sparkSession
+    check_name(batch)
     began = time.monotonic()
     report = LoadReport(batch)
     quarantine.ensure(spark, options)
     earlier = quarantine.loaded_routes(spark, batch, options)
+    raw = numbered(raw)
     source = raw.repartition(options.parse_tasks) if options.parse_tasks else raw
     with _folder(spark, staging) as folder:
-        staged = stage(parse(source, options, parser), folder)
+        refusals = Observation()
+        staged = stage(parse(source, options, parser), folder, refusals)
         written, scopes, failures = set(), set(), {}
-        if _early_refusals(staged, report):
+        # From here on readers see nothing of the load until it is shown again.
+        commits.hide(spark, batch, [batch], options)
+        if _early_refusals(staged, refusals.get, report):
             quarantine.write(flatten.rejected(staged), batch, quarantine.PAYLOADS, options)
             scopes.add(quarantine.PAYLOADS)
         # What may be written from here on is noted first, so that a load that breaks off
@@ -86,89 +111,172 @@ def load(
         if noted or earlier:
             quarantine.note(spark, batch, sorted(noted.union(earlier)), options)
 
-        def append(route: Route, columns: dict[str, str]) -> tuple[int, list[tuple[str, int]]]:
-            return _append(staged, route, columns, batch, route in earlier, options)
+        def append(route: Route, columns: dict[str, str]) -> tuple[int, dict[str, int]]:
+            return _append_or_park(staged, route, columns, batch, route in earlier, options)
 
         found = route_columns(column_dictionary(staged))
         wanted = (
             ((row.route_schema, row.route_table), {entry.column: entry.storage for entry in row.columns})
             for row in found.toLocalIterator()
         )
+        parked_scopes = set()
         for route, result in _in_threads(spark, append, wanted, options.parallel_routes):
-            if result.exception() is not None:
-                failures[route] = result.exception()
+            error = result.exception()
+            if isinstance(error, Parked):
+                report.parked[route] = str(error)
+                parked_scopes.add(route_scope(*route))
+                written.add(route)
+                continue
+            if error is not None:
+                failures[route] = error
                 continue
             report.stored[route], refused = result.result()
             written.add(route)
             if refused:
-                scopes.add(".".join(route))
-            for reason, count in refused:
+                scopes.add(route_scope(*route))
+            for reason, count in refused.items():
                 report.refuse(reason, count)
         if failures:
             raise LoadError(batch, failures)
         for route in set(earlier) - written:
-            tables.drop_days(spark, *route, batch, tables.batch_days(spark, *route, batch, options), options)
+            _forget(spark, route, batch, options)
         if earlier and set(earlier) != noted:
             quarantine.note(spark, batch, sorted(noted), options)
         quarantine.drop_other_scopes(spark, batch, scopes, options)
+        parked.drop_others(spark, batch, parked_scopes, options)
+        commits.show(spark, batch, options)
     report.seconds = time.monotonic() - began
     return report
 
 
-def _append(
+class Parked(Exception):
+    """The outcomes of a table are in the parked area; the text is the error they failed with."""
+
+
+def _append_or_park(
     staged: DataFrame, route: Route, wanted: dict[str, str], batch: str, again: bool, options: Options
-) -> tuple[int, list[tuple[str, int]]]:
-    """One table's part of a load: rows stored, and refusals by reason."""
-    spark, scope = staged.sparkSession, ".".join(route)
-    mine = flatten.accepted(staged).where(
-        (F.col("route_schema") == route[0]) & (F.col("route_table") == route[1])
-    )
+) -> tuple[int, dict[str, int]]:
+    """Appends, a second time after a failure that may pass; what fails for good is parked."""
+    mine = _of_route(staged, route)
+    for last in (False, True):
+        try:
+            return append_outcomes(mine, route, wanted, batch, again, options)
+        except Exception as error:
+            if not last and not isinstance(error, (tables.OtherType, AnalysisException)):
+                again = True
+                continue
+            if not options.park_failures:
+                raise
+            parked.park(mine, route, batch, error, options)
+            with suppress(Exception):  # what an earlier attempt stored there, if it can be dropped
+                _forget(staged.sparkSession, route, batch, options)
+            raise Parked(str(error)) from error
+    raise AssertionError
+
+
+def _of_route(staged: DataFrame, route: Route) -> DataFrame:
+    return flatten.accepted(staged).where(F.col("route_id") == route_id(*route))
+
+
+def _forget(spark: SparkSession, route: Route, batch: str, options: Options) -> None:
+    """Drops what a load has stored in a table."""
+    tables.drop_days(spark, *route, batch, tables.batch_days(spark, *route, batch, options), options)
+    days.forget(spark, *route, batch, options)
+
+
+def append_outcomes(
+    mine: DataFrame, route: Route, wanted: dict[str, str], batch: str, again: bool, options: Options
+) -> tuple[int, dict[str, int]]:
+    """One table's part of a load, from accepted outcomes for it: rows stored, and refusals by
+    reason. One pass over them checks, counts and stores; refused ones take a second pass."""
+    spark, scope = mine.sparkSession, route_scope(*route)
     try:
         present = tables.ensure_table(spark, *route, wanted, options)
     except tables.NotATimeTable:
         return 0, _refuse(mine, F.lit("bad_table"), batch, scope, options)
     columns = {name: present[name] for name in wanted}
     fault = row_fault(F.col("rows"), columns)
-    # One pass over the table's own staged files says what is refused and what is to store.
-    counts = mine.groupBy(fault.alias("fault")).agg(F.count("*").alias("outcomes"), F.sum(F.size("rows")).alias("rows"))
-    found = {row.fault: row for row in counts.collect()}  # a row per reason
-    refused = sum(row.outcomes for reason, row in found.items() if reason is not None)
-    stored = found[None].rows if None in found else 0
-    leftover = set(tables.batch_days(spark, *route, batch, options)) if again else set()
-    if stored:
-        kept = fitting_rows(mine, fault if refused else F.lit(None).cast("string"))
-        if leftover:
-            days = kept.select(F.col("ts").cast("date").cast("string").alias("day")).distinct()
-            leftover -= {row.day for row in days.collect()}
-        # Staged files lie by table and day already.
-        tables.append(flatten.wide(kept, columns, options, checked=True), *route, batch, options, gather=False)
-    tables.drop_days(spark, *route, batch, sorted(leftover), options)
-    return stored, _refuse(mine, fault, batch, scope, options) if refused else []
-
-
-def _refuse(mine: DataFrame, fault: Column, batch: str, scope: str, options: Options) -> list[tuple[str, int]]:
+    if again:
+        _forget(spark, route, batch, options)
+    seen = Observation()
+    judged = mine.select("rows", fault.alias("fault")).observe(
+        seen,
+        F.sum(F.when(F.col("fault").isNull(), F.size("rows"))).alias("stored"),
+        F.count(F.col("fault")).alias("refused"),
+    )
+    kept = fitting_rows(judged, F.col("fault"))
+    # Staged files lie by table and day already.
+    tables.append(flatten.wide(kept, columns, options, checked=True), *route, batch, options, gather=False)
+    stored = seen.get["stored"] or 0
+    days.note(spark, *route, batch, stored, options)
+    return stored, _refuse(mine, fault, batch, scope, options) if seen.get["refused"] else {}
+
+
+def _refuse(mine: DataFrame, fault: Column, batch: str, scope: str, options: Options) -> dict[str, int]:
     """Quarantines the outcomes with a fault, and counts them by reason."""
     refused = flatten.rejected(mine.withColumn("reason", F.explode_outer(F.array(fault.cast("string")))))
-    quarantine.write(refused, batch, scope, options)
-    return [tuple(row) for row in refused.groupBy("reason").count().collect()]
+    seen = Observation()
+    quarantine.write(refused.observe(seen, *_by_reason(TABLE_REASONS)), batch, scope, options)
+    return {reason: seen.get[reason] for reason in TABLE_REASONS if seen.get[reason]}
+
+
+#: Reasons to refuse an outcome for its table, and those known before.
+TABLE_REASONS = ("cast_failed", "bad_table")
+EARLY_REASONS = (
+    *STRUCTURE_REASONS, "bad_route", "field_set_mismatch", "bad_column", "duplicate_column",
+    "null_timestamp", "bad_timestamp", "null_deviceid", "bad_deviceid",
+)
 
 
-def stage(outcomes: DataFrame, folder: str) -> DataFrame:
+def _by_reason(reasons: tuple[str, ...]) -> list[Column]:
+    reason = F.col("reason")
+    return [F.count(reason).alias("all"), *(F.count(F.when(reason == x, 1)).alias(x) for x in reasons)]
+
+
+def unpark(spark: SparkSession, schema: str, table: str, options: Options | None = None) -> dict[str, LoadReport]:
+    """Loads what is parked for a table, load by load in the order they were parked, under the
+    names of the loads it is from; returns a report for each. What cannot be stored now either
+    stays parked, and its error is raised. Readers see a load's rows when all of them are there.
+    """
+    options = options or Options()
+    quarantine.ensure(spark, options)
+    route = schema, table
+    found = parked.waiting(spark, options).where((F.col("route_schema") == schema) & (F.col("route_table") == table))
+    reports = {}
+    for row in found.orderBy("parked_at").toLocalIterator():
+        batch, began = row[options.batch_column], time.monotonic()
+        mine = parked.of_load(spark, route, batch, options)
+        entries = route_columns(column_dictionary(mine)).first()
+        columns = {entry.column: entry.storage for entry in entries.columns}
+        name = f"unpark-{route_id(*route)}-{hashlib.sha256(batch.encode()).hexdigest()[:20]}"
+        commits.hide(spark, name, [batch], options, route)
+        report = reports[batch] = LoadReport(batch)
+        report.stored[route], refused = append_outcomes(mine, route, columns, batch, True, options)
+        for reason, count in refused.items():
+            report.refuse(reason, count)
+        commits.show(spark, name, options)
+        parked.drop(spark, route, batch, options)
+        report.seconds = time.monotonic() - began
+    return reports
+
+
+def stage(outcomes: DataFrame, folder: str, refusals: Observation | None = None) -> DataFrame:
     """Writes outcomes to a new folder and reads them back, for work that needs them more
-    than once.
+    than once; ``refusals`` counts those refused on the way.
 
     They are gathered by table and day, so that neither these files nor the tables' own
     become many and small. The rebalance splits a table or day that is too large for one
-    task.
+    task. Folders are named by a short name of the table, ``route_id``.
     """
     first_day = F.get("rows", F.lit(0))["ts"].cast("date")
-    (
-        outcomes.withColumn("first_day", first_day)
-        .hint("rebalance", *ROUTE, "first_day")
-        .write.partitionBy(*ROUTE)
-        .parquet(folder)
-    )
-    return outcomes.sparkSession.read.schema(outcomes.schema).parquet(folder)
+    placed = outcomes.withColumns({"first_day": first_day, "route_id": route_id_of(*map(F.col, ROUTE))})
+    placed = placed.hint("rebalance", "route_id", "first_day")
+    if refusals is not None:
+        # Behind the shuffle, where a task that is run again is not counted again.
+        placed = placed.observe(refusals, *_by_reason(EARLY_REASONS))
+    placed.write.partitionBy("route_id").parquet(folder)
+    schema = StructType([*outcomes.schema.fields, StructField("route_id", StringType())])
+    return outcomes.sparkSession.read.schema(schema).parquet(folder)
 
 
 @contextmanager
@@ -180,11 +288,14 @@ def _folder(spark: SparkSession, staging: str | None) -> Iterator[str]:
         yield folder
 
 
-def _early_refusals(staged: DataFrame, report: LoadReport) -> bool:
+def _early_refusals(staged: DataFrame, seen: dict[str, int], report: LoadReport) -> bool:
     """Notes what was refused before any table was looked at."""
-    refused = staged.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("outcomes"))
-    for row in refused.collect():  # a row per reason
-        report.refuse(row.reason, row.outcomes)
+    known = {reason: seen[reason] for reason in EARLY_REASONS}
+    if sum(known.values()) < seen["all"]:  # a parser with reasons of its own
+        rows = staged.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("outcomes")).collect()
+        known = {row.reason: row.outcomes for row in rows}
+    for reason, outcomes in known.items():
+        report.refuse(reason, outcomes)
     return bool(report.refused)
 
 

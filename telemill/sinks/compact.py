@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import SparkSession, functions as F
 
 from telemill.options import Options
-from telemill.sinks import quarantine, tables
+from telemill.sinks import commits, days, quarantine, tables
 
 
 def compact(
@@ -20,7 +20,7 @@ def compact(
     out its last micro-batch. They are noted as closed first, and a load of such a name is
     refused from then on, so that no row can be stored a second time. Run again after a
     failure, the merge is finished: days that are merged already stay, and what is left of
-    the loads' own partitions is dropped.
+    the loads' own partitions is dropped. Readers see either the loads' rows or the merged ones.
     """
     options = options or Options()
     into = "merged-" + hashlib.sha256("\n".join(sorted(batches)).encode()).hexdigest()[:20]
@@ -32,12 +32,18 @@ def compact(
         quarantine.note(spark, one, [tuple(row) for row in routes], options, merged=into)
     left = {one: tables.batch_days(spark, schema, table, one, options) for one in batches}
     merged = set(tables.batch_days(spark, schema, table, into, options))
-    days = sorted({x for found in left.values() for x in found} - merged)
-    if days:
+    unmerged = sorted({x for found in left.values() for x in found} - merged)
+    if not merged or unmerged:
+        commits.hide(spark, into, [into], options, (schema, table))
+    if unmerged:
         rows = spark.table(name).where(batch.isin(*batches))
-        rows = rows.where(F.col(day).isin(*[F.lit(x).cast("date") for x in days]))
+        rows = rows.where(F.col(day).isin(*[F.lit(x).cast("date") for x in unmerged]))
         placed = rows.hint("rebalance", day).withColumn(options.batch_column, F.lit(into))
         tables.overwrite_partitions(placed, name)
+    # In one step the merged rows are seen and the loads' own are not.
+    commits.hide(spark, into, batches, options, (schema, table))
     for one, found in left.items():
         tables.drop_days(spark, schema, table, one, found, options)
+    days.merge(spark, schema, table, batches, into, options)
+    commits.show(spark, into, options)
     return into

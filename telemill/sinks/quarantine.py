@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemill.functions.names import quoted
 from telemill.options import Options
-from telemill.sinks import tables
+from telemill.sinks import commits, days, parked, tables
 
 # Scope of refusals that were known before any table was looked at; others have the
 # table's name.
@@ -37,20 +37,25 @@ def _ledger_name(options: Options) -> str:
 
 
 def ensure(spark: SparkSession, options: Options) -> None:
+    """Makes the quarantine, the ledger and what else is kept beside them."""
+    batch = f"{quoted(options.batch_column)} STRING"
+    wanted = {
+        options.quarantine_table: (COLUMNS, [batch, "scope STRING"]),
+        options.ledger_table: (LEDGER, [batch]),
+        options.days_table: (days.COLUMNS, ["route STRING", batch]),
+        options.hidden_table: (commits.COLUMNS, [batch]),
+        options.parked_table: (parked.COLUMNS, [batch, "scope STRING"]),
+    }
     with tables.DEFINITIONS:
-        if spark.catalog.tableExists(_ledger_name(options)):
-            return
-        tables.ensure_schema(spark, options.quarantine_schema, options)
-        batch = quoted(options.batch_column)
-        for name, columns, keys in (
-            (_name(options), COLUMNS, f"{batch} STRING, scope STRING"),
-            (_ledger_name(options), LEDGER, f"{batch} STRING"),
-        ):
-            definitions = ", ".join(f"{column} {kind}" for column, kind in columns.items())
-            names = ", ".join(key.rpartition(" ")[0] for key in keys.split(", "))
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({definitions}, {keys}) USING parquet PARTITIONED BY ({names})"
-            )
+        names = {table: tables.table_name(options.quarantine_schema, table, options) for table in wanted}
+        missing = [table for table, name in names.items() if not spark.catalog.tableExists(name)]
+        if missing:
+            tables.ensure_schema(spark, options.quarantine_schema, options)
+        for table in missing:
+            columns, keys = wanted[table]
+            definitions = ", ".join([*(f"{column} {kind}" for column, kind in columns.items()), *keys])
+            partitions = ", ".join(key.rpartition(" ")[0] for key in keys)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {names[table]} ({definitions}) USING parquet PARTITIONED BY ({partitions})")
 
 
 def write(rejects: DataFrame, batch: str, scope: str, options: Options) -> None:
@@ -64,16 +69,7 @@ def read(spark: SparkSession, options: Options) -> DataFrame:
 
 def drop_other_scopes(spark: SparkSession, batch: str, written: set[str], options: Options) -> None:
     """Drops what an earlier attempt of a load refused and this one did not."""
-    batch_column = quoted(options.batch_column)
-    listed = spark.sql(f"SHOW PARTITIONS {_name(options)} PARTITION ({batch_column} = {tables.literal(batch)})")
-    kept = read(spark, options).where(F.col(options.batch_column) == batch).select("scope").distinct()
-    if not listed.isEmpty():
-        for row in kept.toLocalIterator():
-            if row.scope not in written:
-                spark.sql(
-                    f"ALTER TABLE {_name(options)} DROP IF EXISTS PARTITION "
-                    f"({batch_column} = {tables.literal(batch)}, scope = {tables.literal(row.scope)})"
-                )
+    tables.drop_scopes(spark, _name(options), batch, written, options)
 
 
 def ledger(spark: SparkSession, options: Options) -> DataFrame:

@@ -26,6 +26,10 @@ class NotATimeTable(Exception):
     """A table of that name exists and is none that loads can append to."""
 
 
+class OtherType(Exception):
+    """A column that a load has values for is of a type that loads do not make."""
+
+
 def ensure_schema(spark: SparkSession, schema: str, options: Options) -> None:
     database = options.database(schema)
     place = f" LOCATION '{options.warehouse}/{database}'" if options.warehouse else ""
@@ -73,8 +77,9 @@ def create_plain_table(
 
 def stored_columns(
     spark: SparkSession, schema: str, table: str, options: Options
-) -> dict[str, str] | None:
-    """Data columns of a table with their storage types; None if there is no table."""
+) -> dict[str, str | None] | None:
+    """Data columns of a table with their storage types, None for a type that loads do not make;
+    None if there is no table."""
     name = table_name(schema, table, options)
     if not spark.catalog.tableExists(name):
         return None
@@ -86,8 +91,10 @@ def stored_columns(
             columns[field.name.lower()] = cell_rules.DOUBLE
         elif field.metadata.get("comment") == JSON_COMMENT:
             columns[field.name.lower()] = cell_rules.JSON
-        else:
+        elif field.dataType.simpleString() == "string":
             columns[field.name.lower()] = cell_rules.STRING
+        else:
+            columns[field.name.lower()] = None
     return columns
 
 
@@ -122,6 +129,9 @@ def ensure_table(
             before, present = present, stored_columns(spark, schema, table, options)
             if present == before:
                 add_columns(spark, schema, table, columns, options)
+    odd = sorted(name for name in columns if present[name] is None)
+    if odd:
+        raise OtherType(f"columns of other types than DOUBLE and STRING: {', '.join(odd)}")
     return present
 
 
@@ -152,6 +162,17 @@ def drop_days(
         )
 
 
+def drop_scopes(spark: SparkSession, name: str, batch: str, kept: set[str], options: Options) -> None:
+    """Drops a load's partitions of a table by load and scope, but for the scopes in ``kept``. The
+    catalog lists them; no file is read."""
+    own = f"{quoted(options.batch_column)} = {literal(batch)}"
+    listed = spark.sql(f"SHOW PARTITIONS {name} PARTITION ({own})")
+    scope = F.regexp_extract("partition", "scope=([^/]*)", 1)
+    for row in listed.select(scope.alias("scope")).toLocalIterator():
+        if row.scope not in kept:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({own}, scope = {literal(row.scope)})")
+
+
 def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -6,7 +6,7 @@ the same input is read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 RAW_COLUMNS = ("seq", "topic", "payload", "recv_ts")
@@ -33,7 +33,7 @@ def as_raw(
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", **columns: str) -> DataFrame:
     """All messages of a landing folder."""
     if fmt == "text":
-        return _lines(spark.read.format("text").option("wholetext", "true").load(path))
+        return numbered(_lines(spark.read.format("text").option("lineSep", "\n").load(path)))
     return as_raw(spark.read.schema(_schema(columns)).format(fmt).load(path), **columns)
 
 
@@ -46,14 +46,15 @@ def stream_raw(
     **columns: str,
 ) -> DataFrame:
     """Messages of a landing folder as files arrive. The two limits bound a micro-batch,
-    so a backlog waits in the folder instead of growing a queue."""
+    so a backlog waits in the folder instead of growing a queue. Lines of text files have a
+    ``place`` instead of a number; a load numbers them per micro-batch (see ``numbered``)."""
     reader = spark.readStream.format(fmt)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if fmt == "text":
-        return _lines(reader.option("wholetext", "true").load(path))
+        return _lines(reader.option("lineSep", "\n").load(path))
     return as_raw(reader.schema(_schema(columns)).load(path), **columns)
 
 
@@ -64,20 +65,42 @@ def _schema(columns: dict[str, str]) -> StructType:
     return StructType(schema.fields)
 
 
-def _lines(files: DataFrame) -> DataFrame:
-    """One payload per line; the folder a file lies in is its topic.
+#: Splits of text files (40 bytes each) whose first numbers are broadcast; more are shuffled.
+BROADCAST_SPLITS = 1 << 20
 
-    A line is numbered by its file (a hash of path and time) and its position in it, so
-    the numbers do not depend on how files are dealt to tasks. A file is one row until its
-    lines are taken apart, so it must fit a task, as the files of a bridge do. Lines keep
-    their order within a file; files have none.
-    """
+
+def _lines(text: DataFrame) -> DataFrame:
+    """One payload per line; the folder a file lies in is its topic. ``place`` is the split of a file
+    that a line was read with."""
     path, time = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
-    lines = F.split(F.regexp_replace("value", "\\r?\\n$", ""), "\\r?\\n", -1)
-    numbered = files.where("value <> ''").select(
-        F.shiftleft(F.shiftrightunsigned(F.xxhash64(path, time), 33), 32).alias("file"),
+    return text.select(
+        F.struct(path.alias("file"), F.col("_metadata.file_block_start").alias("block")).alias("place"),
         F.regexp_extract(path, "([^/]*)/[^/]*$", 1).alias("topic"),
-        time.alias("recv_ts"),
-        F.posexplode(lines).alias("position", "payload"),
+        F.regexp_replace("value", "\\r$", "").alias("payload"),
+        time.cast("timestamp_ntz").alias("recv_ts"),
     )
-    return as_raw(numbered.withColumn("seq", F.col("file") + F.col("position")))
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Raw messages from lines with a ``place``; other raw messages as they are.
+
+    ``seq`` counts the lines from 0, files in the order of their paths, lines in their own order.
+    The lines of each split are counted first, without their text, so a large file is read by many
+    tasks, and neither their number nor the size of the splits changes the numbers.
+    """
+    if "place" not in lines.columns:
+        return lines
+    # A task reads a split whole, and its count goes on from split to split.
+    lines = lines.withColumn("at", F.monotonically_increasing_id())
+    splits = lines.groupBy("place").agg(F.min("at").alias("first"), F.count("*").alias("lines"))
+    # One row per split.
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("start", F.coalesce(F.sum("lines").over(before), F.lit(0)))
+    starts = starts.select(
+        F.xxhash64("place.file").alias("file"), F.col("place.block").alias("block"), F.shiftright("first", 33).alias("task"),
+        (F.col("start") - F.col("first")).alias("ahead"),
+    )
+    placed = lines.withColumns({"file": F.xxhash64("place.file"), "block": F.col("place.block"), "task": F.shiftright("at", 33)})
+    few = splits.count() <= BROADCAST_SPLITS
+    joined = placed.join(F.broadcast(starts) if few else starts, ["file", "block", "task"])
+    return joined.select((F.col("at") + F.col("ahead")).alias("seq"), "topic", "payload", "recv_ts")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from telemill.options import Options
-from telemill.plans.load import LoadReport, load
+from telemill.plans.load import LoadReport, check_name, load
 from telemill.plans.parse import DEFAULT_PARSER
 from telemill.session import configure
 
@@ -44,9 +44,11 @@ def start_ingest(
 
     Each micro-batch is one load named after the stream, the checkpoint and the batch. A
     batch that is replayed after a failure has the same name, so it replaces its own rows
-    and leaves no duplicates; a new checkpoint has new names and replaces nothing.
+    and leaves no duplicates; a new checkpoint has new names and replaces nothing. Outcomes
+    for a table that cannot take them are parked, so the stream goes on.
     """
     configure(raw.sparkSession)
+    check_name(batch_name(stream, "0" * 36, 0))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -1,5 +1,6 @@
 """Loads: tables made, types kept, whole payloads refused, and repeats without duplicates."""
 
+import dataclasses
 import datetime
 import json
 import uuid
@@ -8,10 +9,12 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from telemill import Options, latest, load, register_parser, scan, start_ingest, time_range
+from telemill import Options, latest, load, register_parser, scan, start_ingest, time_range, unpark
+from telemill.functions.names import route_id
 from telemill.functions.strict_json import SENTINEL
+from telemill.plans.load import LoadError
 from telemill.plans.parse import parse, parse_telemetry
-from telemill.sinks import jdbc, plain, quarantine, tables
+from telemill.sinks import days, jdbc, parked, plain, quarantine, tables
 from telemill.sinks.compact import compact
 from telemill.sinks.publish import publish
 from telemill.sources.raw import RAW_SCHEMA, read_raw, stream_raw
@@ -349,3 +352,172 @@ def test_jdbc_writer_options(monkeypatch, spark):
     monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: seen.update({k: v}) or self)
     jdbc.write_jdbc(spark.range(3), "jdbc:postgresql://host/db", "public.t", 500, 2, {"user": "u"})
     assert seen == {"url": "jdbc:postgresql://host/db", "dbtable": "public.t", "batchsize": 500, "saved": True}
+
+
+def odd_table(spark, options, table="t"):
+    """A table whose column ``a`` is of a type that loads do not make."""
+    tables.ensure_schema(spark, "s", options)
+    name = tables.table_name("s", table, options)
+    spark.sql(f"CREATE TABLE {name} (timestamp TIMESTAMP_NTZ, deviceid STRING, a INT, ts_date DATE, ingest_batch STRING) USING parquet PARTITIONED BY (ts_date, ingest_batch)")
+    return name
+
+
+def test_what_a_table_cannot_take_is_parked(spark, options):
+    name = odd_table(spark, options)
+    raw = raw_of(spark, [record(1, a=1.0), [record(2, a=2.0), record(3, a=3.0)], record(table="fine", a=4.0), record(a="bad")])
+    for _ in range(2):  # a repeat parks the same once
+        report = load(raw, "one", options)
+        assert report.stored == {("s", "fine"): 1} and list(report.parked) == [("s", "t")]
+    load(raw_of(spark, [record(5, a=5.0)]), "two", options)
+    waiting = parked.waiting(spark, options)
+    assert values(waiting, "ingest_batch", "outcomes", "rows") == [("one", 3, 4), ("two", 1, 1)]
+    assert all("a" in row.error for row in waiting.collect())
+    assert values(scan(spark, "s", "fine", options), "a") == [(4.0,)]
+    with pytest.raises(tables.OtherType):
+        unpark(spark, "s", "t", options)
+    assert waiting.count() == 2
+    spark.sql(f"DROP TABLE {name}")
+    reports = unpark(spark, "s", "t", options)
+    assert list(reports) == ["one", "two"] and reports["one"].refused == {"cast_failed": 1}
+    assert values(scan(spark, "s", "t", options), "a") == [(1.0,), (2.0,), (3.0,), (5.0,)]
+    assert parked.waiting(spark, options).count() == 0 and unpark(spark, "s", "t", options) == {}
+    # The load can still be repeated, and finds its rows.
+    assert load(raw, "one", options).stored == {("s", "t"): 3, ("s", "fine"): 1}
+    assert scan(spark, "s", "t", options).count() == 4
+
+
+def test_a_load_that_no_longer_fails_leaves_nothing_parked(spark, options):
+    name = odd_table(spark, options)
+    raw = raw_of(spark, [record(a=1.0)])
+    load(raw, "one", options)
+    spark.sql(f"DROP TABLE {name}")
+    assert load(raw, "one", options).parked == {}
+    assert parked.waiting(spark, options).count() == 0
+    assert scan(spark, "s", "t", options).count() == 1
+
+
+def test_a_broken_load_is_not_seen(spark, options, monkeypatch):
+    strict = dataclasses.replace(options, park_failures=False, parallel_routes=1)
+    load(raw_of(spark, [record(1, a=1.0), record(1, table="u", a=1.0)]), "one", strict)
+    noted = days.note
+
+    def broken(spark_, schema, table, *rest):
+        if table == "u":
+            raise RuntimeError("gone")
+        noted(spark_, schema, table, *rest)
+
+    raw = raw_of(spark, [record(2, a=2.0), record(2, table="u", a=2.0)])
+    monkeypatch.setattr(days, "note", broken)
+    with pytest.raises(LoadError):
+        load(raw, "two", strict)
+    start, end = datetime.datetime(2024, 1, 1), datetime.datetime(2025, 1, 1)
+    for table in ("t", "u"):
+        assert spark.table(tables.table_name("s", table, options)).count() == 2  # written, but not to be seen
+        assert values(scan(spark, "s", table, options), "a") == [(1.0,)]
+        assert values(time_range(spark, "s", table, start, end, options), "a") == [(1.0,)]
+        assert [row.a for row in latest(spark, "s", table, order="timestamp", options=options).collect()] == [1.0]
+    monkeypatch.undo()
+    load(raw, "two", strict)
+    for table in ("t", "u"):
+        assert values(scan(spark, "s", table, options), "a") == [(1.0,), (2.0,)]
+
+
+def test_readers_see_a_merge_at_once(spark, options, monkeypatch):
+    for number in range(2):
+        load(raw_of(spark, [record(1, a=float(number))]), f"b{number}", options)
+    seen = []
+    for module, name in ((tables, "overwrite_partitions"), (tables, "drop_days")):
+        real = getattr(module, name)
+
+        def watched(*args, real=real):
+            seen.append(values(scan(spark, "s", "t", options), "a"))
+            real(*args)
+            seen.append(values(scan(spark, "s", "t", options), "a"))
+
+        monkeypatch.setattr(module, name, watched)
+    compact(spark, "s", "t", ["b0", "b1"], options)
+    monkeypatch.undo()
+    assert len(seen) > 6 and all(rows == [(0.0,), (1.0,)] for rows in seen)
+
+
+def test_days_are_noted_and_latest_reads_them(spark, options):
+    def noted():
+        rows = days.counts(spark, "s", "t", options).groupBy("day").agg(F.sum("rows").alias("rows"))
+        return [(row.day.day, row.rows) for row in rows.orderBy("day").collect()]
+
+    load(raw_of(spark, [record(day, a=1.0) for day in (1, 1, 2, 9)]), "one", options)
+    load(raw_of(spark, [record(day, a=2.0) for day in (2, 9)]), "two", options)
+    assert noted() == [(1, 2), (2, 2), (9, 2)]
+    load(raw_of(spark, [record(3, a=3.0), record(3, a="bad")]), "two", options)
+    assert noted() == [(1, 2), (2, 1), (3, 1), (9, 1)]
+    compact(spark, "s", "t", ["one", "two"], options)
+    assert noted() == [(1, 2), (2, 1), (3, 1), (9, 1)]
+    assert days.first_needed(spark, "s", "t", 2, options) == (True, (datetime.date(2024, 1, 3) - datetime.date(1970, 1, 1)).days)
+    newest = latest(spark, "s", "t", "a", order="timestamp", limit=2, options=options)
+    assert len(newest.inputFiles()) == 2 and newest.count() == 2
+    # A table that nothing is noted of is looked through as before.
+    days.forget(spark, "s", "t", days.counts(spark, "s", "t", options).first()["ingest_batch"], options)
+    assert latest(spark, "s", "t", order="timestamp", limit=2, options=options).count() == 2
+
+
+def test_names_too_long_for_a_path(spark, options):
+    with pytest.raises(ValueError, match="name"):
+        load(raw_of(spark, [record(a=1.0)]), "x" * 201, options)
+    with pytest.raises(ValueError):
+        start_ingest(spark.readStream.format("rate").load(), "é" * 60, "/nowhere", options)
+    schema = "s" * (251 - len(options.database_prefix))
+    payloads = [{**record(a=value), "schema": schema, "table": "t" * 255} for value in (1.0, "bad")]
+    report = load(raw_of(spark, payloads), "x" * 200, options)
+    assert (list(report.stored.values()), report.refused) == ([1], {"cast_failed": 1})
+    assert quarantine.read(spark, options).first()["scope"] == route_id(schema, "t" * 255)
+    assert load(raw_of(spark, [{**record(a=1.0), "table": "τήλε"}]), "latin", options).refused == {"bad_route": 1}
+
+
+def test_reasons_of_another_parser_are_counted(spark, options):
+    def own(raw, options):
+        return parse_telemetry(raw, options).withColumn("reason", F.when(F.col("seq") == 0, "unwanted").otherwise(F.col("reason")))
+
+    register_parser("own_reasons", own)
+    report = load(raw_of(spark, [record(a=1.0), "{", record(a=2.0)]), "one", options, parser="own_reasons")
+    assert report.refused == {"unwanted": 1, "bad_json": 1}
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    folder = tmp_path / "plant"
+    folder.mkdir()
+    lines = [f'{{"n":{n},"t":"{"x" * (n % 90)}"}}' + ("\r" if n % 5 == 0 else "") for n in range(3000)]
+    (folder / "a").write_bytes("\n".join(lines[:2500]).encode())
+    (folder / "b").write_bytes(("\n".join(lines[2500:]) + "\n").encode())
+    (folder / "c").write_bytes(b"")
+    for size in ("128m", "4k", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k" if size != "128m" else "4m")
+        try:
+            read = read_raw(spark, str(folder), "text")
+            found = values(read, "seq", "topic", "payload")
+            assert found == [(n, "plant", line.rstrip("\r")) for n, line in enumerate(lines)]
+            if size == "1k":
+                assert spark.read.text(str(folder)).select(F.spark_partition_id()).distinct().count() > 8
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_key_ranges(spark, options):
+    tables.ensure_schema(spark, "p", options)
+    tables.create_plain_table(spark, "p", "plain", {"v": "DOUBLE"}, options)
+
+    def rows(n):
+        return spark.range(n).select(F.col("id").cast("double").alias("v"))
+
+    def keys():
+        table = spark.table(tables.table_name("p", "plain", options))
+        return {row.b: (row.lo, row.hi, row.n) for row in table.groupBy(F.col("ingest_batch").alias("b")).agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_distinct("id").alias("n")).collect()}
+
+    plain.append_plain(rows(10), "p", "plain", ["v"], "one", options)
+    plain.append_plain(rows(5), "p", "plain", ["v"], "two", options)
+    plain.append_plain(rows(10), "p", "plain", ["v"], "one", options)
+    assert keys() == {"one": (1, 10, 10), "two": (11, 15, 5)}
+    plain.append_plain(rows(4), "p", "plain", ["v"], "two", options)
+    plain.append_plain(rows(12), "p", "plain", ["v"], "one", options)
+    assert keys() == {"one": (16, 27, 12), "two": (11, 14, 4)}
