@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -13,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemill.llm.shared import mapped, pick, staged, temporary, whole
+from telemill.llm.shared import mapped, pick, whole
 
 #: Features of a model; parts of words share them by hash, which bounds the model.
 FEATURES = 1 << 15
@@ -41,7 +43,23 @@ SCRIPTS = (
 )
 STARTS, NAMES = zip(*SCRIPTS)
 
-words_of = re.compile(r"[^\W\d_]+").findall
+
+
+def _ranges(kinds: str) -> str:
+    """The code points whose category begins with one of these letters, for a pattern."""
+    found, first = [], None
+    for point in range(sys.maxunicode + 2):
+        inside = point <= sys.maxunicode and unicodedata.category(chr(point))[0] in kinds
+        if inside and first is None:
+            first = point
+        elif not inside and first is not None:
+            found.append(f"\\U{first:08x}-\\U{point - 1:08x}")
+            first = None
+    return "".join(found)
+
+
+#: A word is a letter of any script, then letters and their marks; number signs are none.
+words_of = re.compile(f"[{_ranges('L')}][{_ranges('LM')}]*").findall
 
 
 def script(word: str) -> str:
@@ -214,21 +232,45 @@ def _labelled(model: Model, keys: pa.Array, texts: list[np.ndarray], words: list
     return pa.record_batch([keys, pa.array(predicted, pa.string()), pa.array(score), lists], schema=PREDICTED)
 
 
+def _predicted(model: Model, keys: pa.Array, column: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Predictions for texts (null ones are empty), some at a time, in their order."""
+    most, at = min(WORDS_A_TURN, SCORES_A_TURN // max(1, len(model.languages))), 0
+    while at < len(keys):
+        numbers: dict[str, int] = {}
+        texts, size = [], 0
+        while at + len(texts) < len(keys) and size < most:
+            words = words_of((column[at + len(texts)].as_py() or "").lower())
+            texts.append(np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int64))
+            size += len(words)
+        yield _labelled(model, keys[at : at + len(texts)], texts, list(numbers))
+        at += len(texts)
+
+
 def in_a_language(
-    docs: DataFrame, model: Model, least: float = 0.2, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, model: Model, least: float = 0.2, text: str = "text"
 ) -> DataFrame:
     """``docs`` without those of no determined language: no letters, or less than ``least`` of
     them in the language predicted, which a text in known scripts reaches even where it mixes several
-    languages. Rows that repeat a key are judged by the best of them."""
-    found = identify(docs, model, key, text).where(F.col("lang_pred") != UNDETERMINED)
-    found = staged(found.where(F.col("score") >= least).select("doc_id").distinct(), "accepted")
-    name = temporary()
-    found = found.withColumnRenamed("doc_id", name)
-    return docs.join(found, docs[key].eqNullSafe(found[name]), "left_semi")
+    languages. Each row is judged by itself in the pass that reads it, whatever its key; all columns
+    stay as they are, and an empty table stays empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES rows of a number a language
+    place = docs.columns.index(text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for found in _predicted(shared.value, pa.nulls(batch.num_rows, pa.int64()), batch.column(place)):
+                judged = zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist())
+                kept = pa.array([lang != UNDETERMINED and score >= least for lang, score in judged], pa.bool_())
+                yield batch.slice(at, len(kept)).filter(kept)
+                at += len(kept)
+
+    return mapped(docs, work, docs.schema)
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The language of every text: ``doc_id, lang_pred, score, spans``.
+    """The language of every text: ``doc_id, lang_pred, score, spans``. Rows that repeat a key are
+    labelled each by itself, a very long text word by word; an empty table gives an empty result.
 
     ``spans`` are runs of words (numbered from 0) of one language; ``lang_pred`` is the language
     of most letters, and ``score`` their share of all. A word in a script that no language of
@@ -238,20 +280,9 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES rows of a number a language
 
-    most = min(WORDS_A_TURN, SCORES_A_TURN // max(1, len(model.languages)))
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, column, at = batch.column(0), batch.column(1), 0
-            while at < len(keys):
-                numbers: dict[str, int] = {}
-                texts, size = [], 0
-                while at + len(texts) < len(keys) and size < most:
-                    words = words_of(column[at + len(texts)].as_py().lower())
-                    texts.append(np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int64))
-                    size += len(words)
-                yield _labelled(shared.value, keys[at : at + len(texts)], texts, list(numbers))
-                at += len(texts)
+            yield from _predicted(shared.value, batch.column(0), batch.column(1))
 
     schema = "doc_id long, lang_pred string, score double, spans array<struct<first: int, last: int, lang: string>>"
     return mapped(pick(docs, doc_id=F.col(key).cast("long"), text=whole(text)), work, schema)

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from telemill.llm.components import components
@@ -20,11 +19,12 @@ BANDS, ROWS = 32, 8
 WORDS_A_TURN = 1 << 19
 REMEMBERED = 400_000
 #: Pairs of one document that a task verifies, about.
-PAIRS_A_SALT, SALTS = 500, 1024
+PAIRS_A_SALT = 500
 #: Open documents of a bucket that are held together, and documents they are compared with.
 OPEN_A_BLOCK, MEMBERS_A_SALT = 512, 1000
-#: Tasks (40 bytes each) that are broadcast to fetch texts; for more, texts are shuffled.
-BROADCAST_TASKS = 200_000
+#: Tasks (about 60 bytes each) that are broadcast to fetch texts, and rows (16 bytes each) that are
+#: broadcast to filter a table; for more, texts are shuffled.
+BROADCAST_TASKS, BROADCAST_ROWS = 200_000, 1_000_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FIRST = np.uint64(0xBF58476D1CE4E5B9)
@@ -127,13 +127,13 @@ NAMES = ["row", "doc_id", "node", "bands"]
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document: a number of its own, a digest of its words, and its bands."""
-    row, hashes = TaskContext.get().partitionId() << 33, _WordHashes()
+    """A row per document: its number and key, a digest of its words, and its bands."""
+    hashes = _WordHashes()
     for batch in batches:
-        keys, texts, at = batch.column(0), batch.column(1), 0
-        while at < len(keys):
+        rows, keys, texts, at = batch.column(0), batch.column(1), batch.column(2), 0
+        while at < len(rows):
             nodes, bags, size = [], [], 0
-            while at + len(nodes) < len(keys) and size < WORDS_A_TURN:
+            while at + len(nodes) < len(rows) and size < WORDS_A_TURN:
                 words = texts[at + len(nodes)].as_py().split()
                 nodes.append(_node(words))
                 bags.append(bag(words, hashes))
@@ -145,9 +145,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = np.array([len(x) > 0 for x, _ in bags])
             places = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))])
             lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(band_keys(signed[some]).ravel(), pa.int64()))
-            columns = [pa.array(np.arange(row, row + n)), keys[at : at + n], pa.array(nodes, pa.binary()), lists]
+            columns = [rows[at : at + n], keys[at : at + n], pa.array(nodes, pa.binary()), lists]
             yield pa.record_batch(columns, names=NAMES)
-            row, at = row + n, at + n
+            at += n
 
 
 class _Held:
@@ -215,14 +215,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bag of each document whose words have the wanted digest, once per task it is for."""
+    """The bag of each document, once per task it is for."""
     hashes = _WordHashes()
     for batch in batches:
-        for text, node, row, tasks in zip(*(batch.column(name) for name in ("text", "node", "row", "tasks"))):
-            words = text.as_py().split()
-            if _node(words) != node.as_py():
-                continue
-            shingles, times = bag(words, hashes)
+        for text, row, tasks in zip(*(batch.column(name) for name in ("text", "row", "tasks"))):
+            shingles, times = bag(text.as_py().split(), hashes)
             n, to = len(tasks), tasks.values
             both = [
                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(x), pa.int32()), pa.array(np.tile(x, n)))
@@ -232,18 +229,17 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(columns, names=["group", "block", "salt", "other", "row", "label", "shingles", "times"])
 
 
-def compared(docs: DataFrame, nodes: DataFrame, tasks: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, tasks: DataFrame) -> DataFrame:
     """``head, member, similarity`` of what ``tasks`` compare: rows ``group, block, salt`` (who
     meets), ``other`` (whether held, or compared with those held), ``row``, ``label``.
 
-    Only the texts of documents in tasks are fetched, and each bag is sent once per task.
+    Only the texts of documents in tasks are fetched, by their row numbers, and each bag is sent
+    once per task.
     """
     per_row = tasks.groupBy("row").agg(F.collect_list(F.struct("group", "block", "salt", "other", "label")).alias("tasks"))
-    wanted = staged(per_row.join(nodes.select("row", "doc_id", "node"), "row"), "wanted")
+    wanted = staged(per_row, "wanted")
     small = (wanted.agg(F.sum(F.size("tasks"))).first()[0] or 0) <= BROADCAST_TASKS
-    texts = docs.join(
-        F.broadcast(wanted) if small else wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])
-    ).select("text", "node", "row", "tasks")
+    texts = docs.join(F.broadcast(wanted) if small else wanted, "row").select("text", "row", "tasks")
     schema = (
         "group long, block int, salt int, other boolean, row long, label long, shingles array<long>, times array<int>"
     )
@@ -255,7 +251,7 @@ def compared(docs: DataFrame, nodes: DataFrame, tasks: DataFrame) -> DataFrame:
 def _star_tasks(spread: DataFrame) -> DataFrame:
     """Each document against the head of its buckets; a head with very many goes to many tasks."""
     pairs = staged(spread.where("row <> head").select("head", "row").distinct(), "pairs")
-    n = F.least(F.lit(SALTS), F.ceil(F.count("*") / PAIRS_A_SALT)).cast("int")
+    n = F.ceil(F.count("*") / PAIRS_A_SALT).cast("int")
     heads = staged(pairs.groupBy("head").agg(n.alias("salts")), "heads")
     salt = F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")
     none = F.lit(None).cast("long")
@@ -315,14 +311,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Copies are one node. In each bucket every node is first compared with one that shares most
     with others; where that leaves more than one component, what is outside the largest is held
     in blocks and compared with all of the bucket. No link between classes is lost, no bucket is
-    capped, and no pairs are listed: the rows that move are those of the buckets.
+    capped, and no pairs are listed: the rows that move are those of the buckets. Rows are told
+    apart by the numbers they get in a staged copy, so rows of one key, however many, are documents
+    of their own. A very long text is one bag in its task. An empty table gives an empty result;
+    other columns are ignored.
     """
-    docs = pick(docs, doc_id=F.col(key).cast("long"), text=whole(text))
-    signed = staged(mapped(docs, _signed, SIGNED), "signed")
+    docs = pick(docs, row=F.monotonically_increasing_id(), doc_id=F.col(key).cast("long"), text=whole(text))
+    return _classes(staged(docs, "documents")).drop("row").withColumnRenamed("doc_id", key)
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` of staged rows ``row, doc_id, text``, with the row numbers."""
+    signed = staged(mapped(docs.select("row", "doc_id", "text"), _signed, SIGNED), "signed")
     reps = staged(signed.groupBy("node").agg(F.min("row").alias("rep")), "reps")
     joined = signed.join(reps, "node")
     members = staged(joined.select("row", "doc_id", "rep"), "members")
-    nodes = staged(joined.where("row = rep").select("row", "doc_id", "node", "bands"), "nodes")
+    nodes = staged(joined.where("row = rep").select("row", "bands"), "nodes")
 
     banded = nodes.select("row", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.count("*").alias("n"))
@@ -332,11 +336,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     heads = shared.join(weights, "row").groupBy("band").agg(F.max(F.struct("weight", (-F.col("row")).alias("behind"))).alias("best"))
     heads = staged(heads.select("band", (-F.col("best.behind")).alias("head")), "heads")
     spread = staged(shared.select("band", "row").join(heads, "band"), "spread")
-    links = _links(compared(docs, nodes, _star_tasks(spread)))
+    links = _links(compared(docs, _star_tasks(spread)))
     labels = components(links)
     open_tasks = staged(_open_tasks(spread, labels), "tasks")
     if not open_tasks.isEmpty():
-        links = links.union(_links(compared(docs, nodes, open_tasks)))
+        links = links.union(_links(compared(docs, open_tasks)))
         labels = components(links)
 
     labelled = members.join(labels, members["rep"] == labels["node"], "left").select(
@@ -346,7 +350,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     place = F.struct(F.col("doc_id").isNotNull().alias("given"), "doc_id", "row")
     classes = labelled.groupBy("label").agg(F.min(place).alias("first"), F.count("*").alias("class_size"))
     return labelled.join(staged(classes, "classes"), "label").select(
-        F.col("doc_id").alias(key),
+        "row",
+        "doc_id",
         F.col("first.doc_id").alias("class_id"),
         "class_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
@@ -354,9 +359,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that are not the kept one of their class. Rows that repeat
-    a key are one document, which stays if one of them does."""
-    found = near_duplicates(docs, key, text).groupBy(key).agg(F.max("kept").alias("kept"))
-    gone, name = staged(found.where("NOT kept").select(key), "gone"), temporary()
-    gone = gone.select(F.col(key).alias(name))
-    return docs.join(gone, docs[key].eqNullSafe(gone[name]), "left_anti")
+    """``docs`` without the rows that are not the kept one of their class (``near_duplicates``), all
+    columns as they are. One row of a class stays, also where its rows share a key or have none.
+
+    Rows go by their numbers in a staged copy; the texts are shuffled only where more than
+    BROADCAST_ROWS go.
+    """
+    row, gone_row = temporary(), temporary()
+    docs = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = _classes(pick(docs, row=F.col(row), doc_id=F.col(key).cast("long"), text=whole(text)))
+    gone = staged(found.where("NOT kept").select(F.col("row").alias(gone_row)), "gone")
+    few = gone.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, docs[row] == gone[gone_row], "left_anti").drop(row)

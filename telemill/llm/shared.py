@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from telemill.session import scratch_dir
+from telemill.session import drop_dir, scratch_dir
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -30,11 +33,30 @@ def reachable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = f"{known}:{ROOT}".lstrip(":")
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Drops, at its end, the tables that were staged within. What is still to be read later is
+    written elsewhere before."""
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            drop_dir(spark, path)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written once as Parquet to the shared folder and read again: they are computed
     once, a lost executor costs no second pass, and a join sees a plain scan on this side, which
     is what lets adaptive execution split a hot key."""
     path = scratch_dir(df.sparkSession, f"llm-{purpose}")
+    if (made := _scratch.get()) is not None:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -52,7 +74,7 @@ def whole(text: str) -> Column:
 def mapped(
     df: DataFrame,
     work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` with workers that can import this library."""
     reachable(df.sparkSession)
