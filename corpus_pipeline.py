@@ -13,7 +13,8 @@ from telemill.llm.language import in_a_language, learn
 from telemill.llm.lines import dedup_lines
 from telemill.llm.near import one_of_each
 from telemill.llm.packing import packed_documents
-from telemill.llm.shared import documents, staged
+from telemill.llm.shared import documents, swept
+from telemill.session import drop_dir, scratch_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +53,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
+    paths = []
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with swept(spark):  # what a stage stages is dropped when its own rows are written
+            paths.append(scratch_dir(spark, f"llm-{name.replace(' ', '-')}"))
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(paths[-1])
+        docs = spark.read.parquet(paths[-1])
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    for path in paths:  # the last stage has staged its pieces and reads them alone
+        drop_dir(spark, path)
+    return packed
