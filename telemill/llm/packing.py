@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from telemill.llm.shared import mapped, pick, reachable, staged, whole
 
-#: Words, and runs of words, whose ids a worker remembers, at most.
-REMEMBERED, RUNS_REMEMBERED = 400_000, 800_000
+#: Words and runs of words whose ids a worker remembers, at most.
+REMEMBERED = 1_000_000
 #: Pieces that are packed together, about: enough that the last open windows do not count.
 PIECES_A_GROUP = 2048
 
@@ -81,8 +81,10 @@ def pack(pieces: DataFrame, window: int = 2048) -> DataFrame:
     ``sequence_id`` and ``offset`` added, the place of each piece.
 
     Pieces are dealt at random into groups of about PIECES_A_GROUP, each packed by itself best
-    fit decreasing, so the padding hardly depends on the number of groups. An empty table gives
-    an empty result.
+    fit decreasing, so the padding hardly depends on the number of groups. They are dealt by what
+    they hold and where they lie, so rows of one key and text are spread as well. ``pieces`` are
+    rows of a stored table, which lie in the same place whenever they are read. An empty table
+    gives an empty result.
     """
     reachable(pieces.sparkSession)
     n_groups = max(1, pieces.count() // PIECES_A_GROUP)
@@ -95,7 +97,7 @@ def pack(pieces: DataFrame, window: int = 2048) -> DataFrame:
         return group.assign(sequence_id=[(number << 24) + w for w in windows], offset=offsets)
 
     return (
-        pieces.withColumn("tm_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(n_groups)))
+        pieces.withColumn("tm_group", F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(n_groups)))
         .groupBy("tm_group")
         .applyInPandas(packed, f"{fields}, sequence_id long, offset long")
     )
@@ -117,45 +119,39 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-#: Words of ASCII and Latin-1 letters, without an apostrophe and what special tokens begin with:
-#: such a tokenizer lowers them letter by letter and cuts them into runs of letters, single
-#: digits, and runs of the rest.
-PLAIN = re.compile(r"(?:(?!<\|)[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])+").fullmatch
-RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+").findall
+#: Texts of spaces, line feeds, ASCII and Latin-1 letters and signs, without an apostrophe and what
+#: special tokens begin with: such a tokenizer lowers them letter by letter and cuts their words
+#: into runs of letters, single digits, and runs of the rest.
+PLAIN = re.compile(r"[ \n!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*").fullmatch
+RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff \n]+").findall
 
 
-class WordIds(dict):
-    """The ids of words as bytes, four little-endian ones each; forgets all when full.
+def pieces_of(text: str) -> list[str]:
+    """What a text is looked up by: the runs of a plain one, the words of any other."""
+    if "<|" not in text and PLAIN(text):
+        return RUNS(text.lower())
+    return text.replace("\n", " ").split(" ")
 
-    The runs of plain words are remembered too, as many words differ in case and ending only.
-    """
+
+class PieceIds(dict):
+    """The ids of words and runs as bytes, four little-endian ones each; forgets all when full."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self._tokenizer = _tokenizer(path)
-        self._runs: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return ((text, array("I", x.ids).tobytes()) for text, x in zip(texts, found))
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, pieces: set[str]) -> None:
         if len(self) > REMEMBERED:
             self.clear()
-        if len(self._runs) > RUNS_REMEMBERED:
-            self._runs.clear()
-        unknown = [word for word in words if word not in self]
-        runs = {word: RUNS(word.lower()) for word in unknown if PLAIN(word)}
-        new = {run for own in runs.values() for run in own if run not in self._runs}
-        self._runs.update(self._encoded(list(new)))
-        self.update(self._encoded([word for word in unknown if word not in runs]))
-        self.update((word, b"".join(map(self._runs.__getitem__, own))) for word, own in runs.items())
+        unknown = [piece for piece in pieces if piece not in self]
+        found = self._tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
+        self.update((piece, array("I", x.ids).tobytes()) for piece, x in zip(unknown, found))
 
 
 @cache
-def _known(path: str) -> WordIds:
+def _known(path: str) -> PieceIds:
     """What this worker has learned, kept from task to task."""
-    return WordIds(path)
+    return PieceIds(path)
 
 
 #: Characters of texts whose words are learned together.
@@ -176,8 +172,8 @@ def token_pieces(
 
     Columns: ``doc_id, start, length, ids_crc32, doc_tokens``, with ``keep_ids`` also ``ids``. A
     null text is an empty one, which has the end id only. Such a tokenizer gives the words
-    between spaces and line feeds the same ids alone as in their text, so each worker asks it once
-    for a word and remembers the answer, up to a bound.
+    between spaces and line feeds the same ids alone as in their text, and the runs of plain ones
+    too, so each worker asks it once for each and remembers the answer, up to a bound.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,13 +184,13 @@ def token_pieces(
             while at < len(keys):
                 turn, size = [], 0
                 while at + len(turn) < len(keys) and (not turn or size < CHARACTERS_A_TURN):
-                    words = texts[at + len(turn)].as_py().replace("\n", " ").split(" ")
-                    turn.append(words)
-                    size += len(words) * 6
+                    text = texts[at + len(turn)].as_py()
+                    turn.append(pieces_of(text))
+                    size += len(text)
                 known.learn(set().union(*turn))
                 rows = []
-                for doc_id, words in zip(keys[at:], turn):
-                    ids = memoryview(b"".join(map(known.__getitem__, words)) + end)
+                for doc_id, pieces in zip(keys[at:], turn):
+                    ids = memoryview(b"".join(map(known.__getitem__, pieces)) + end)
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         piece = ids[4 * start : 4 * (start + window)]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemill.llm import language, near
+from telemill.llm import language, near, packing, sketches
 from telemill.llm.lines import dedup_lines
 
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -116,3 +116,27 @@ def test_the_whole_pipeline(spark, tmp_path, part):
     assert starts.count() == len(rows)
     if rows:
         assert starts.where(F.col("doc_id").eqNullSafe(F.lit(key).cast("long"))).count() >= 20
+
+
+def test_neighbours_of_rows_of_one_key(spark, monkeypatch):
+    """A third of the rows have one key: they are split over buckets by their texts."""
+    monkeypatch.setattr(sketches, "BUCKET_BYTES", 2000)
+    rows = [(7 if n % 3 == 0 else n, prose(n % 100, 30) + f" {n}", "en") for n in range(300)]
+    got = sketches.edited_versions(table(spark, rows).repartition(4))
+    placed = sorted((key, text) for key, text, _ in rows)
+    expected = []
+    for i, (key, text) in enumerate(placed):
+        after, k = placed[(i + 1) % len(placed)][1], len(text) // 4
+        expected.append((key, text[: len(text) - k] + after[:k]))
+    assert sorted((row.doc_id, row.edited) for row in got.collect()) == sorted(expected)
+
+
+def test_packing_rows_of_one_key(spark, monkeypatch):
+    """Groups stay small where all rows share a key and a text."""
+    monkeypatch.setattr(packing, "PIECES_A_GROUP", 20)
+    sizes = []
+    monkeypatch.setattr(packing, "best_fit", lambda lengths, window, real=packing.best_fit: (sizes.append(len(lengths)), real(lengths, window))[1])
+    pieces = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), (F.col("id") % 50 + 1).alias("length"), F.lit(5).cast("long").alias("ids_crc32"))
+    packed = packing.pack(pieces.repartition(3), 64)
+    by_group = packed.groupBy(F.shiftright("sequence_id", 24).alias("g")).count().collect()
+    assert sum(row["count"] for row in by_group) == 400 and max(row["count"] for row in by_group) < 60
