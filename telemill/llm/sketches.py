@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,13 +22,14 @@ PARTS = 3
 GROWTH = 4
 #: A sketch that seems to hold so many digests a cell is not peeled first; one of about 0.8 fails.
 HOPELESS = 2
-#: Buckets of neighbouring documents for each shuffle partition.
-BUCKETS = 4
+#: Buckets of neighbouring documents for each shuffle partition at least, bytes of a bucket about,
+#: and characters of a text that order rows of one key among buckets.
+BUCKETS, BUCKET_BYTES, PREFIX = 4, 1 << 26, 64
 
 #: Characters of a paragraph that is not cut, and those of the parts of longer ones, which are cut
-#: after a character in 16.
-LONG, SHORTEST, LONGEST = 32, 8, 64
-PLACE_BELOW = np.uint32(1 << 28)
+#: after a character in 32.
+LONG, SHORTEST, LONGEST = 64, 16, 128
+PLACE_BELOW = np.uint32(1 << 27)
 _NEAR = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 #: Bits of a mixed digest for the place in each part.
@@ -54,21 +57,32 @@ def _places(text: str) -> np.ndarray:
     return mixed * _NEAR[0]
 
 
-def paragraphs(text: str) -> list[str]:
+def paragraphs(text: str, start: int = 0) -> list[str]:
     """The lines of a text, those of several sentences cut after each; blank ones count nothing.
 
     What is longer than ``LONG`` is cut further, where its own characters say so: at least
     ``SHORTEST`` characters on, after the first whose number (of it and the three before) is small,
     or after the last of the smallest number within ``LONGEST``. The cuts after an edit soon are
-    those before it, in any script and also where a text repeats itself.
+    those before it, in any script and also where a text repeats itself. With ``start``, which a
+    part of the text begins at, only the parts from there on.
     """
-    lines = text.replace(". ", ".\n").split("\n")  # as long as the text, so places are the same
+    return [x for x, _ in _parts(text, start) if x.strip()]
+
+
+def _parts(text: str, start: int = 0) -> list[tuple[str, int]]:
+    """The parts of a text from ``start`` on, blank ones too, and where each begins."""
+    # As long as the text, so places are the same.
+    lines = text[start:].replace(". ", ".\n").split("\n")
+    found, i, at = [], 0, start
     if max(map(len, lines)) <= LONG:
-        return [x for x in lines if x.strip()]
-    places = _places(text)
-    cuts = (np.flatnonzero(places < PLACE_BELOW) + 4).tolist()
+        for line in lines:
+            found.append((line, at))
+            at += len(line) + 1
+        return found
+    seen = max(0, start - 3)
+    places = np.concatenate([np.zeros(seen, np.uint32), _places(text[seen:])])
+    cuts = (np.flatnonzero(places[seen:] < PLACE_BELOW) + seen + 4).tolist()
     cuts.append(len(text) + LONGEST)
-    found, i, at = [], 0, 0
     for line in lines:
         end = at + len(line)
         while end - at > LONG:
@@ -83,21 +97,25 @@ def paragraphs(text: str) -> list[str]:
                 cut = at + LONGEST - int(window[::-1].argmin())
             if cut >= end:
                 break
-            found.append(text[at:cut])
+            found.append((text[at:cut], at))
             at = cut
-        found.append(text[at:end])
+        found.append((text[at:end], at))
         at = end + 1
-    return [x for x in found if x.strip()]
+    return found
 
 
 def digests(text: str) -> np.ndarray:
     """A 64-bit digest per paragraph or part of a long one; the n-th repetition of one has a digest of its own."""
-    seen: dict[str, int] = {}
+    return _digests(paragraphs(text), {})
+
+
+def _digests(parts: list[str], seen: dict[str, int]) -> np.ndarray:
+    """Digests of parts that follow those counted in ``seen``."""
     found = []
-    for paragraph in paragraphs(text):
-        turn = seen.get(paragraph, 0)
-        seen[paragraph] = turn + 1
-        found.append(xxhash.xxh3_64_intdigest(paragraph, turn))
+    for part in parts:
+        turn = seen.get(part, 0)
+        seen[part] = turn + 1
+        found.append(xxhash.xxh3_64_intdigest(part, turn))
     return np.array(found, np.uint64)
 
 
@@ -129,6 +147,9 @@ class Sketch:
         np.bitwise_xor.at(self.keys, places, np.concatenate([found] * PARTS))
         np.bitwise_xor.at(self.checks, places, np.concatenate([checks] * PARTS))
 
+    def copy(self) -> Sketch:
+        return Sketch(self.counts.copy(), self.keys.copy(), self.checks.copy())
+
     def minus(self, other: Sketch) -> Sketch:
         return Sketch(self.counts - other.counts, self.keys ^ other.keys, self.checks ^ other.checks)
 
@@ -171,9 +192,50 @@ class Version:
 
     def sketch(self, cells: int = CELLS) -> Sketch:
         if cells not in self._sketches:
-            self._sketches[cells] = Sketch.of(self.digests, cells, self._checks)
+            self._sketches[cells] = self._made(cells)
         return self._sketches[cells]
 
+    def _made(self, cells: int) -> Sketch:
+        return Sketch.of(self.digests, cells, self._checks)
+
+
+class Text(Version):
+    """A whole text: its parts, so that a version with another end needs only that one's."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        parts = [(x, at) for x, at in _parts(text) if x.strip()]
+        self._texts, self._starts = [x for x, _ in parts], [at for _, at in parts]
+        super().__init__(_digests(self._texts, {}))
+
+    def ending_in(self, kept: int, end: str) -> Changed:
+        """The version that keeps the first characters and then has another end. Cuts look no
+        further ahead than the longest part, so the parts that begin so far before the end of what
+        is kept are the same; from the last of these on they are cut anew."""
+        edited = self.text[:kept] + end
+        same = max(0, bisect_right(self._starts, kept - LONGEST - 4) - 1)
+        head = self._texts[:same]
+        tail = _digests(paragraphs(edited, self._starts[same] if head else 0), dict(Counter(head)))
+        return Changed(edited, self, same, tail)
+
+
+class Changed(Version):
+    """A version of a text, whose sketches are those of the text with its end taken out and another
+    one put in."""
+
+    def __init__(self, text: str, before: Text, same: int, tail: np.ndarray) -> None:
+        self.text = text
+        super().__init__(np.concatenate([before.digests[:same], tail]))
+        self._before, self._same = before, same
+
+    def _made(self, cells: int) -> Sketch:
+        made, same = self._before.sketch(cells).copy(), self._same
+        gone, new = self._before.digests[same:], self.digests[same:]
+        if len(gone) + len(new):
+            by = np.concatenate([np.full(len(gone), -1, np.int32), np.ones(len(new), np.int32)])
+            made._change(np.concatenate([gone, new]), by, np.concatenate([self._before._checks[same:], self._checks[same:]]))
+        return made
+
 
 def difference(left: Version, right: Version, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
     """The digests that one side has and the other has not, by subtracting and peeling sketches,
@@ -196,11 +258,6 @@ def likeness(left: Version, right: Version) -> float:
     return (both - apart) / (both + apart) if both else 1.0
 
 
-def _edited(text: str, after: str) -> str:
-    n = len(text) // 4
-    return text[: len(text) - n] + after[:n]
-
-
 ROW = pa.schema(
     [
         ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()),
@@ -229,27 +286,27 @@ def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for bucket, guest, doc_id, text in zip(*(batch.column(name) for name in ("bucket", "guest", "doc_id", "text"))):
             bucket, text = bucket.as_py(), text.as_py()
-            found = Version(digests(text))
+            found = Text(text)
             if before is not None and before[0] == bucket:
-                rows.append(_row(*before[1:], text, found))
+                rows.append(_row(*before[1:], found))
                 if len(rows) == ROWS_OUT:
                     yield pa.RecordBatch.from_pylist(rows, ROW)
                     rows = []
-            before = None if guest.as_py() else (bucket, doc_id.as_py(), text, found)
+            before = None if guest.as_py() else (bucket, doc_id.as_py(), found)
     yield pa.RecordBatch.from_pylist(rows, ROW)
 
 
-def _row(doc_id: int | None, text: str, found: Version, after: str, next_found: Version) -> dict:
-    edited = _edited(text, after)
-    edited_found = Version(digests(edited))
+def _row(doc_id: int | None, found: Text, after: Text) -> dict:
+    n = len(found.text)
+    edited = found.ending_in(n - n // 4, after.text[: n // 4])
     return {
         "doc_id": doc_id,
-        "n_chars": len(text),
-        "edited": edited,
+        "n_chars": n,
+        "edited": edited.text,
         "fingerprint": found.sketch().text(),
-        "edited_fingerprint": edited_found.sketch().text(),
-        "near_edited": likeness(found, edited_found),
-        "near_next": likeness(found, next_found),
+        "edited_fingerprint": edited.sketch().text(),
+        "near_edited": likeness(found, edited),
+        "near_next": likeness(found, after),
     }
 
 
@@ -262,25 +319,30 @@ def edited_versions(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     itself. A null text is an empty one, a null key the smallest, and rows that repeat a key
     follow one another by their texts.
 
-    Keys alone are sampled into ordered buckets; the text moves once, to its bucket. The first
-    document of each bucket also goes to the bucket before as a guest, so that the last one there
-    has its neighbour.
+    Keys, and the first characters of texts, which split a key of very many rows, are sampled into
+    ordered buckets by the bytes there are; the text moves once, to its bucket. The first document
+    of each bucket also goes to the bucket before as a guest, so that the last one there has its
+    neighbour. An empty table gives an empty result; other columns are ignored.
     """
     smallest = -(1 << 63)
     rows = pick(
         docs, doc_id=F.col(key).cast("long"), place=F.coalesce(F.col(key).cast("long"), F.lit(smallest)), text=whole(text)
     )
-    n = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = rows.select("place").repartitionByRange(n, "place").select("place", F.spark_partition_id().alias("part"))
-    # One key per bucket reaches the driver.
-    heads = np.array(sorted(x[0] for x in ranges.groupBy("part").agg(F.min("place")).select("min(place)").collect()), np.int64)
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    order = rows.select("place", F.substring("text", 1, PREFIX).alias("prefix"))
+    ranges = order.repartitionByRange(n, "place", "prefix").select(F.struct("place", "prefix").alias("at"), F.spark_partition_id().alias("part"))
+    # One key and prefix per bucket reach the driver.
+    heads = sorted(tuple(row.least) for row in ranges.groupBy("part").agg(F.min("at").alias("least")).collect())
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = batch.column("place").to_numpy()
-            bucket = np.searchsorted(heads, places, "right") - 1
+            if not batch.num_rows:
+                continue
+            at = list(zip(batch.column("place").to_pylist(), [text[:PREFIX] for text in batch.column("text").to_pylist()]))
+            bucket = np.array([bisect_right(heads, x) - 1 for x in at], np.int64)
             yield with_bucket(batch, bucket, False)
-            first = np.flatnonzero(heads[bucket] == places) if len(places) else np.zeros(0, np.int64)
+            first = np.array([i for i, x in enumerate(at) if heads[bucket[i]] == x], np.int64)
             if len(first):
                 yield with_bucket(batch.take(pa.array(first)), (bucket[first] - 1) % len(heads), True)
 
@@ -289,7 +351,7 @@ def edited_versions(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         return pa.record_batch(columns, names=["bucket", "guest", *batch.schema.names])
 
     dealt_rows = mapped(rows, dealt, "bucket long, guest boolean, doc_id long, place long, text string")
-    ordered = dealt_rows.repartition("bucket").sortWithinPartitions("bucket", "guest", "place", "text")
+    ordered = dealt_rows.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", "place", "text")
     schema = (
         "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"

@@ -450,14 +450,19 @@ def test_an_edit_changes_few_digests():
     for text in texts:
         parts = sketches.paragraphs(text)
         whole = "".join(parts)
-        assert whole == text.replace("\n", "") and max(map(len, parts)) <= 64 and len(parts) >= len(text) / 70
+        assert whole == text.replace("\n", "") and max(map(len, parts)) <= sketches.LONGEST and len(parts) >= len(text) / (sketches.LONGEST + 6)
         for at in (0, len(text) // 3, len(text) // 2, len(text) - 1):
             for edited in (text[:at] + "Q" + text[at:], text[:at] + text[at + 1 :], text[:at] + "Q" + text[at + 1 :]):
                 versions = [sketches.Version(sketches.digests(x)) for x in (text, edited)]
                 apart = sum(map(len, sketches.difference(*versions)))
                 assert apart <= 20 and sketches.likeness(*versions) >= 1 - 20 / len(parts)
-        quarter = sketches._edited(text, "".join(chr(c) for c in rng.integers(0x3B1, 0x3C9, len(text))))
+        kept = len(text) - len(text) // 4
+        quarter = text[:kept] + "".join(chr(c) for c in rng.integers(0x3B1, 0x3C9, len(text) // 4))
         assert sketches.likeness(*(sketches.Version(sketches.digests(x)) for x in (text, quarter))) > 0.4
+        for end in (quarter[kept:], "", ". " + text[:90], "\n" + text, text[-40:]):
+            changed, anew = sketches.Text(text).ending_in(kept, end), sketches.Version(sketches.digests(text[:kept] + end))
+            assert changed.digests.tolist() == anew.digests.tolist()
+            assert all(changed.sketch(cells).text() == anew.sketch(cells).text() for cells in (24, 96))
     assert sketches.paragraphs("") == [] and sketches.paragraphs(" " * 500) == []
     assert sketches.paragraphs("One. Two.\n\nThree") == ["One.", "Two.", "Three"]
 
