@@ -19,8 +19,8 @@ def is_identifier(name: Column) -> Column:
     return name.rlike(IDENTIFIER)
 
 
-def is_catalog_name(name: Column) -> Column:
-    return name.rlike(CATALOG_NAME)
+def is_catalog_name(name: str) -> bool:
+    return re.match(CATALOG_NAME, name) is not None
 
 
 def quoted(*parts: str) -> str:

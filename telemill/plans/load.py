@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.util import inheritable_thread_target
 
-from telemill.functions.names import route_id, route_id_of, route_scope
+from telemill.functions.names import is_catalog_name, route_id, route_id_of, route_scope
 from telemill.operators import flatten
 from telemill.operators.coerce import row_fault
 from telemill.operators.decode import STRUCTURE_REASONS
@@ -180,6 +180,8 @@ def _of_route(staged: DataFrame, route: Route) -> DataFrame:
 
 def _forget(spark: SparkSession, route: Route, batch: str, options: Options) -> None:
     """Drops what a load has stored in a table."""
+    if not all(map(is_catalog_name, route)) or not spark.catalog.tableExists(tables.table_name(*route, options)):
+        return
     tables.drop_days(spark, *route, batch, tables.batch_days(spark, *route, batch, options), options)
     days.forget(spark, *route, batch, options)
 
@@ -190,6 +192,8 @@ def append_outcomes(
     """One table's part of a load, from accepted outcomes for it: rows stored, and refusals by
     reason. One pass over them checks, counts and stores; refused ones take a second pass."""
     spark, scope = mine.sparkSession, route_scope(*route)
+    if not all(map(is_catalog_name, route)):  # the catalog takes Latin letters only
+        return 0, _refuse(mine, F.lit("bad_route"), batch, scope, options)
     try:
         present = tables.ensure_table(spark, *route, wanted, options)
     except tables.NotATimeTable:
@@ -221,7 +225,7 @@ def _refuse(mine: DataFrame, fault: Column, batch: str, scope: str, options: Opt
 
 
 #: Reasons to refuse an outcome for its table, and those known before.
-TABLE_REASONS = ("cast_failed", "bad_table")
+TABLE_REASONS = ("cast_failed", "bad_table", "bad_route")
 EARLY_REASONS = (
     *STRUCTURE_REASONS, "bad_route", "field_set_mismatch", "bad_column", "duplicate_column",
     "null_timestamp", "bad_timestamp", "null_deviceid", "bad_deviceid",
