@@ -159,6 +159,60 @@ def raw_list(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_moved(spark: SparkSession, folder: str, chunk: str) -> DataFrame:
+    """One record per event, moved on by up to eleven months, or to the first two days for hours."""
+    if chunk == "month":
+        moved = F.col("ts") + F.make_ym_interval(F.lit(0), F.col("event_id") % 12)
+    else:
+        moved = F.col("ts") - F.make_dt_interval(F.dayofmonth("ts") - 1 - F.col("event_id") % 2)
+    whole = _record(
+        _joined('"timestamp":"', _second(moved), '"'),
+        F.lit('"schema":"telemetry","table":"batch"'),
+        _joined('"deviceid":"dev-', F.col("user_id"), '"'),
+        fields=_joined("{", F.concat_ws(",", _member("value", F.col("value"), "float"), _member("k", _k(), "int")), "}"),
+    )
+    return events(spark, folder).select(
+        F.col("event_id").alias("seq"), F.lit("plant/x/0").alias("topic"), whole.alias("payload"), F.col("ts").alias("recv_ts")
+    )
+
+
+# What is wrong with a delimited payload: the first rule whose number divides the batch.
+DELIMITED_FAULTS = (
+    (7, "empty_batch"), (11, "short_line"), (13, "bad_cell"), (17, "duplicate_column"), (19, "open_quote"), (23, "empty"),
+)
+
+
+def raw_delimited(spark: SparkSession, folder: str) -> DataFrame:
+    """One payload of lines per four consecutive events, cells with separators and quotes in them."""
+    batch, kind = F.floor(F.col("event_id") / 4), F.lit("clean")
+    for number, name in reversed(DELIMITED_FAULTS):
+        kind = F.when(batch % number == 0, name).otherwise(kind)
+    last, first = F.col("event_id") % 4 == 3, F.col("event_id") % 4 == 0
+    value = F.when((F.col("kind") == "bad_cell") & first, F.lit("abc")).otherwise(F.col("value").cast("string"))
+    note = _joined('"say ""', F.col("event_type"), '"", twice"')
+    cells = [
+        _second(F.col("ts")), F.lit("telemetry"), F.lit("delimited"), _joined("dev-", F.col("user_id")), value,
+        F.when(F.col("event_id") % 5 == 0, "").otherwise(_k()), _joined('"', F.replace("props", F.lit('"'), F.lit('""')), '"'),
+        F.when((F.col("kind") == "open_quote") & last, F.lit('"open')).otherwise(note),
+    ]
+    whole = F.concat_ws(",", *cells)
+    line = F.when((F.col("kind") == "short_line") & last, F.concat_ws(",", *cells[:-1])).otherwise(whole)
+    lines = events(spark, folder).withColumn("kind", kind).select(
+        batch.alias("seq"), "kind", "ts", F.struct("event_id", line.alias("text")).alias("line")
+    )
+    # Four lines at most.
+    batches = lines.groupBy("seq", "kind").agg(F.array_sort(F.collect_list("line")).alias("lines"), F.min("ts").alias("recv_ts"))
+    k = F.when(F.col("kind") == "duplicate_column", "value:int").otherwise("k:int")
+    header = _joined("timestamp,schema,table,deviceid,value:float,", k, ",props:json,note\n")
+    payload = F.when(F.col("kind") == "empty", "").when(F.col("kind") == "empty_batch", header)
+    return batches.select(
+        "seq",
+        F.lit("plant/delimited/0").alias("topic"),
+        payload.otherwise(F.concat(header, F.array_join("lines.text", "\r\n"), F.lit("\n"))).alias("payload"),
+        "recv_ts",
+    )
+
+
 def raw_evolving(spark: SparkSession, folder: str) -> list[DataFrame]:
     """The events in three parts by time, each with more fields than the one before; the
     last one tags ``value`` as text."""

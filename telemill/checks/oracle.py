@@ -3,7 +3,7 @@ JSON made of them."""
 
 from __future__ import annotations
 
-from telemill.checks.feeds import BAD_LONG_CELLS, FAULTS, LONG_ROUTES, MANY_COLUMNS, WIDE_FIELDS
+from telemill.checks.feeds import BAD_LONG_CELLS, DELIMITED_FAULTS, FAULTS, LONG_ROUTES, MANY_COLUMNS, WIDE_FIELDS
 
 _RULES = " ".join(f"WHEN event_id % {number} = 0 THEN '{kind}'" for number, kind in FAULTS)
 
@@ -135,6 +135,32 @@ _WHOLE = FEED + """, written AS (
 
 _TOPIC = "'plant/' || event_type || '/' || (user_id % 4)"
 
+_DELIMITED_RULES = " ".join(f"WHEN event_id // 4 % {number} = 0 THEN '{kind}'" for number, kind in DELIMITED_FAULTS)
+
+_MOVED_BY = """
+WITH moved AS (
+  SELECT date_trunc('second', {stamp}) AS stamp, user_id, value,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS k_value, event_id AS seq
+  FROM events
+)
+"""
+_HOURS = _MOVED_BY.format(stamp="ts - to_days(CAST(day(ts) - 1 - event_id % 2 AS INTEGER))")
+_MONTHS = _MOVED_BY.format(stamp="ts + to_months(CAST(event_id % 12 AS INTEGER))")
+
+_MOVED = """stamp AS "timestamp", 'dev-' || user_id AS deviceid, value, CAST(k_value AS DOUBLE) AS k"""
+
+
+def _partitions(moved: str, keys: str) -> str:
+    return moved + f"SELECT {_MOVED}, {keys}, CASE seq % 3 WHEN 2 THEN 'third' ELSE 'merged-' END AS ingest_batch FROM moved"
+
+
+def _read_back(moved: str, start: str, end: str) -> str:
+    return moved + f"""
+(SELECT 'newest' AS which, {_MOVED} FROM moved ORDER BY stamp DESC, deviceid DESC, value DESC LIMIT 9)
+UNION ALL SELECT 'range', {_MOVED} FROM moved WHERE stamp >= TIMESTAMP '{start}' AND stamp < TIMESTAMP '{end}'
+"""
+
+
 ORACLE = {
     "raw_stream_scan": _WHOLE + f"""
 SELECT event_id AS seq, {_TOPIC} AS topic, ts AS recv_ts, {_PAYLOAD} AS payload FROM written
@@ -367,6 +393,43 @@ UNION ALL SELECT 'all', count(*), count(*), true FROM events
     "compacted": _all_tables(
         more=""", CAST(stamp AS DATE) AS ts_date, CASE WHEN event_id % 3 = 2 THEN 'part-2' ELSE 'merged-' END AS ingest_batch"""
     ),
+    "ledger_compacted": FEED + f"""
+SELECT 'refused' AS entry, 'part-' || event_id % 4 AS load, event_id AS seq, target AS name, {_REASON} AS state
+FROM feed, (VALUES ('data'), ('message')) AS t(target)
+WHERE NOT stored AND (target = 'data' OR (kind = 'ts_null' AND event_type = 'error'))
+UNION ALL
+SELECT DISTINCT 'noted', 'part-' || event_id % 4, NULL, name, CASE event_id % 4 WHEN 3 THEN 'open' ELSE 'closed' END
+FROM (
+  SELECT event_id, route_table AS name FROM feed WHERE parsed
+  UNION ALL SELECT event_id, 'message' FROM feed WHERE parsed AND event_type = 'error'
+)
+UNION ALL SELECT 'refused folders', NULL, 2, NULL, NULL
+UNION ALL SELECT 'noted folders', NULL, 2, NULL, NULL
+UNION ALL SELECT 'repeated', 'part-0', NULL, NULL, 'stored'
+""",
+    "hourly_table": _partitions(
+        _HOURS, "CAST(stamp AS DATE) AS ts_date, CAST(hour(stamp) AS INTEGER) AS hour, CAST(hour(stamp) AS INTEGER) AS ts_hour"
+    ),
+    "monthly_table": _partitions(_MONTHS, "CAST(date_trunc('month', stamp) AS DATE) AS ts_date"),
+    "hourly_reads": _read_back(_HOURS, "2024-01-01 22:30:00", "2024-01-02 03:00:00"),
+    "monthly_reads": _read_back(_MONTHS, "2024-05-10 00:00:00", "2024-06-05 12:30:00"),
+    "variant_columns": FEED + """
+SELECT route_table AS table_name, stamp AS "timestamp", device AS deviceid, value, k_value AS k, props_value AS props
+FROM feed WHERE stored AND k_value > 50
+""",
+    "delimited_payloads": f"""
+WITH kinds AS (SELECT *, CASE {_DELIMITED_RULES} ELSE 'clean' END AS kind FROM events)
+SELECT date_trunc('second', ts) AS "timestamp", 'dev-' || user_id AS deviceid, value,
+  CASE WHEN event_id % 5 > 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS k, replace(props, ' ', '') AS props,
+  'say "' || event_type || '", twice' AS note, 'stored' AS outcome, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS INTEGER) AS violations
+FROM kinds WHERE kind = 'clean'
+UNION ALL
+SELECT DISTINCT NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE kind WHEN 'empty' THEN 'bad_payload_type' WHEN 'bad_cell' THEN 'cast_failed' WHEN 'short_line' THEN 'structure'
+            WHEN 'open_quote' THEN 'structure' ELSE kind END,
+  event_id // 4, CASE kind WHEN 'duplicate_column' THEN NULL WHEN 'empty_batch' THEN 0 WHEN 'bad_cell' THEN 0 ELSE 1 END
+FROM kinds WHERE kind <> 'clean'
+""",
     "write_messages": _WHOLE + f"""
 SELECT sent AS sent_to, event_id AS seq, {_TOPIC} AS topic, {_PAYLOAD} AS payload
 FROM written, (VALUES ('topic/x'), ('topic/y')) AS t(sent)

@@ -54,6 +54,12 @@ MESSAGE_STORAGE = {
 
 LANDING_FILES = 4
 
+# Times that tables by hours and by months are read for.
+RANGES = {
+    "hour": (datetime.datetime(2024, 1, 1, 22, 30), datetime.datetime(2024, 1, 2, 3, 0)),
+    "month": (datetime.datetime(2024, 5, 10), datetime.datetime(2024, 6, 5, 12, 30)),
+}
+
 
 def fresh(spark: SparkSession, purpose: str) -> Options:
     """Options for databases of their own."""
@@ -580,6 +586,110 @@ def compacted(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("ingest_batch", merged)
 
 
+def ledger_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Notes and refusals after two merges, the second of the first's result and one more load, and
+    a repeat of a load that was left out and of one that was not."""
+    options = fresh(spark, "merged")
+    raw = feeds.raw_obj(spark, folder)
+
+    def part(number: int) -> None:
+        load(raw.where(F.col("seq") % 4 == number), f"part-{number}", options)
+
+    for number in range(4):
+        part(number)
+    merged = quarantine.merge_notes(spark, ["part-0", "part-1"], options)
+    quarantine.merge_notes(spark, [merged, "part-2"], options)
+    part(3)
+    repeated = "stored"
+    with suppress(ValueError):
+        part(0)
+        repeated = "stored twice"
+    refused, noted = quarantine.read(spark, options), quarantine.ledger(spark, options)
+    folders = [
+        rows.agg(F.lit(f"{name} folders").alias("entry"), F.count_distinct("ingest_batch").alias("seq"))
+        for name, rows in (("refused", refused), ("noted", noted))
+    ]
+    closed = F.when(F.col("merged").isNull(), "open").otherwise("closed")
+    parts = [
+        refused.select(F.lit("refused").alias("entry"), "load", "seq", F.col("target").alias("name"), F.col("reason").alias("state")),
+        noted.where("route_table IS NOT NULL").select(F.lit("noted").alias("entry"), "load", F.col("route_table").alias("name"), closed.alias("state")),
+        *folders,
+        spark.range(1).select(F.lit("repeated").alias("entry"), F.lit("part-0").alias("load"), F.lit(repeated).alias("state")),
+    ]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def _chunked(spark: SparkSession, folder: str, chunk: str) -> Options:
+    """A feed as two loads that were merged and one that was not, one repeated with other rows."""
+    key = (spark.sparkContext.applicationId, folder, chunk)
+    if key in _chunks:
+        return _chunks[key]
+    options = replace(fresh(spark, chunk), chunk=chunk, header="record")
+    raw = feeds.raw_moved(spark, folder, chunk)
+    load(raw.where("seq % 3 < 2"), "first", options)
+    for number, name in enumerate(("first", "second", "third")):
+        load(raw.where(F.col("seq") % 3 == number), name, options)
+    compact(spark, "telemetry", "batch", ["first", "second"], options)
+    _chunks[key] = options
+    return options
+
+
+_chunks: dict[tuple[str, str, str], Options] = {}
+
+
+def _partitions(spark: SparkSession, folder: str, chunk: str) -> DataFrame:
+    table = spark.table(tables.table_name("telemetry", "batch", _chunked(spark, folder, chunk)))
+    merged = F.when(F.col("ingest_batch") == "third", "third").otherwise(F.substring("ingest_batch", 1, 7))
+    hours = [F.hour("timestamp").alias("hour"), "ts_hour"] if chunk == "hour" else []
+    return table.select("timestamp", "deviceid", "value", "k", "ts_date", *hours, merged.alias("ingest_batch"))
+
+
+def hourly_table(spark: SparkSession, folder: str) -> DataFrame:
+    return _partitions(spark, folder, "hour")
+
+
+def monthly_table(spark: SparkSession, folder: str) -> DataFrame:
+    return _partitions(spark, folder, "month")
+
+
+def _read_back(spark: SparkSession, folder: str, chunk: str) -> DataFrame:
+    """The newest rows, and those of a time that begins and ends within partitions; others are not read."""
+    options = _chunked(spark, folder, chunk)
+    newest = reads.latest(spark, "telemetry", "batch", order=["timestamp", "deviceid", "value"], limit=9, options=options)
+    some = reads.time_range(spark, "telemetry", "batch", *RANGES[chunk], options)
+    before = len(spark.table(tables.table_name("telemetry", "batch", options)).inputFiles())
+    if not 0 < len(some.inputFiles()) < before or len(newest.inputFiles()) >= before:
+        raise AssertionError("a read opens files of other partitions")
+    wanted = ["timestamp", "deviceid", "value", "k"]
+    return newest.select(F.lit("newest").alias("which"), *wanted).union(some.select(F.lit("range"), *wanted))
+
+
+def hourly_reads(spark: SparkSession, folder: str) -> DataFrame:
+    return _read_back(spark, folder, "hour")
+
+
+def monthly_reads(spark: SparkSession, folder: str) -> DataFrame:
+    return _read_back(spark, folder, "month")
+
+
+def variant_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """A filter on a path of a column that holds JSON parsed, and that column as text."""
+    options = replace(fresh(spark, "variants"), json_as="variant")
+    load(feeds.raw_obj(spark, folder), "feed", options)
+    k = F.variant_get("props", "$.k", "bigint")
+    found = [reads.scan(spark, *one, options).where(k > 50).withColumn("table_name", F.lit(one[1])) for one in FEED_ROUTES]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), found)
+    return rows.select("table_name", "timestamp", "deviceid", "value", k.alias("k"), F.to_json("props").alias("props"))
+
+
+def delimited_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    options = replace(fresh(spark, "delimited"), header="record")
+    load(feeds.raw_delimited(spark, folder), "lines", options, parser="delimited")
+    stored = reads.scan(spark, "telemetry", "delimited", options).withColumn("outcome", F.lit("stored"))
+    refused = quarantine.read(spark, options).select(F.col("reason").alias("outcome"), "seq", "violations")
+    return stored.unionByName(refused, allowMissingColumns=True)
+
+
 def day_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per day and table as noted: of loads that were repeated with other rows and merged."""
     options = fresh(spark, "counted")
@@ -695,6 +805,13 @@ QUERIES = {
     "text_stream": text_stream,
     "interleaved_appends": interleaved_appends,
     "compacted": compacted,
+    "ledger_compacted": ledger_compacted,
+    "hourly_table": hourly_table,
+    "monthly_table": monthly_table,
+    "hourly_reads": hourly_reads,
+    "monthly_reads": monthly_reads,
+    "variant_columns": variant_columns,
+    "delimited_payloads": delimited_payloads,
     "write_messages": write_messages_stream,
     "ingest_metrics": ingest_metrics,
     "parser_registry": parser_registry,

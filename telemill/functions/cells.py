@@ -16,6 +16,8 @@ NUMBER_TAGS = ("int", "float")
 JSON_TAG = "json"
 DEFAULT_TAG = "str"
 DOUBLE, JSON, STRING = "DOUBLE", "JSON", "STRING"
+# A column that holds JSON parsed; for cells it is like one of JSON text.
+VARIANT = "VARIANT"
 
 # Fixed patterns: spellings of a double precision number.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -76,6 +78,11 @@ def as_double(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
+def parsed(value: Column) -> Column:
+    """A cell's JSON text as what it says."""
+    return F.try_parse_json(text(value))
+
+
 def fits_double(cell: Column) -> Column:
     value = cell["value"]
     kind = variants.kind(value)
@@ -102,6 +109,6 @@ def fits(cell: Column, storage_type: Column) -> Column:
     """Whether the cell can be stored in a column of that type."""
     return (
         F.when(storage_type == DOUBLE, fits_double(cell))
-        .when(storage_type == JSON, fits_json(cell))
+        .when(storage_type.isin(JSON, VARIANT), fits_json(cell))
         .otherwise(fits_string(cell))
     )

@@ -28,7 +28,7 @@ def row_fault(rows: Column, columns: dict[str, str]) -> Column:
 def by_storage(column: Column, columns: dict[str, str], double, json, string) -> Column:
     """One of three values, by the storage type of the named column."""
     doubles = [name for name, storage in columns.items() if storage == cell_rules.DOUBLE]
-    jsons = [name for name, storage in columns.items() if storage == cell_rules.JSON]
+    jsons = [name for name, storage in columns.items() if storage in (cell_rules.JSON, cell_rules.VARIANT)]
     return F.when(column.isin(*doubles), double).when(column.isin(*jsons), json).otherwise(string)
 
 

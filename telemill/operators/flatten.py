@@ -48,6 +48,8 @@ def stored_value(cells: Column, column: str, storage: str, checked: bool) -> Col
     if storage == cell_rules.DOUBLE and checked:
         return F.try_variant_get(cells, path, "double")
     value = F.try_variant_get(cells, path, "variant")
+    if storage == cell_rules.VARIANT:
+        return cell_rules.parsed(value)
     return cell_rules.number(value) if storage == cell_rules.DOUBLE else cell_rules.text(value)
 
 

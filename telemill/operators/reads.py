@@ -10,14 +10,14 @@ from pyspark.sql.types import StructType
 from telemill.functions.names import quoted
 from telemill.operators.flatten import column_list
 from telemill.options import Options
-from telemill.sinks import days
+from telemill.sinks import days, tables
 from telemill.sinks.commits import visible
 
 
 def scan(spark: SparkSession, schema: str, table: str, options: Options | None = None) -> DataFrame:
     """All committed rows and all columns of a table, without its partition columns."""
     options = options or Options()
-    return _rows(spark, schema, table, options).drop(options.batch_column, options.date_column)
+    return _rows(spark, schema, table, options).drop(*options.partition_columns)
 
 
 def latest(
@@ -44,7 +44,7 @@ def latest(
         return spark.createDataFrame([], StructType())
     rows = _rows(spark, schema, table, options)
     known = {field.lower() for field in rows.columns}
-    stored = rows.drop(options.batch_column, options.date_column)
+    stored = rows.drop(*options.partition_columns)
     wanted = [quoted(x) for x in stored.columns] if column.strip() == "*" else column_list(column)
     if any(_bare(x) not in known for x in [*wanted, *keys]):
         return spark.createDataFrame([], StructType())
@@ -66,17 +66,21 @@ def time_range(
     options: Options | None = None,
 ) -> DataFrame:
     """Rows with start <= time < end. A bound on the time column prunes no partitions by
-    itself, so the same bound is put on the date they are partitioned by. Times in the
-    tables have no zone, so neither have the bounds."""
+    itself, so the same bound is put on the date, and the hour, they are partitioned by. Times in
+    the tables have no zone, so neither have the bounds."""
     if start.tzinfo is not None or end.tzinfo is not None:
         raise ValueError("times in the tables have no zone; give bounds without one")
     options = options or Options()
     rows = _rows(spark, schema, table, options)
     ts, day = F.col(options.ts_column), F.col(options.date_column)
-    bounded = rows.where((ts >= _ntz(start)) & (ts < _ntz(end))).where(
-        day.between(F.lit(start.date()), F.lit(end.date()))
-    )
-    return bounded.drop(options.batch_column, options.date_column)
+    chunk = tables.chunk_of(spark, schema, table, options)
+    first = start.date().replace(day=1) if chunk == "month" else start.date()
+    bounded = rows.where((ts >= _ntz(start)) & (ts < _ntz(end))).where(day.between(F.lit(first), F.lit(end.date())))
+    if chunk == "hour":
+        hour = F.col(options.hour_column)
+        bounded = bounded.where((day > F.lit(first)) | (hour >= start.hour))
+        bounded = bounded.where((day < F.lit(end.date())) | (hour <= end.hour))
+    return bounded.drop(*options.partition_columns)
 
 
 def _rows(spark: SparkSession, schema: str, table: str, options: Options) -> DataFrame:

@@ -33,6 +33,14 @@ class Options:
     # Partition columns of the tables.
     batch_column: str = "ingest_batch"
     date_column: str = "ts_date"
+    hour_column: str = "ts_hour"
+
+    # Width of the partitions of tables that are made from now on: "hour", "day" or "month". A
+    # table keeps its own; the date column of one by months holds their first days.
+    chunk: str = "day"
+
+    # What columns of the json tag are made as: "text" or "variant".
+    json_as: str = "text"
 
     quarantine_schema: str = "quarantine"
     quarantine_table: str = "rejects"
@@ -62,8 +70,17 @@ class Options:
 
     @property
     def reserved_columns(self) -> list[str]:
+        return [*self.table_columns, self.hour_column.lower()]
+
+    @property
+    def table_columns(self) -> list[str]:
+        """What every time-partitioned table has."""
         names = (self.ts_column, self.id_column, self.batch_column, self.date_column)
         return [name.lower() for name in names]
 
+    @property
+    def partition_columns(self) -> list[str]:
+        return [self.batch_column, self.date_column, self.hour_column]
+
     def database(self, schema: str) -> str:
         return self.database_prefix + schema

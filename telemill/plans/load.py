@@ -182,7 +182,7 @@ def _forget(spark: SparkSession, route: Route, batch: str, options: Options) ->
     """Drops what a load has stored in a table."""
     if not all(map(is_catalog_name, route)) or not spark.catalog.tableExists(tables.table_name(*route, options)):
         return
-    tables.drop_days(spark, *route, batch, tables.batch_days(spark, *route, batch, options), options)
+    tables.drop_chunks(spark, *route, batch, tables.batch_chunks(spark, *route, batch, options), options)
     days.forget(spark, *route, batch, options)
 
 

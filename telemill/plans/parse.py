@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from telemill.operators import delimited
 from telemill.operators.decode import decode, judge
 from telemill.operators.outcomes import outcomes
 from telemill.options import Options
@@ -19,7 +20,12 @@ def parse_telemetry(raw: DataFrame, options: Options) -> DataFrame:
     return outcomes(judge(decode(raw)), options)
 
 
-_parsers: dict[str, Parser] = {DEFAULT_PARSER: parse_telemetry}
+def delimited_parser(separator: str = ",") -> Parser:
+    """A parser of lines whose first names the columns (see ``operators.delimited``)."""
+    return lambda raw, options: outcomes(delimited.judged(raw, separator), options)
+
+
+_parsers: dict[str, Parser] = {DEFAULT_PARSER: parse_telemetry, "delimited": delimited_parser()}
 
 
 def register_parser(name: str, parser: Parser) -> None:

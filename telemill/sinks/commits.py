@@ -31,15 +31,27 @@ def show(spark: SparkSession, by: str, options: Options) -> None:
     spark.sql(f"ALTER TABLE {_name(options)} DROP IF EXISTS PARTITION (`{options.batch_column}` = {tables.literal(by)})")
 
 
-def hidden(spark: SparkSession, schema: str, table: str, options: Options) -> list[str]:
-    """Loads whose rows in a table are not to be read: those in progress and those broken off."""
+def hidden(spark: SparkSession, schema: str, table: str, options: Options, loads: bool = True) -> list[str]:
+    """Loads whose rows in a table are not to be read: those in progress and those broken off, or
+    without ``loads`` only what a merge hides in this table."""
     if not spark.catalog.tableExists(_name(options)):
         return []
     route = F.col("route")
-    rows = spark.table(_name(options)).where(route.isNull() | (route == route_id(schema, table)))
+    mine = route == route_id(schema, table)
+    rows = spark.table(_name(options)).where(route.isNull() | mine if loads else mine)
     return sorted({row.hidden for row in rows.select("hidden").collect()})
 
 
+def hiding(spark: SparkSession, options: Options) -> dict[str, list[str]]:
+    """What is under way or broken off: the load or merge that hides, and the names it hides."""
+    if not spark.catalog.tableExists(_name(options)):
+        return {}
+    found: dict[str, list[str]] = {}
+    for row in spark.table(_name(options)).select(options.batch_column, "hidden").toLocalIterator():
+        found.setdefault(row[0], []).append(row.hidden)
+    return found
+
+
 def visible(rows: DataFrame, schema: str, table: str, options: Options) -> DataFrame:
     """The rows of a table that are committed."""
     if options.batch_column not in rows.columns:

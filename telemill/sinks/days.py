@@ -29,9 +29,9 @@ def forget(spark: SparkSession, schema: str, table: str, batch: str, options: Op
 
 
 def note(spark: SparkSession, schema: str, table: str, batch: str, rows: int, options: Options) -> None:
-    """Writes down the days a load has just filled in a table, ``rows`` in all. Where they are
-    several, their files' footers are counted, those of this load alone."""
-    days = tables.batch_days(spark, schema, table, batch, options) if rows else []
+    """Writes down the days (months in a table by months) a load has just filled in a table, ``rows``
+    in all. Where they are several, their files' footers are counted, those of this load alone."""
+    days = sorted({day for day, _ in tables.batch_chunks(spark, schema, table, batch, options)}) if rows else []
     if not days:
         forget(spark, schema, table, batch, options)
         return

@@ -13,6 +13,7 @@ from telemill import Options, latest, load, register_parser, scan, start_ingest,
 from telemill.functions.names import route_id
 from telemill.functions.strict_json import SENTINEL
 from telemill.plans.load import LoadError
+from telemill.operators.delimited import judged as parse_delimited
 from telemill.plans.parse import parse, parse_telemetry
 from telemill.sinks import days, jdbc, parked, plain, quarantine, tables
 from telemill.sinks.compact import compact
@@ -426,7 +427,7 @@ def test_readers_see_a_merge_at_once(spark, options, monkeypatch):
     for number in range(2):
         load(raw_of(spark, [record(1, a=float(number))]), f"b{number}", options)
     seen = []
-    for module, name in ((tables, "overwrite_partitions"), (tables, "drop_days")):
+    for module, name in ((tables, "overwrite_partitions"), (tables, "drop_chunks")):
         real = getattr(module, name)
 
         def watched(*args, real=real):
@@ -521,3 +522,137 @@ def test_key_ranges(spark, options):
     plain.append_plain(rows(4), "p", "plain", ["v"], "two", options)
     plain.append_plain(rows(12), "p", "plain", ["v"], "one", options)
     assert keys() == {"one": (16, 27, 12), "two": (11, 14, 4)}
+
+
+def test_notes_are_merged_and_loads_closed(spark, options):
+    loads = [f"l {n}/%" for n in range(3)]
+    for n, name in enumerate(loads):
+        load(raw_of(spark, [record(a=float(n)), "{", record(a="bad")], first=10 * n), name, options)
+    load(raw_of(spark, ["{"], first=90), "refused only", options)
+    expected = values(quarantine.read(spark, options), "load", "seq", "reason")
+    assert len(expected) == 7
+    merged = quarantine.merge_notes(spark, [loads[0], "refused only"], options)
+    assert values(quarantine.read(spark, options), "load", "seq", "reason") == expected
+    again = quarantine.merge_notes(spark, [merged, loads[1]], options)
+    assert values(quarantine.read(spark, options), "load", "seq", "reason") == expected
+    assert {row[0] for row in quarantine.read(spark, options).select("ingest_batch").collect()} == {again, loads[2]}
+    for name in (loads[0], loads[1], "refused only"):
+        with pytest.raises(ValueError, match="closed"):
+            load(raw_of(spark, [record(a=1.0)]), name, options)
+    load(raw_of(spark, [record(a=7.0)]), loads[2], options)
+    assert values(scan(spark, "s", "t", options), "a") == [(0.0,), (1.0,), (7.0,)]
+    assert quarantine.read(spark, options).count() == 5
+    # Rows of closed loads can still be merged.
+    compact(spark, "s", "t", loads[:2], options)
+    assert values(scan(spark, "s", "t", options), "a") == [(0.0,), (1.0,), (7.0,)]
+
+
+@pytest.mark.parametrize("step", (3, 5))
+def test_a_merge_of_notes_that_breaks_off(spark, options, monkeypatch, step):
+    for n in range(2):
+        load(raw_of(spark, [record(a=float(n)), "{"], first=10 * n), f"b{n}", options)
+    expected = values(quarantine.read(spark, options), "load", "seq", "reason")
+    calls = []
+    for module, name in ((tables, "overwrite_partitions"), (tables, "drop_partitions")):
+        real = getattr(module, name)
+
+        def broken(*args, real=real):
+            calls.append(1)
+            if len(calls) == step:
+                raise RuntimeError("lost")
+            real(*args)
+
+        monkeypatch.setattr(module, name, broken)
+    with pytest.raises(RuntimeError):
+        quarantine.merge_notes(spark, ["b0", "b1"], options)
+    monkeypatch.undo()
+    assert values(quarantine.read(spark, options), "load", "seq", "reason") == expected
+    load(raw_of(spark, [record(a=5.0), "{"], first=50), "b2", options)
+    merged = quarantine.merge_notes(spark, ["b0", "b1", "b2"], options)
+    kept = quarantine.read(spark, options)
+    assert values(kept, "load", "seq", "reason") == [*expected, ("b2", 51, "bad_json")]
+    if step < 4:  # it was undone, so all three loads are merged now
+        assert {row[0] for row in kept.select("ingest_batch").collect()} == {merged}
+    for name in ("b0", "b2"):
+        with pytest.raises(ValueError, match="closed"):
+            load(raw_of(spark, [record(a=1.0)]), name, options)
+
+
+def test_a_broken_load_is_not_merged(spark, options):
+    strict = dataclasses.replace(options, park_failures=False)
+    load(raw_of(spark, [record(a=1.0)]), "one", strict)
+    spark.sql(f"DROP TABLE {tables.table_name('s', 't', strict)}")
+    spark.sql(f"CREATE TABLE {tables.table_name('s', 't', strict)} (timestamp TIMESTAMP_NTZ, deviceid STRING, a INT, ts_date DATE, ingest_batch STRING) USING parquet PARTITIONED BY (ts_date, ingest_batch)")
+    with pytest.raises(LoadError):
+        load(raw_of(spark, [record(a=1.0)]), "two", strict)
+    with pytest.raises(ValueError, match="not complete"):
+        quarantine.merge_notes(spark, ["one", "two"], strict)
+
+
+def test_widths_of_partitions(spark, options):
+    stamps = ["2024-01-31 23:59:59", "2024-02-01 00:00:00", "2024-02-01 05:30:00", "1969-12-31 23:00:00", "2024-02-29 05:00:00"]
+    payloads = [{**record(a=float(n)), "timestamp": stamp} for n, stamp in enumerate(stamps)]
+    expected = {
+        "hour": [("1969-12-31", 23), ("2024-01-31", 23), ("2024-02-01", 0), ("2024-02-01", 5), ("2024-02-29", 5)],
+        "month": [("1969-12-01",), ("2024-01-01",), ("2024-02-01",), ("2024-02-01",), ("2024-02-01",)],
+    }
+    for chunk, keys in expected.items():
+        mine = dataclasses.replace(options, chunk=chunk, database_prefix=f"{options.database_prefix}{chunk}_")
+        load(raw_of(spark, payloads), "one", mine)
+        load(raw_of(spark, payloads[:2]), "two", dataclasses.replace(mine, chunk="day"))  # a table keeps its width
+        load(raw_of(spark, payloads[2:]), "two", dataclasses.replace(mine, chunk="day"))
+        table = tables.table_name("s", "t", mine)
+        own = spark.table(table).where("ingest_batch = 'one'").withColumn("ts_date", F.col("ts_date").cast("string"))
+        assert values(own, *(["ts_date", "ts_hour"] if chunk == "hour" else ["ts_date"])) == keys
+        assert spark.table(table).count() == 8
+        compact(spark, "s", "t", ["one", "two"], mine)
+        assert spark.table(table).select("ingest_batch").distinct().count() == 1
+        both = time_range(spark, "s", "t", datetime.datetime(2024, 1, 31, 23, 30), datetime.datetime(2024, 2, 1, 5, 30), mine)
+        assert values(both, "a") == [(0.0,), (1.0,)]
+        assert set(both.columns) == {"timestamp", "deviceid", "a"}
+        newest = latest(spark, "s", "t", "a", order="timestamp", limit=3, options=mine)
+        assert [row.a for row in newest.collect()] == [4.0, 4.0, 2.0]
+    with pytest.raises(ValueError, match="width"):
+        tables.create_time_table(spark, "s", "t", {}, dataclasses.replace(options, chunk="week"))
+
+
+def test_json_as_variant(spark, options):
+    mine = dataclasses.replace(options, json_as="variant")
+
+    def json_field(value):
+        return record(j={"value": value, "type": "json"})
+
+    odd = [{"a": [1, {"b": "x"}]}, None, "text", 5, [], record(j={"value": '{"q":1}', "type": "str"})]
+    load(raw_of(spark, [x if isinstance(x, dict) and "fields" in x else json_field(x) for x in odd]), "one", mine)
+    report = load(raw_of(spark, [record(j={"value": "no json", "type": "str"}), json_field({"z": 2})]), "two", mine)
+    assert report.refused == {"cast_failed": 1}
+    table = scan(spark, "s", "t", options)
+    assert dict(table.dtypes)["j"] == "variant"
+    found = {row[0] for row in table.select(F.to_json("j")).collect()}
+    assert found == {'{"a":[1,{"b":"x"}]}', "null", '"text"', "5", "[]", '{"q":1}', '{"z":2}'}
+    compact(spark, "s", "t", ["one", "two"], mine)
+    assert scan(spark, "s", "t", options).where(F.try_variant_get("j", "$.a[1].b", "string") == "x").count() == 1
+
+
+def test_delimited_payloads(spark):
+    def judged(*payloads, separator=","):
+        rows = parse_delimited(raw_of(spark, payloads), separator).orderBy("seq").collect()
+        return [(row.reason, row.violations) for row in rows]
+
+    head = "timestamp,table,a:float,j:json,t"
+    assert judged(
+        head + "\n2024-01-01 00:00:00,t,1,5,x\n\n", head + '\r\n,,,,\r\n,,,"{""k"":""a,b""}",""\r\n',
+        head, "", "\n \n", "a,,b\n1,2,3", 'a,"b\n1,2', "a:int,a:float\n1,2", "timestamp,a\n1\n1,2,3\n1,2",
+        'a,j:json\n"x"y,{\nx"y,5\n"x""y",""', "timestamp,deviceid\n1,2\n3,4", '{"timestamp":"2024-01-01 00:00:00"}',
+    ) == [
+        (None, 0), (None, 0), ("empty_batch", 0), ("bad_payload_type", 1), ("bad_payload_type", 1), ("bad_payload_type", 1),
+        ("bad_payload_type", 1), ("duplicate_column", None), ("structure", 2), ("structure", 4), ("structure", 2),
+        ("bad_payload_type", 1),
+    ]
+    assert judged("a;b\n1;2", "a\n" + '"' + '""' * 50000 + '"', separator=";") == [(None, 0), (None, 0)]
+    with pytest.raises(ValueError):
+        judged("a", separator='"')
+    long = raw_of(spark, ["\n".join(["timestamp,a:float,b:str"] + [f"2024-01-01 00:00:00,{n},\"q\"\"{n}\"" for n in range(5000)])])
+    found = parse(long, parser="delimited").select(F.explode("rows.cells").alias("cells"))
+    cells = found.select(F.to_json(F.col("cells")[1]["value"]).alias("b"), F.col("cells")[0]["value"].cast("double").alias("a")).collect()
+    assert len(cells) == 5000 and cells[4999] == ('"q\\"4999"', 4999.0)
