@@ -21,7 +21,9 @@ PARTS = 3
 #: A sketch that cannot be peeled is made again with so many times the cells.
 GROWTH = 4
 #: A sketch that seems to hold so many digests a cell is not peeled first; one of about 0.8 fails.
-HOPELESS = 2
+HOPELESS = 1.2
+#: Cells a digest that the next size has at least.
+ROOM = 1.5
 #: Buckets of neighbouring documents for each shuffle partition at least, bytes of a bucket about,
 #: and characters of a text that order rows of one key among buckets.
 BUCKETS, BUCKET_BYTES, PREFIX = 4, 1 << 26, 64
@@ -247,7 +249,7 @@ def difference(left: Version, right: Version, cells: int = CELLS) -> tuple[np.nd
         if found is not None:
             return found
         cells *= GROWTH
-        while cells < held:
+        while cells < ROOM * held:
             cells *= GROWTH
 
 
