@@ -77,6 +77,7 @@ def load(
     options: Options | None = None,
     parser: str = DEFAULT_PARSER,
     staging: str | None = None,
+    spread: bool = False,
 ) -> LoadReport:
     """Loads ``raw`` as the load named ``batch``.
 
@@ -85,6 +86,9 @@ def load(
     second parse. Readers see nothing of the load before all of it is written. A table that
     cannot be written harms itself alone: payloads for one that is not made for loads are
     refused, and where a write fails the table's outcomes are parked for ``unpark``.
+
+    ``spread`` deals the messages out by their numbers before they are parsed, for input in fewer
+    parts than there are tasks; ``parse_tasks`` of the options goes before it.
     """
     options = options or Options()
     spark = raw.sparkSession
@@ -94,7 +98,9 @@ def load(
     quarantine.ensure(spark, options)
     earlier = quarantine.loaded_routes(spark, batch, options)
     raw = numbered(raw)
-    source = raw.repartition(options.parse_tasks) if options.parse_tasks else raw
+    source = raw.repartition("seq") if spread else raw
+    if options.parse_tasks:
+        source = raw.repartition(options.parse_tasks)
     with _folder(spark, staging) as folder:
         refusals = Observation()
         staged = stage(parse(source, options, parser), folder, refusals)
@@ -199,6 +205,7 @@ def append_outcomes(
     except tables.NotATimeTable:
         return 0, _refuse(mine, F.lit("bad_table"), batch, scope, options)
     columns = {name: present[name] for name in wanted}
+    mine = dealt(mine, len(columns))
     fault = row_fault(F.col("rows"), columns)
     if again:
         _forget(spark, route, batch, options)
@@ -216,6 +223,21 @@ def append_outcomes(
     return stored, _refuse(mine, fault, batch, scope, options) if seen.get["refused"] else {}
 
 
+#: A table of more columns is written by tasks of so many cells each, empty ones included.
+WIDE_COLUMNS, CELLS_A_TASK = 100, 16_000_000
+
+
+def dealt(mine: DataFrame, columns: int) -> DataFrame:
+    """One table's outcomes, those for many columns by as many tasks as their cells ask for: a staged
+    file of a few bytes a row is cut by its size, which says little of the rows it becomes."""
+    if columns <= WIDE_COLUMNS:
+        return mine
+    rows = mine.agg(F.sum(F.size("rows"))).first()[0] or 0
+    tasks = -(-rows * columns // CELLS_A_TASK)
+    first_day = F.get("rows", F.lit(0))["ts"].cast("date")
+    return mine.repartitionByRange(tasks, first_day, "seq") if tasks > 1 else mine
+
+
 def _refuse(mine: DataFrame, fault: Column, batch: str, scope: str, options: Options) -> dict[str, int]:
     """Quarantines the outcomes with a fault, and counts them by reason."""
     refused = flatten.rejected(mine.withColumn("reason", F.explode_outer(F.array(fault.cast("string")))))

@@ -52,7 +52,8 @@ def start_ingest(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        report = load(batch, batch_name(stream, query_id, batch_id), options, parser)
+        # A micro-batch may be of a file or two, each read by few tasks.
+        report = load(batch, batch_name(stream, query_id, batch_id), options, parser, spread=True)
         if on_batch is not None:
             on_batch(report)
 
