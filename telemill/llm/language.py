@@ -7,8 +7,9 @@ import sys
 import unicodedata
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -44,12 +45,11 @@ SCRIPTS = (
 STARTS, NAMES = zip(*SCRIPTS)
 
 
-
-def _ranges(kinds: str) -> str:
-    """The code points whose category begins with one of these letters, for a pattern."""
+def _ranges(kinds: str, last: int) -> str:
+    """The code points up to ``last`` whose category begins with one of these letters, for a pattern."""
     found, first = [], None
-    for point in range(sys.maxunicode + 2):
-        inside = point <= sys.maxunicode and unicodedata.category(chr(point))[0] in kinds
+    for point in range(last + 2):
+        inside = point <= last and unicodedata.category(chr(point))[0] in kinds
         if inside and first is None:
             first = point
         elif not inside and first is not None:
@@ -58,8 +58,19 @@ def _ranges(kinds: str) -> str:
     return "".join(found)
 
 
-#: A word is a letter of any script, then letters and their marks; number signs are none.
-words_of = re.compile(f"[{_ranges('L')}][{_ranges('LM')}]*").findall
+@cache
+def _words(last: int) -> Callable[[str], list[str]]:
+    return re.compile(f"[{_ranges('L', last)}][{_ranges('LM', last)}]*").findall
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text: a letter of any script, then letters and their marks; number signs are none.
+
+    Up to 16 bits the pattern's sets are tables. Of larger code points it knows ranges, which it tries one
+    by one for every character that is no letter, so only texts that have such ones are searched for them.
+    """
+    small = text.isascii() or len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+    return _words(0xFFFF if small else sys.maxunicode)(text)
 
 
 def script(word: str) -> str:

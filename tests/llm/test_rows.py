@@ -2,6 +2,9 @@
 columns and empty tables. And letters of scripts that mark vowels."""
 
 import random
+import re
+import timeit
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +48,28 @@ def test_words_keep_their_vowel_signs():
     assert language.words_of("हिन्दी में, বাংলা! தமிழ் é x1y") == ["हिन्दी", "में", "বাংলা", "தமிழ்", "é", "x", "y"]
 
 
+def test_words_of_every_script_at_the_speed_of_one():
+    """A word is a letter and what follows of letters and marks, by the categories of code points;
+    texts without large code points are not searched for them."""
+    points = [0x41, 0xE9, 0x300, 0x378, 0x905, 0x94D, 0x2160, 0xD800, 0xFFDC, 0x10000, 0x1D400, 0x1E8D0, 0x1F642, 0x10FFFF]
+    text = "".join(chr(x) + y + chr(z) for x in points for y in ("", "b", " ", "1", "_") for z in points)
+    for one in (text, "".join(x for x in text if ord(x) < 1 << 16), "only ASCII_here 1x"):
+        expected, at = [], None
+        for place, kind in enumerate([unicodedata.category(x)[0] for x in one] + ["Z"]):
+            if at is not None and kind not in "LM":
+                expected.append(one[at:place])
+                at = None
+            at = place if at is None and kind == "L" else at
+        assert language.words_of(one) == expected
+    long = "Wörter, die é; sehr oft - vorkommen. " * 20_000
+
+    def seconds(find):
+        return min(timeit.repeat(lambda: find(long), number=1, repeat=3))
+
+    assert seconds(language.words_of) < 2 * seconds(re.compile(r"[^\W\d_]\w*").findall)
+
+
+
 def test_language_judges_each_row(spark, model):
     rows = [(None, "the cat and the dog", "en"), (None, "12 34", "en"), (None, None, "en"), (7, "½ ²", "en"), (7, "the dog", "de")]
     docs = table(spark, rows).withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit(1)).withColumn("spans", F.array(F.lit(2)))
