@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from functools import cached_property
@@ -15,15 +16,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.llm.shared import mapped, pick, staged, whole
 
-#: Labelled documents of each kind that are learned from, about, and their windows and passages.
-LEARNED, WINDOWS, PASSAGES = 4000, 60_000, 20_000
-#: Bytes of the dictionaries, and the trainer's segments.
-ORDINARY_BYTES, TOXIC_BYTES = 1 << 16, 1 << 10
+#: Labelled documents of each kind that are learned from, about, and windows of the ordinary ones.
+LEARNED, WINDOWS = 4000, 60_000
+#: Bytes of the dictionary of ordinary windows, and the trainer's segments.
+ORDINARY_BYTES = 1 << 16
 SEGMENT, PARTS = 64, 6
 #: A word tells toxic texts if it is so many times as frequent in them, with a log-likelihood ratio
-#: (twice its natural logarithm) of this at least and of this share of the most telling word's.
-TIMES, RATIO, SHARE = 8, 15.0, 0.25
+#: (twice its natural logarithm) of this at least. How telling other words are does not matter: those of a
+#: language with few texts, or of one that makes many words of a few stems, are rarer than those of others.
+TIMES, RATIO = 8, 15.0
 TELLING = 1000
+#: Ordinary words that stand beside each telling one, by their beginnings and by their ends, on each side.
+BEGIN_ALIKE, END_ALIKE = 4, 2
 #: Gains of a window are counted up to GAINS; up to THRESHOLDS are tried as the largest that says nothing.
 GAINS, THRESHOLDS = 32, 8
 
@@ -42,7 +46,7 @@ def windows(text: str) -> list[bytes]:
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     content = content or b" " * 8
     settings = zstandard.ZstdCompressionParameters(
-        window_log=18, hash_log=16, chain_log=17, search_log=7, min_match=3, strategy=zstandard.STRATEGY_BTOPT,
+        window_log=18, hash_log=16, chain_log=17, search_log=7, min_match=6, strategy=zstandard.STRATEGY_BTOPT,
         write_checksum=0, write_content_size=0, write_dict_id=0,
     )
     known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -59,9 +63,23 @@ def trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(sorted(set(samples)))[-size:]
 
 
+def lookalikes(telling: list[str], passages: list[bytes]) -> list[str]:
+    """The words of ordinary passages that begin or end most like telling words. Behind the ordinary
+    dictionary they make what such words share with others as cheap as in the toxic one, so that
+    only whole telling words gain."""
+    words = sorted({word for passage in passages for word in WORDS.findall(passage.decode())})
+    found: dict[str, None] = {}
+    for sort, width in ((lambda word: word, BEGIN_ALIKE), (lambda word: word[::-1], END_ALIKE)):
+        ordered = sorted(words, key=sort)
+        for word in telling:
+            at = bisect_left(ordered, sort(word), key=sort)
+            found.update(dict.fromkeys(ordered[max(0, at - width) : at + width]))
+    return list(found)
+
+
 @dataclass
 class Model:
-    """Two dictionaries, of ordinary text and of toxic passages, and what gains mean.
+    """Two dictionaries, of ordinary text and of toxic words, and what gains mean.
 
     What windows gain above ``threshold`` is a text's evidence, and ``weight`` and ``offset`` make a
     probability of it.
@@ -182,20 +200,16 @@ def telling_words(sample: DataFrame) -> list[str]:
     frequent = F.col("a") / n[True] > TIMES * F.col("b") / n[False]
     best = counts.where(frequent).withColumn("ratio", ratio).where(F.col("ratio") >= RATIO)
     rows = best.orderBy(F.col("ratio").desc(), "word").limit(TELLING).collect()
-    return [row.word for row in reversed(rows) if row.ratio >= SHARE * rows[0].ratio]
+    return [row.word for row in reversed(rows)]
 
 
-def _passages(telling: set[str], toxic: bool):
-    """Texts as windows without any telling word, or as passages of these alone."""
+def _passages(telling: set[str]):
+    """Texts as windows without any telling word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column("text"):
-                if not toxic:
-                    found = [w for w in windows(text.as_py()) if telling.isdisjoint(WORDS.findall(w.decode()))]
-                else:
-                    words = [word for word in WORDS.findall(text.as_py().lower()) if word in telling]
-                    found = [f" {'  '.join(words[i : i + 8])} ".encode() for i in range(0, len(words), 8)]
+                found = [w for w in windows(text.as_py()) if telling.isdisjoint(WORDS.findall(w.decode()))]
                 yield pa.record_batch([pa.array(found, pa.binary())], names=["window"])
 
     return work
@@ -213,10 +227,10 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column, key: str = "doc_i
     """A model from the documents where ``learned`` holds and that have a ``toxic`` label.
 
     Of each kind LEARNED documents at most, about, are learned from, whole. Toxic ones hold mostly
-    ordinary words too, so the toxic dictionary is trained on the words alone that tell them
-    (``telling_words``), and the ordinary one on windows of ordinary documents without any. A
-    document is toxic if one of its labels says so; null keys and labels teach nothing, nor does a
-    document that is null.
+    ordinary words too, so the toxic dictionary is the words alone that tell them (``telling_words``),
+    and the ordinary one is trained on windows of ordinary documents without any, with words that look
+    like telling ones (``lookalikes``) behind it. A document is toxic if one of its labels says so; null
+    keys and labels teach nothing, nor does a document that is null.
     """
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("marked"))
     marks = marks.agg((F.max("toxic") == 1).alias("toxic"))
@@ -224,13 +238,13 @@ def learn(docs: DataFrame, labels: DataFrame, learned: Column, key: str = "doc_i
     rows = rows.join(marks, rows["key"] == marks["marked"]).select("key", "text", "toxic")
     sample = staged(staged(_sampled(rows, True), "toxic").union(staged(_sampled(rows, False), "ordinary")), "learned")
     telling = telling_words(sample)
-    passages = mapped(sample.where("NOT toxic").select("text"), _passages(set(telling), False), "window binary")
-    ordinary, toxic = trained(_some(passages, WINDOWS), ORDINARY_BYTES), b""
+    passages = mapped(sample.where("NOT toxic").select("text"), _passages(set(telling)), "window binary")
+    known = _some(passages, WINDOWS)
+    ordinary, toxic = trained(known, ORDINARY_BYTES), b""
     if telling:
-        passages = mapped(sample.where("toxic").select("text"), _passages(set(telling), True), "window binary")
-        toxic = trained(_some(passages, PASSAGES), TOXIC_BYTES)
-        # Each word at least once and whole, the most telling one last, where it is cheapest to refer to.
-        toxic += f" {'  '.join(telling)} ".encode()
+        ordinary += f" {'  '.join(lookalikes(telling, known))} ".encode()
+        # Each word once and whole, the most telling one last, where it is cheapest to refer to.
+        toxic = f" {'  '.join(telling)} ".encode()
     model = Model(ordinary, toxic, telling=telling)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of a fixed size
 

@@ -98,6 +98,26 @@ def test_a_label_decides_once(spark):
     assert model.telling == []
 
 
+def test_rarer_words_tell_as_well(spark):
+    """Words of a language with a few toxic texts tell them, whatever words of other languages do."""
+    rows, labels = texts(600, 2)
+    draw = random.Random(3)
+    stems = ["zor", "gul", "mip", "tek", "waf", "lon", "sib", "kad", "rux", "pev", "dot", "nuc"]
+    rare = ["zorgul" + x for x in stems[:6]]
+    for i in range(600, 840):
+        words = ["".join(draw.choices(stems, k=3)) for _ in range(30)]
+        words += draw.sample(rare, 5) if i % 4 == 0 else []
+        rows.append((i, " ".join(draw.sample(words, len(words))), "xx", "s"))
+        labels.append((i, 1, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    model = toxicity.learn(docs, spark.createDataFrame(labels, LABELS), F.col("doc_id") % 3 != 0)
+    assert set(BAD) | set(rare) <= set(model.telling)
+    found = toxicity.toxicity(docs, model).where("doc_id >= 600 AND doc_id % 3 = 0").collect()
+    caught = [row.predicted for row in found if row.doc_id % 4 == 0]
+    left = [1 - row.predicted for row in found if row.doc_id % 4]
+    assert np.mean(caught) > 0.8 and np.mean(left) > 0.8
+
+
 def test_windows_hold_all_words():
     text = "a bb\nccc  " + "d" * 500 + " é " + "word " * 100
     joined = b"".join(toxicity.windows(text)).replace(b" ", b"").replace(b"\n", b"")
