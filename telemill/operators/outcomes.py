@@ -49,9 +49,13 @@ def timestamp_text(record: Column, options: Options) -> Column:
 
 
 def timestamp(text: Column) -> Column:
-    """A timestamp of its text; the usual spelling is not looked at any further."""
-    other = iso_spelling(text)
-    rewritten = F.when(other.rlike(TIMESTAMP), other.try_cast("timestamp_ntz"))
+    """A timestamp of its text; the usual spelling is not looked at any further. Others are written
+    out once, in an array: twice they made a method too long for the JVM to compile."""
+
+    def parsed(other: Column) -> Column:
+        return F.when(other.rlike(TIMESTAMP), other.try_cast("timestamp_ntz"))
+
+    rewritten = F.get(F.transform(F.array(iso_spelling(text)), parsed), F.lit(0))
     return F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp_ntz")).otherwise(rewritten)
 
 

@@ -49,6 +49,14 @@ def is_json(text):
         return False
 
 
+def test_a_sentinel_in_escapes_is_no_sentinel(spark):
+    digits = "\\u0032" + strict_json.SENTINEL[1:]
+    payloads = [f'1,"{digits}"],[2', f'1,"{digits}"],', f'"{digits}"', f'[1,"{digits}"]', "1,2.71828182845904523e17],", "1,true],"]
+    text = F.col("payload")
+    found = raw_of(spark, payloads).orderBy("seq").select(strict_json.is_strict(text, strict_json.wrap(text))).collect()
+    assert [row[0] for row in found] == [False, False, True, True, False, False]
+
+
 def test_strict_json_agrees_with_the_standard_parser(spark):
     expected = [is_json(text) for text in STRICT]
     found = decode(raw_of(spark, STRICT)).orderBy("seq").collect()

@@ -1,10 +1,13 @@
 """Work that is dealt out by its size, with the rows it had before."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from telemill import Options, parse, register_parser
 from telemill.checks import feeds, queries
+from telemill.functions import strict_json
 from telemill.operators import flatten
 from telemill.plans import load as loads
 from telemill.plans.parse import parse_telemetry
@@ -89,3 +92,25 @@ def test_lines_are_written_by_as_many_tasks_as_they_need(spark, folder, monkeypa
     assert len(found.inputFiles()) >= 4
     expected = feeds.raw_obj(spark, folder).select("seq", "payload").collect()
     assert sorted((row.seq, row.payload) for row in found.collect()) == sorted(tuple(row) for row in expected)
+
+
+@pytest.mark.parametrize("feed", [feeds.raw_obj, feeds.raw_list])
+def test_the_parse_is_compiled(spark, folder, feed, capsys):
+    # The JVM leaves a method of more than 8,000 bytes to its interpreter.
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parse(feed(spark, folder)).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000, sizes
+
+
+def test_the_usual_payload_is_not_written_out_again(spark, folder):
+    text = F.col("payload")
+    row = feeds.raw_obj(spark, folder).select(strict_json.is_strict(text, strict_json.wrap(text)))
+    plan = row._jdf.queryExecution().optimizedPlan().toString()
+    assert "$[1], LongType" in plan, plan
+    # A path that leads nowhere ends in an exception within the engine, for every payload.
+    assert "$[2]" not in plan, plan
