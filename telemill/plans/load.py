@@ -286,6 +286,11 @@ def unpark(spark: SparkSession, schema: str, table: str, options: Options | None
     return reports
 
 
+#: Bytes of a row group of staged files. A file is read by as many tasks as it has of them, so that
+#: one table's part of a load, which is a file or two, does not leave most of a cluster idle.
+STAGED_BYTES = 16 << 20
+
+
 def stage(outcomes: DataFrame, folder: str, refusals: Observation | None = None) -> DataFrame:
     """Writes outcomes to a new folder and reads them back, for work that needs them more
     than once; ``refusals`` counts those refused on the way.
@@ -300,7 +305,7 @@ def stage(outcomes: DataFrame, folder: str, refusals: Observation | None = None)
     if refusals is not None:
         # Behind the shuffle, where a task that is run again is not counted again.
         placed = placed.observe(refusals, *_by_reason(EARLY_REASONS))
-    placed.write.partitionBy("route_id").parquet(folder)
+    placed.write.option("parquet.block.size", STAGED_BYTES).partitionBy("route_id").parquet(folder)
     schema = StructType([*outcomes.schema.fields, StructField("route_id", StringType())])
     return outcomes.sparkSession.read.schema(schema).parquet(folder)
 
