@@ -28,13 +28,13 @@ ROWS_A_TASK, WIDE_ROWS_A_TASK = 20_000, 500
 TOPIC_FILTERS = ("plant/#", "plant/error/+", "plant/+/0", "other/#")
 
 
-def spread(rows: DataFrame, a_task: int = ROWS_A_TASK) -> DataFrame:
-    """Rows of a given table dealt out evenly, to more tasks the more they are."""
-    return rows.repartition(max(1, -(-rows.count() // a_task)))  # a file's footer has its count
+def spread(rows: DataFrame, a_task: int = ROWS_A_TASK, *, by: tuple[Column, ...] = ()) -> DataFrame:
+    """Rows of a given table dealt out evenly, or by a key, to more tasks the more they are."""
+    return rows.repartition(max(1, -(-rows.count() // a_task)), *by)  # a file's footer has its count
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/events.parquet")).withColumn(
+def events(spark: SparkSession, folder: str, *by: Column) -> DataFrame:
+    return spread(spark.read.parquet(f"{folder}/events.parquet"), by=by).withColumn(
         "ts", F.col("ts").cast("timestamp_ntz")
     )
 
@@ -153,7 +153,8 @@ def raw_list(spark: SparkSession, folder: str) -> DataFrame:
         _joined('"deviceid":"dev-', F.col("user_id"), '"'),
         fields=_joined("{", members, "}"),
     )
-    elements = events(spark, folder).select(
+    # Dealt out by the key that they are gathered by, which no second shuffle then merges into few tasks.
+    elements = events(spark, folder, batch).select(
         batch.alias("seq"), "ts", F.struct("event_id", element.alias("json")).alias("element")
     )
     # Four elements at most: the key is the event id divided by four.
@@ -206,7 +207,7 @@ def raw_delimited(spark: SparkSession, folder: str) -> DataFrame:
     ]
     whole = F.concat_ws(",", *cells)
     line = F.when((F.col("kind") == "short_line") & last, F.concat_ws(",", *cells[:-1])).otherwise(whole)
-    lines = events(spark, folder).withColumn("kind", kind).select(
+    lines = events(spark, folder, batch).withColumn("kind", kind).select(
         batch.alias("seq"), "kind", "ts", F.struct("event_id", line.alias("text")).alias("line")
     )
     # Four lines at most.

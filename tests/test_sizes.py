@@ -124,3 +124,12 @@ def test_one_table_of_a_load_is_read_by_several_tasks(spark, folder, monkeypatch
     assert staged.where("target = 'data'").count() == 1200
     groups = [pyarrow.parquet.ParquetFile(x.removeprefix("file:")).num_row_groups for x in map(str, staged.inputFiles())]
     assert max(groups) > 1, groups
+
+
+@pytest.mark.parametrize("feed", [feeds.raw_list, feeds.raw_delimited])
+def test_lists_are_gathered_where_they_were_dealt(spark, folder, feed, monkeypatch):
+    monkeypatch.setattr(feeds.spread, "__defaults__", (100,))
+    raw = feed(spark, folder)
+    assert raw.select(F.spark_partition_id()).distinct().count() > 6
+    assert (raw.count(), raw.select("seq").distinct().count()) == (300, 300)
+    assert raw._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
