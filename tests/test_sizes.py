@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from telemill import Options, parse, register_parser
 from telemill.checks import feeds, queries
-from telemill.functions import strict_json
-from telemill.operators import flatten
+from telemill.functions import cells as cell_rules, names, strict_json
+from telemill.operators import flatten, outcomes
 from telemill.plans import load as loads
 from telemill.plans.parse import parse_telemetry
 from telemill.streaming.ingest import start_ingest
@@ -63,6 +63,37 @@ def test_a_wide_projection_casts_once(spark):
     assert flatten.wide(rows, {}, Options()).columns == ["timestamp", "deviceid"]
 
 
+def test_usual_fields_are_digested_without_a_look_at_each(spark):
+    texts = [
+        '{"a":{"type":"int","value":1},"b":{"type":"x","value":null},"c":{"type":"str"}}',
+        '{"A":{"type":"int","value":1},"b":{"type":"json","value":{"x":[1]}},"\u03a3":{"type":"str","value":"y"}}',
+        '{"a":{"type":null,"value":1.50},"b":{"value":[1]}}',
+        '{"a":{"type":"json"},"b":{"type":"float","value":2}}',
+        "{}",
+    ]
+    fields = F.try_variant_get(F.parse_json("text"), "$", "map<string, struct<type: string, value: variant>>")
+    found = spark.createDataFrame([(text,) for text in texts], "text string").select(F.struct(fields.alias("fields")).alias("record"))
+    own = outcomes.folded_names(F.col("record"))
+    each = F.transform(F.map_entries("record.fields"), lambda entry: cell_rules.digest(entry))
+    both = found.select(cell_rules.digests(F.col("record.fields"), own).alias("now"), each.alias("before"))
+    assert both.schema["now"].dataType.simpleString() == both.schema["before"].dataType.simpleString()
+    rows = both.select(F.to_json("now"), F.to_json("before")).collect()
+    assert len(rows) == len(texts) and all(now == before for now, before in rows), rows
+
+
+def test_names_are_judged_together_as_each_by_itself(spark):
+    lists = [["a", "b_1", "_"], ["a,b"], ["a", ""], ["1a"], ["a", "1a"], ["a\n"], ["é", "τη"], ["a\u0301"], ["\u0301a"], ["a b"], [","], []]
+    rows = spark.createDataFrame([(x,) for x in lists], "names array<string>").select(
+        outcomes.no_identifiers(F.col("names")), F.exists("names", lambda name: ~names.is_identifier(name)), "names"
+    )
+    assert all(together == each for together, each, _ in rows.collect()), rows.collect()
+    twice = [({"a": 1, "b": 2}, False), ({"a": 1, "A": 2}, True), ({"B": 1, "a": 2}, False), ({"Σ": 1, "σ": 2}, True), ({}, False)]
+    maps = spark.createDataFrame(twice, "fields map<string, int>, expected boolean")
+    folded = outcomes.folded_names(F.struct("fields"))
+    judged = maps.select(outcomes.repeated(folded, F.map_keys("fields")), "expected", folded, F.transform(F.map_keys("fields"), F.lower))
+    assert all(found == expected and now == before for found, expected, now, before in judged.collect()), judged.collect()
+
+
 def test_a_message_has_its_texts_taken_out_once(spark, folder):
     found = parse(feeds.raw_obj(spark, folder))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
